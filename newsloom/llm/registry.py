@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from newsloom.llm import lines, urlrules
+from newsloom.llm import decontam, lines, packing, urlrules
 
 QUERIES = {
     "op1_url_filter": urlrules.op1_url_filter,
+    "op3_benchmark_decontamination": decontam.op3_benchmark_decontamination,
     "op7_line_dedup": lines.op7_line_dedup,
+    "op8_best_fit_packing": packing.op8_best_fit_packing,
 }
 
 SQL = {

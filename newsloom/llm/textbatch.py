@@ -116,7 +116,7 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     n = len(words) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    total = np.full(n, np.uint64(k) * _Q, np.uint64)
+    total = np.full(n, k, np.uint64)
     for j in range(k):
         total = total * _P + words[j : j + n]
     return mix(total)
