@@ -30,7 +30,7 @@ from newsloom.llm import scratch
 WIDTH = 2048
 VOCABULARY = "word_bpe_49k.json"
 #: Words whose ids a Python worker remembers; when full it starts anew.
-MEMO = 400_000
+MEMO = 700_000
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, rank bigint"
 
 
@@ -52,6 +52,23 @@ class WordTokenizer:
         self.parts = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _encode_pieces(self, new: list[str]) -> None:
+        """Encode pieces as one text of words; tokens that end a word part them again."""
+        for first in range(0, len(new), 4096):
+            part = new[first : first + 4096]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(ends) != len(part) or ends[-1] != 4 * len(ids):
+                self._encode(self.pieces, part)
+                continue
+            data, start = ids.tobytes(), 0
+            for piece, end in zip(part, ends, strict=True):
+                self.pieces[piece] = data[start:end]
+                start = end
 
     def _encode(self, known: dict[str, bytes], new: list[str]) -> None:
         for word, x in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
@@ -64,18 +81,20 @@ class WordTokenizer:
             self.pieces.clear()
         plain, whole = {}, []
         for w in words:
-            if max(w) < "ƀ" and "<|" not in w:
+            if (w.isascii() or max(w) < "ƀ") and "<|" not in w:
                 plain[w] = self.parts.findall(w.lower())
             else:
                 whole.append(w)
         self._encode(self.words, whole)
         new = [p for p in dict.fromkeys(p for ps in plain.values() for p in ps) if p not in self.pieces]
-        self._encode(self.pieces, new)
+        self._encode_pieces(new)
         for w, ps in plain.items():
             self.words[w] = b"".join([self.pieces[p] for p in ps])
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
+        if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # separators to Python, not to the vocabulary
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         words = text.split()
         try:
             return b"".join(map(self.words.__getitem__, words))
