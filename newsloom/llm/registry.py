@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from newsloom.llm import decontam, lines, packing, urlrules
+from newsloom.llm import decontam, lines, packing, quality, urlrules, warc
 
 QUERIES = {
     "op1_url_filter": urlrules.op1_url_filter,
     "op3_benchmark_decontamination": decontam.op3_benchmark_decontamination,
+    "op5_warc": warc.op5_warc,
+    "op6_quality_rules": quality.op6_quality_rules,
     "op7_line_dedup": lines.op7_line_dedup,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
 }
 
 SQL = {
     "op1_url_filter": urlrules.OP1_SQL,
+    "op5_warc": warc.OP5_SQL,
     "op7_line_dedup": lines.OP7_SQL,
 }
