@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from newsloom.llm import decontam, lines, packing, quality, urlrules, warc
+from newsloom.llm import decontam, licences, lines, packing, pii, quality, toxicity, urlrules, warc
 
 QUERIES = {
     "op1_url_filter": urlrules.op1_url_filter,
+    "op2_licence_scan": licences.op2_licence_scan,
     "op3_benchmark_decontamination": decontam.op3_benchmark_decontamination,
+    "op4_personal_data": pii.op4_personal_data,
     "op5_warc": warc.op5_warc,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_line_dedup": lines.op7_line_dedup,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 SQL = {
