@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from newsloom.llm import decontam, licences, lines, packing, pii, quality, toxicity, urlrules, warc
+from newsloom.llm import decontam, licences, lines, packing, pii, quality, setjoin, toxicity, urlrules, warc
 
 QUERIES = {
     "op1_url_filter": urlrules.op1_url_filter,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_line_dedup": lines.op7_line_dedup,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
+    "op9_ngram_jaccard_join": setjoin.op9_ngram_jaccard_join,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 
