@@ -24,7 +24,8 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
         out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
     else:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return out.where("u <> v").distinct()
+    out = out.where("u <> v")
+    return out.distinct() if small else out
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ Sets of 5-word shingles that share at least three quarters of their union are li
 are one class.  The exact work is done for classes:
 
 1. *Groups.*  Classes that share min-hash keys are compared with one leader per key.  Links
-   give first components; the most similar leader, if similar enough, names the class's group.
+   give first components; the least of the leaders that are similar enough names the class's group.
 2. *Matrix.*  A link needs several shared tokens in both sets' prefixes under one order of
    tokens (frequent ones last).  Tokens that one class alone holds are dropped; the others form
    the matrix of tokens and groups, the groups' token unions.
@@ -300,7 +300,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     near = _leaders(classes, docs, size)
     comps = graph.components(near.where("link").select("u", "v"))
-    best = near.select(F.col("u").alias("id"), F.col("v").alias("leader"), "share").groupBy("id").agg(F.max_by("leader", F.struct("share", -F.col("leader"))).alias("group"))
+    best = near.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("group"))  # the least leader: few groups for many alike
     sizes = comps.groupBy("component").agg(F.count("*").alias("size"))
     placed = comps.join(sizes, "component").select(F.col("vertex").alias("id"), "component", "size")
     own = F.col("id")
