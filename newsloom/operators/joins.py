@@ -128,7 +128,7 @@ def attribute_run(trials: DataFrame, runs: DataFrame, tolerance_s: int = 900, ke
     spread = runs.withColumn("__h", F.explode(hours))
     met = trials.withColumn("__h", F.floor(F.unix_timestamp(at) / 3600)).join(spread, "__h")
     inside = F.col(at).between(F.col("started_at"), F.col("finished_at"))
-    delta = F.abs(F.unix_micros(at) - F.unix_micros("finished_at"))
+    delta = F.abs(F.unix_micros(F.col(at).cast("timestamp")) - F.unix_micros(F.col("finished_at").cast("timestamp")))
     ranked = met.withColumn("__in", inside).withColumn("__d", delta).where(F.col("__in") | (F.col("__d") <= tolerance_s * 1_000_000))
     last = F.max(F.when(F.col("__in"), F.struct("finished_at", "run_id")))["run_id"]
     near = F.min(F.struct("__d", "run_id"))["run_id"]
