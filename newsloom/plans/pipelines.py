@@ -36,7 +36,7 @@ def candidates(subjects: DataFrame, results: DataFrame, pages: DataFrame, cap: i
     made = subjects.select("event_id", "subject_name", F.posexplode(names.name_variants(F.col("subject_name"))).alias("variant_no", "variant"))
     found = joins.search_lookup(made, results, cap)
     found = ordered.dedupe_known(found, ["event_id"], "pageid", ["variant_no", "rank"])
-    found = ordered.rerank(found.drop("rank").withColumn("__r", found["rank"]), ["event_id"], ["variant_no", "__r"]).where(F.col("rank") <= cap)
+    found = ordered.rerank(found.withColumnRenamed("rank", "__r"), ["event_id"], ["variant_no", "__r"]).where(F.col("rank") <= cap)
     return joins.attach_pages(found.drop("__r"), pages).withColumn("score", text.biography_score(F.coalesce("categories", F.array().cast("array<string>"))))
 
 
