@@ -92,6 +92,11 @@ def filter_reliable(results: DataFrame, entries: DataFrame, url: str = "url", do
     return rows.join(by_host.unionByName(by_prefix).distinct(), "__row", "left_semi").drop("__row")
 
 
+def second_pass_input(events: DataFrame, coverage: DataFrame) -> DataFrame:
+    """Events with the last row of their full result set; coverage: (event_id, seq, ...)."""
+    return events.join(last_wins(coverage, "event_id", ["seq"]).drop("seq"), "event_id", "left")
+
+
 def verdict_domains(verdicts: DataFrame, sent: DataFrame) -> DataFrame:
     """Verdicts with the domain of the result they rank, else their own."""
     side = sent.select("event_id", "pass", "rank", F.col("domain").alias("__d"))
