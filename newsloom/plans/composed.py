@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from newsloom.functions import urls
+from newsloom.functions import text, urls
 from newsloom.operators import joins, ordered
 from newsloom.plans import pipelines
 from newsloom.plans import registry as base
@@ -166,9 +166,36 @@ def snapshot_replace(spark, sf):
 _add("snapshot_replace", snapshot_replace, f"WITH {base.TRIAL} SELECT event_id, max(seq) AS seq, arg_max(status, seq) AS status FROM trial GROUP BY event_id")
 
 
+def split_stages(spark, sf):
+    path = _folder(spark, "stages")
+    rows = text.classify_event(base.doc(spark, sf)).select("doc_id", "prefilter_decision")
+    for side, part in zip(("pass", "skip"), writers.split(rows, F.col("prefilter_decision") == "PREFILTER_PASS_TO_LLM"), strict=True):
+        writers.write_stage(part, f"{path}/side={side}")
+    return spark.read.parquet(path).select("doc_id", "prefilter_decision", "side")
+
+
+_add("split_stages", split_stages, f"WITH {base.CLASSIFIED}, p AS (SELECT doc_id, {base._DECISION} AS prefilter_decision FROM r) SELECT doc_id, prefilter_decision, CASE WHEN prefilter_decision = 'PREFILTER_PASS_TO_LLM' THEN 'pass' ELSE 'skip' END AS side FROM p")
+
+
 # --- streams
 
 
+def stream_latest(spark, sf):
+    rows = _stream(spark, sf, "events").select(F.col("user_id").alias("event_id"), F.col("event_id").alias("seq"), F.col("event_type").alias("status"))
+    return _final(streams.stream_latest(rows), "stream-latest")
+
+
+_add("stream_latest", stream_latest, "SELECT user_id AS event_id, arg_max(event_type, event_id) AS status, max(event_id) AS seq FROM events GROUP BY user_id")
+
+
+def stream_prefilter(spark, sf):
+    out = streams.stream_prefilter(base.doc_rows(_stream(spark, sf, "documents")), base._known(spark, sf))
+    return _appended(out.select("doc_id", "prefilter_decision", F.array_join("prefilter_reason_codes", ",").alias("reasons")), "stream-prefilter")
+
+
+_add("stream_prefilter", stream_prefilter, f"SELECT doc_id, prefilter_decision, reasons FROM ({base.SQL['prefilter_flagship']})")
+
+
 def stream_new(spark, sf):
     rows = _stream(spark, sf, "events").select(F.col("user_id").alias("event_id"), F.col("ts").cast("timestamp").alias("ts"))
     return _appended(streams.stream_new(rows, "ts", "event_id", "3650 days").select("event_id"), "stream-new")
@@ -199,6 +226,26 @@ _add("stream_upsert_known", stream_upsert_known, "SELECT CAST(user_id AS VARCHAR
 # --- compositions
 
 
+def triage_worklist(spark, sf):
+    events = base.doc(spark, sf).select(F.col("doc_id").alias("event_id"), F.col("doc_id").alias("seq"), "entry_title", "summary", F.col("priority").alias("feed_priority"), F.lit(None).cast("string").alias("published_at_utc"))
+    trials = events.select("event_id", (F.col("event_id") % 3 == 0).alias("ok"))
+    out = pipelines.triage_worklist(events, trials, 50, "licen[sc]e|reserved")
+    return out.select("event_id", F.col("position").cast("long").alias("position"), F.col("batch").cast("long").alias("batch"))
+
+
+_add("triage_worklist", triage_worklist, f"WITH {base.DOC}, o AS (SELECT doc_id AS event_id, row_number() OVER (ORDER BY priority ASC NULLS LAST, doc_id) AS position FROM doc WHERE regexp_matches(entry_title || ' ' || summary, '(?i)licen[sc]e|reserved') AND doc_id % 3 <> 0) SELECT event_id, position, (position - 1) // 10 + 1 AS batch FROM o WHERE position <= 50")
+
+
+def match_results(spark, sf):
+    kind = F.col("event_id") % 4
+    raw = F.when(kind == 0, F.lit('{"status": "HAS_PAGE", "confidence": 0.75}')).when(kind == 1, F.lit('Answer: {"status": "ODD", "confidence": 2}')).otherwise(F.col("event_type"))
+    rows = base._t(spark, sf, "events").select("event_id", raw.alias("raw_output"), F.when(kind == 3, 0).otherwise(2).alias("n_candidates"))
+    return pipelines.match_results(rows).select("event_id", "gate3_status", "confidence", F.array_join("violations", ",").alias("violations"))
+
+
+_add("match_results", match_results, "SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'HAS_PAGE' WHEN 1 THEN 'ODD' WHEN 2 THEN 'UNCERTAIN' ELSE 'MISSING' END AS gate3_status, CAST(CASE event_id % 4 WHEN 0 THEN 0.75 WHEN 1 THEN 2 WHEN 3 THEN 1 END AS DOUBLE) AS confidence, CASE event_id % 4 WHEN 1 THEN 'status,confidence' WHEN 2 THEN 'confidence' ELSE '' END AS violations FROM events")
+
+
 def ingest(spark, sf):
     esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     a = base.art(spark, sf).where("title <> ''")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import names, responses, text, urls
@@ -31,6 +31,17 @@ def select_triaged(trials: DataFrame, decisions=("STRONG_PASS", "WEAK_PASS"), ke
     return rows.withColumn("reason", F.when(subject == "", "missing_subject").when(~F.coalesce(F.col("decision").isin(*decisions), F.lit(False)), "decision_not_selected"))
 
 
+def triage_worklist(events: DataFrame, trials: DataFrame, k: int = 50, pattern: str | None = None, retry: bool = False, n: int = 10) -> DataFrame:
+    """The first k open events by priority and date, with ``position`` and batches of n.
+
+    Open events have no successful trial; with ``retry`` they are those whose latest trial failed."""
+    rows = text.keyword_filter(events, pattern) if pattern else events
+    rows = joins.retry_candidates(rows, trials) if retry else joins.unprocessed(rows, trials)
+    position = F.row_number().over(Window.orderBy(*ordered.priority_order()))  # over k rows at most
+    rows = ordered.top_k(rows, k, ordered.priority_order()).withColumn("position", position)
+    return rows.withColumn("batch", F.floor((F.col("position") - 1) / n).cast("int") + 1)
+
+
 def candidates(subjects: DataFrame, results: DataFrame, pages: DataFrame, cap: int = 10) -> DataFrame:
     """(event_id, subject_name) to ranked candidates with their pages and scores."""
     made = subjects.select("event_id", "subject_name", F.posexplode(names.name_variants(F.col("subject_name"))).alias("variant_no", "variant"))

@@ -13,7 +13,6 @@ from newsloom.functions import names, responses, text, urls
 from newsloom.operators import joins, ordered, rollups
 from newsloom.plans import pipelines
 from newsloom.sources import readers, writers
-from newsloom.streaming import streams
 
 #: The list of reliable sources that the queries use.
 RELIABLE = (("example.org", "host"), ("example.net", "host"), ("example.com/fr", "path_prefix"), ("https://blog.example.com/en", "url_prefix"))
@@ -32,7 +31,10 @@ ART = "art AS (SELECT page_id, url, regexp_extract(html, '<title>([^<]*)</title>
 
 
 def doc(spark, sf):
-    d = _t(spark, sf, "documents")
+    return doc_rows(_t(spark, sf, "documents"))
+
+
+def doc_rows(d: DataFrame) -> DataFrame:
     at = F.instr("text", "\n")
     n = F.regexp_extract("source", "([0-9]+)$", 1).try_cast("int") % 6
     return d.select("doc_id", F.when(at > 0, F.expr("substring(text, 1, instr(text, '\n') - 1)")).otherwise(F.col("text")).alias("entry_title"), F.when(at > 0, F.expr("substring(text, instr(text, '\n') + 1)")).otherwise(F.lit("")).alias("summary"), F.col("source").alias("source_feed_url_original"), F.nullif(n, F.lit(0)).alias("priority"))
@@ -265,18 +267,3 @@ def _match_rows(spark, sf):
 
 
 _add("annotate_match", lambda s, d: pipelines.annotate_match(_match_rows(s, d)).select("event_id", "signal", "best_title"), "SELECT c_custkey AS event_id, CASE WHEN c_custkey % 2 = 0 THEN 'EXACT_MATCH' ELSE 'NO_EXACT_MATCH' END AS signal, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS best_title FROM customer")
-
-
-def stream_latest(spark, sf):
-    """The event log as a stream; the sink's last state of each key."""
-    from newsloom.sources.readers import T
-
-    src = spark.readStream.schema(spark.read.parquet(f"{sf}/events.parquet").schema).parquet(f"{sf}/events.parquet*")
-    rows = src.select(F.col("user_id").alias("event_id"), F.col("event_id").alias("seq"), F.col("event_type").alias("status"))
-    name = f"latest_{abs(hash(sf)) % 10**8}"
-    q = streams.stream_latest(rows).writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table(name)
-
-
-_add("stream_latest", stream_latest, "SELECT user_id AS event_id, arg_max(event_type, event_id) AS status, max(event_id) AS seq FROM events GROUP BY user_id")
