@@ -7,7 +7,8 @@ are one class.  The exact work is done for classes:
    give first components; the least of the leaders that are similar enough names the class's group.
 2. *Matrix.*  A link needs several shared tokens in both sets' prefixes under one order of
    tokens (frequent ones last).  Tokens that one class alone holds are dropped; the others form
-   the matrix of tokens and groups, the groups' token unions.
+   the matrix of tokens and groups, the groups' token unions.  Tokens that the same classes hold
+   are one column with a weight, so a shared passage counts as one and not once for each shingle.
 3. *Bound.*  A query class counts the tokens that each group's union shares with its prefix, and
    meets only groups of other components with members of a fitting size.  Groups whose count
    is below the least that a link needs are never opened.
@@ -41,7 +42,7 @@ from newsloom.llm import textbatch as tb
 SHINGLE, PERCENT = 5, 75
 #: Prefixes grow by a SPARE-th of a set, and so many shared tokens are needed.
 SPARE = 16
-KEYS, AGREE, GROUP_PERCENT = 8, 3, 50
+KEYS, AGREE, GROUP_PERCENT = 8, 2, 25
 SAMPLED, MAX_FREQUENT = 16, 1 << 18
 BLOCK, LARGE = 256, 1000
 _MASKS = [int(x) & 0x3FFFFFFF for x in tb.mix(np.arange(1, KEYS + 1, dtype=np.uint64))]
@@ -253,25 +254,34 @@ def _shared_tokens(rows: DataFrame) -> DataFrame:
     return rows.repartition("token").sortWithinPartitions("token").mapInArrow(emit, "token bigint, id bigint")
 
 
+def _columns(held: DataFrame) -> DataFrame:
+    """(token, id, weight): of tokens that equal sets of classes hold, the least and their number.
+
+    Sets are equal by count and two 64-bit exclusive ors of hashed ids."""
+    by_token = held.groupBy("token").agg(F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"), F.count("*").alias("k"))
+    columns = by_token.groupBy("x", "y", "k").agg(F.min("token").alias("token"), F.count("*").alias("weight"))
+    return held.join(scratch.table(columns.select("token", "weight"), "columns"), "token")
+
+
 def _meet(matrix: DataFrame) -> DataFrame:
     """(id, group, tokens): queries with the groups whose unions share tokens with them.
 
-    matrix: (token, id, low, high, component, size, group); a null id is a member only.  Within
+    matrix: (token, id, low, high, component, size, group, weight); a null id is a member only.  Within
     a token rows come from large components to small ones; each queries what came before."""
 
     def emit(batches):
         token, groups = None, {}
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("token", "id", "low", "high", "component", "group")]
+            columns = [batch.column(c).to_pylist() for c in ("token", "id", "low", "high", "component", "group", "weight")]
             met: dict[tuple[int, int], int] = {}
-            for t, doc, low, high, comp, group in zip(*columns, strict=True):
+            for t, doc, low, high, comp, group, weight in zip(*columns, strict=True):
                 if t != token:
                     token, groups = t, {}
                 if doc is not None:
                     for g, spans in groups.items():
                         # spans: of the group's members here, the least and largest size by component, two components at most
                         if any(c != comp and 100 * s[0] * PERCENT <= 10000 * high and 100 * low * PERCENT <= 10000 * s[1] for c, s in spans.items()):
-                            met[doc, g] = met.get((doc, g), 0) + 1
+                            met[doc, g] = met.get((doc, g), 0) + weight
                 spans = groups.setdefault(group, {})
                 at = comp if comp in spans or len(spans) < 2 else next(iter(spans))
                 if at != comp:  # a third component: the two kept ones widen to hold it, so no query misses it
@@ -285,7 +295,7 @@ def _meet(matrix: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in met], pa.int64()), pa.array([k[1] for k in met], pa.int64()), pa.array(list(met.values()), pa.int64())], ["id", "group", "tokens"])
 
     rows = matrix.repartition("token").sortWithinPartitions("token", F.desc("size"), "component")
-    return rows.select("token", "id", "low", "high", "component", "group").mapInArrow(emit, "id bigint, group bigint, tokens bigint")
+    return rows.select("token", "id", "low", "high", "component", "group", "weight").mapInArrow(emit, "id bigint, group bigint, tokens bigint")
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
@@ -310,13 +320,13 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     prefixes = full.where("keys IS NOT NULL").select("id", "a", "b", "rare", "common").join(vertices.select("id", "a", "b"), ["id", "a", "b"]).dropDuplicates(["id"])
     rare = _shared_tokens(prefixes.select("id", F.explode("rare").alias("token")))
     common = full.where("keys IS NOT NULL AND size(common) > 0").select("id", "a", "b", "common").join(vertices.select("id", "a", "b"), ["id", "a", "b"]).dropDuplicates(["id"]).select(F.explode("common").alias("token"), "id")
-    held = scratch.table(rare.unionByName(common.select("token", "id")), "shared-tokens").join(vertices.drop("a", "b"), "id")
-    small = held.where(F.col("size") < LARGE).select("token", "id", F.col("n").alias("low"), F.col("n").alias("high"), "component", "size", "group")
+    held = _columns(scratch.table(rare.unionByName(common.select("token", "id")), "shared-tokens")).join(vertices.drop("a", "b"), "id")
+    small = held.where(F.col("size") < LARGE).select("token", "id", F.col("n").alias("low"), F.col("n").alias("high"), "component", "size", "group", "weight")
     large = held.where(F.col("size") >= LARGE)
-    unions = scratch.table(large.groupBy("token", "component", "size", "group").agg(F.min("n").alias("low"), F.max("n").alias("high")), "large-unions")
+    unions = scratch.table(large.groupBy("token", "component", "size", "group", "weight").agg(F.min("n").alias("low"), F.max("n").alias("high")), "large-unions")
     meeting = unions.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("token")
-    asking = large.join(meeting, "token").select("token", "id", F.col("n").alias("low"), F.col("n").alias("high"), "component", "size", "group")
-    matrix = small.unionByName(asking).unionByName(unions.select("token", F.lit(None).cast("long").alias("id"), "low", "high", "component", "size", "group"))
+    asking = large.join(meeting, "token").select("token", "id", F.col("n").alias("low"), F.col("n").alias("high"), "component", "size", "group", "weight")
+    matrix = small.unionByName(asking).unionByName(unions.select("token", F.lit(None).cast("long").alias("id"), "low", "high", "component", "size", "group", "weight"))
 
     group_sizes = vertices.groupBy("group").agg(F.min("n").alias("least"))
     met = _meet(matrix).groupBy("id", "group").agg(F.sum("tokens").alias("tokens"))
