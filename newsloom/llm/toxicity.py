@@ -8,8 +8,10 @@ ratio per word over the whole text and over its most toxic window; a logistic ca
 turns them into a score.
 
 Counts come from all labelled training rows: tasks count the grams of distinct words, Spark
-sums them by key.  The scoring tables go to every task and hold at most ``MAX_GRAMS`` grams
-(the most frequent ones; any other gram backs off), so their size does not follow the corpus.
+sums them by key and derives continuation counts, discounts and backoff weights of all grams,
+which stay in a table.  The distinct words of the documents to score are joined to it gram by
+gram.  Tasks hold the ratios of at most ``HEAD`` frequent words; documents with other words
+are joined to the ratios of theirs, so every word has its own ratio at any size.
 Only the calibration is fitted on a bounded sample, ``MAX_LABELLED`` rows, scored by a model
 of the other training fold.  Labels, language, source and id are no inputs of a score.
 
@@ -24,7 +26,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,11 +34,12 @@ from newsloom.llm import scratch
 from newsloom.llm import textbatch as tb
 
 ORDER, SHARED, WINDOW = 5, 1, 3
-MAX_GRAMS = 1 << 21
 MAX_LABELLED = 20_000
 THRESHOLD = 0.7
-#: Word scores that a task remembers.
-MEMO = 600_000
+#: Words whose ratios go to every task; the others are joined.
+HEAD = 1 << 20
+#: Ratios of words are whole multiples of 1 / SCALE, so that sums don't depend on their order.
+SCALE = 1 << 32
 _START, _END = 1, 2
 _TAG = np.int64(56)
 
@@ -83,103 +86,190 @@ def count_grams(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, weights:
     return found, out
 
 
-def _sum_by(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    found, inverse = np.unique(keys, return_inverse=True)
-    return found, np.stack([np.bincount(inverse, weights=values[:, c], minlength=len(found)) for c in range(values.shape[1])], axis=1)
+class KneserNey:
+    """Interpolated models of the classes toxic and ordinary, as a table.
 
+    ``table``: (key, t0, o0, t, o): the share of each gram and the backoff weight of each context
+    in the models of fold 0 and of all training rows.  A context's key has 8 added to its order."""
 
-class KneserNey:
-    """Interpolated models of the classes toxic (0) and ordinary (1)."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
-        ascending = np.argsort(keys)
-        keys, counts = keys[ascending], counts[ascending]
-        order = keys >> _TAG
-        grams, shares, contexts, backoffs = [], [], [], []
-        above = None
+    def __init__(self, table: DataFrame):
+        self.table = table
+
+    @classmethod
+    def of(cls, counted: DataFrame) -> KneserNey:
+        """The models of (gram, t0, o0, t, o) counts: no gram is left out."""
+        order, above, levels = F.shiftright("gram", int(_TAG)), None, []
+        counted = scratch.table(counted, "grams")
         for k in range(ORDER, 0, -1):
-            own, n = keys[order == k], counts[order == k].astype(float)
+            own = counted.where(order == k)
             if above is not None:  # how many symbols are seen before the gram
-                mask = (np.int64(1) << np.int64(8 * k)) - 1
-                cont, m = _sum_by((above[0] & mask) | (np.int64(k) << _TAG), (above[1] > 0).astype(float))
-                own, n = _sum_by(np.concatenate([own, cont]), np.concatenate([n, m]))
-            above = (own, n)
+                suffix = F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1)).bitwiseOR(F.lit(k << int(_TAG)))
+                cont = above.select(suffix.alias("gram"), *((F.col(c) > 0).cast("long").alias(c) for c in _CLASSES))
+                own = own.unionByName(cont).groupBy("gram").agg(*(F.sum(c).alias(c) for c in _CLASSES))
+                own = scratch.table(own, f"grams-{k}")
+            above = own
             if k <= SHARED:
-                n = np.repeat(n.sum(axis=1, keepdims=True), 2, axis=1)
-            once, twice = (n == 1).sum(axis=0), (n == 2).sum(axis=0)
-            discount = np.where(once > 0, once / np.maximum(once + 2 * twice, 1), 0.5)
-            context = ((own & ((np.int64(1) << _TAG) - 1)) >> np.int64(8)) | (np.int64(k) << _TAG)
-            at, inverse = np.unique(context, return_inverse=True)
-            total = np.stack([np.bincount(inverse, weights=n[:, c], minlength=len(at)) for c in (0, 1)], axis=1)
-            types = np.stack([np.bincount(inverse, weights=n[:, c] > 0, minlength=len(at)) for c in (0, 1)], axis=1)
-            grams.append(own)
-            shares.append(np.maximum(n - discount, 0) / np.maximum(total, 1)[inverse])
-            contexts.append(at)
-            backoffs.append(np.where(total > 0, discount * types / np.maximum(total, 1), 1.0))
-        self.grams, self.shares = np.concatenate(grams[::-1]), np.concatenate(shares[::-1]).astype(np.float32)
-        self.contexts, self.backoffs = np.concatenate(contexts[::-1]), np.concatenate(backoffs[::-1]).astype(np.float32)
-
-    def ratios(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """log P(word | toxic) - log P(word | ordinary) of each word."""
-        if not len(starts) or not len(self.grams):
-            return np.zeros(len(starts))
-        symbols, place, word = _symbols(low, starts, ends)
-        chance = np.full((len(symbols), 2), 1 / 256, np.float64)
-        for k in range(1, ORDER + 1):
-            here = np.flatnonzero(place >= max(k - 1, 1))
-            key = _grams(symbols, k)[here]
-            at = np.minimum(np.searchsorted(self.grams, key), len(self.grams) - 1)
-            share = np.where((self.grams[at] == key)[:, None], self.shares[at], 0)
-            key = ((key & ((np.int64(1) << _TAG) - 1)) >> np.int64(8)) | (np.int64(k) << _TAG)
-            at = np.minimum(np.searchsorted(self.contexts, key), len(self.contexts) - 1)
-            left = np.where((self.contexts[at] == key)[:, None], self.backoffs[at], 1)
-            chance[here] = share + left * chance[here]
-        per = np.log(chance[:, 0]) - np.log(chance[:, 1])
-        per[place == 0] = 0
-        return np.bincount(word, weights=per, minlength=len(starts))
-
-
-class Scorer:
-    """Document features under one model, with a memo of word ratios."""
-
-    def __init__(self, model: KneserNey):
-        self.model = model
-        self.known, self.ratio = np.zeros(0, np.uint64), np.zeros(0)
-
-    def _words(self, low, hashes, starts, ends) -> np.ndarray:
-        if len(self.known) > MEMO:
-            self.known, self.ratio = np.zeros(0, np.uint64), np.zeros(0)
-        at = np.searchsorted(self.known, hashes)
-        new = np.ones(len(hashes), bool) if not len(self.known) else self.known[np.minimum(at, len(self.known) - 1)] != hashes
-        if new.any():
-            merged = np.concatenate([self.known, hashes[new]])
-            ratio = np.concatenate([self.ratio, self.model.ratios(low, starts[new], ends[new])])
-            order = np.argsort(merged, kind="stable")
-            self.known, self.ratio = merged[order], ratio[order]
-            at = np.searchsorted(self.known, hashes)
-        return self.ratio[at] if len(hashes) else np.zeros(0)
-
-    def features(self, texts: pa.Array) -> np.ndarray:
-        """Mean ratio, best window's mean ratio and log words, for every text."""
-        parts = []
-        for first, end, data, offsets in tb.steps(texts):
-            low = tb.lower(data)
-            hashes, starts, ends, inverse, at = _unique_words(low, offsets)
-            ratio = self._words(low, hashes, starts, ends)[inverse] if len(hashes) else np.zeros(0)
-            sums = np.concatenate([[0], np.cumsum(ratio)])
-            n = np.diff(at)
-            mean = (sums[at[1:]] - sums[at[:-1]]) / np.maximum(n, 1)
-            width = np.minimum(n, WINDOW)
-            best = np.zeros(end - first)
-            owner = np.repeat(np.arange(end - first), n)
-            begin = np.arange(len(ratio))
-            stop = np.minimum(begin + WINDOW, at[1:][owner])
-            whole = stop - begin == width[owner]
-            best[:] = -np.inf
-            np.maximum.at(best, owner[whole], (sums[stop[whole]] - sums[begin[whole]]) / width[owner[whole]])
-            best[n == 0] = 0
-            parts.append(np.stack([mean, best, np.log1p(n)], axis=1))
-        return np.concatenate(parts) if parts else np.zeros((0, 3))
+                own = own.select("gram", (F.col("t0") + F.col("o0")).alias("t0"), (F.col("t0") + F.col("o0")).alias("o0"), (F.col("t") + F.col("o")).alias("t"), (F.col("t") + F.col("o")).alias("o"))
+            levels.append(own.withColumn("k", F.lit(k)))
+        rows = levels[0]
+        for level in levels[1:]:
+            rows = rows.unionByName(level)
+        seen = rows.groupBy("k").agg(*(F.count_if(F.col(c) == n).alias(f"{c}{n}_") for c in _CLASSES for n in (1, 2))).collect()  # a row for each order
+        # an order without any gram still needs a value for the planner; no row uses it
+        by_order = {c: {r["k"]: r[f"{c}1_"] / (r[f"{c}1_"] + 2 * r[f"{c}2_"]) if r[f"{c}1_"] else 0.5 for r in seen} for c in _CLASSES}
+        discount = {c: F.element_at(F.array(*(F.lit(by_order[c].get(k, 0.5)) for k in range(1, ORDER + 1))), F.col("k")) for c in _CLASSES}
+        context = F.shiftright(F.col("gram").bitwiseAND(F.lit((1 << int(_TAG)) - 1)), 8).bitwiseOR(F.shiftleft(F.lit(8).bitwiseOR(F.col("k")).cast("long"), int(_TAG)))
+        rows = rows.withColumn("context", context)
+        held = rows.groupBy("context", "k").agg(*(F.sum(c).alias(f"{c}_all") for c in _CLASSES), *(F.count_if(F.col(c) > 0).alias(f"{c}_types") for c in _CLASSES))
+        held = scratch.table(held, "contexts")
+        shares = rows.join(held.drop("k"), "context").select(F.col("gram").alias("key"), *((F.greatest(F.col(c) - discount[c], F.lit(0.0)) / F.greatest(f"{c}_all", F.lit(1))).alias(c) for c in _CLASSES))
+        left = held.select(F.col("context").alias("key"), *(F.when(F.col(f"{c}_all") > 0, discount[c] * F.col(f"{c}_types") / F.greatest(f"{c}_all", F.lit(1))).otherwise(1.0).alias(c) for c in _CLASSES))
+        out = scratch.table(shares.unionByName(left).select("key", *(F.col(c).cast("float").alias(c) for c in _CLASSES)), "model")
+        scratch.discard(counted, held)
+        return cls(out)
+
+    def ratios(self, words: DataFrame, half: bool = False) -> DataFrame:
+        """(hash, n, ratio) of (word, n) rows: log P(word | toxic) - log P(word | ordinary), times SCALE, by the model of fold 0 or of all."""
+        spelled = words.mapInArrow(_spell, "hash bigint, n bigint, gram bigint")
+        classes = _CLASSES[:2] if half else _CLASSES[2:]
+        tag = int(_TAG)
+        one = lambda k: f"(gram & (shiftleft(1L, 8 * {k}) - 1))"
+        keys = f"flatten(transform(sequence(1, cast(shiftright(gram, {tag}) as int)), k -> array({one('k')} | shiftleft(cast(k as bigint), {tag}), shiftright({one('k')}, 8) | shiftleft(cast(k + 8 as bigint), {tag}))))"
+        asked = spelled.select("gram").distinct().select("gram", F.explode(F.expr(keys)).alias("key")).join(self.table.select("key", *classes), "key")
+        # by ascending order, the backoff weight before the share
+        place = F.when(F.shiftright("key", tag) > 8, 2 * (F.shiftright("key", tag) - 8)).otherwise(2 * F.shiftright("key", tag) + 1)
+        start = F.struct(*(F.lit(1 / 256).alias(c) for c in classes))
+        step = lambda acc, x: F.struct(*(F.when(x["place"] % 2 == 0, acc[c] * x[c]).otherwise(acc[c] + x[c]).alias(c) for c in classes))
+        chances = asked.groupBy("gram").agg(F.aggregate(F.array_sort(F.collect_list(F.struct(place.alias("place"), *classes))), start, step).alias("p"))
+        chances = chances.select("gram", F.round((F.log(F.col(f"p.{classes[0]}")) - F.log(F.col(f"p.{classes[1]}"))) * SCALE).cast("long").alias("ratio"))
+        return spelled.join(chances, "gram", "left").groupBy("hash").agg(F.max("n").alias("n"), F.sum(F.coalesce("ratio", F.lit(0))).alias("ratio"))
+
+
+_CLASSES = ("t0", "o0", "t", "o")
+
+
+def _spell(batches):
+    """(hash, n, gram) of every symbol of a word: the symbol and those before it, ORDER at most."""
+    for batch in batches:
+        n = batch.column("n").to_numpy()
+        for first, end, data, offsets in tb.steps(pc.cast(batch.column("word"), pa.large_binary())):
+            starts, ends = offsets[:-1], offsets[1:]
+            hashes = tb.span_hashes(data, starts, ends).view(np.int64)
+            symbols, place, word = _symbols(data, starts, ends)
+            keys = np.zeros(len(symbols), np.int64)
+            for k in range(2, ORDER + 1):
+                here = (place == k - 1) if k < ORDER else (place >= k - 1)
+                keys[here] = _grams(symbols, k)[here]
+            inside = place > 0
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[word[inside]]), pa.array(n[first:end][word[inside]]), pa.array(keys[inside])], ["hash", "n", "gram"])
+
+
+def _vocabulary(docs: DataFrame, text_col: str) -> DataFrame:
+    """(word, n): distinct words in lower case and their occurrences."""
+
+    def emit(batches):
+        for batch in batches:
+            for _, _, data, offsets in tb.steps(batch.column(text_col)):
+                low = tb.lower(data)
+                hashes, starts, ends, inverse, _ = _unique_words(low, offsets)
+                if not len(hashes):
+                    continue
+                lengths = ends - starts
+                flat, at = low[tb.ranges(starts, lengths)], np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+                words = pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(at), pa.py_buffer(flat)])
+                yield pa.RecordBatch.from_arrays([words, pa.array(np.bincount(inverse, minlength=len(hashes)))], ["word", "n"])
+
+    return docs.select(text_col).mapInArrow(emit, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def _text_features(texts: pa.Array, known: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean ratio, best window's mean ratio and log words of every text; whether all its words are known."""
+    parts, full = [], []
+    for first, end, data, offsets in tb.steps(texts):
+        low = tb.lower(data)
+        hashes, _, _, inverse, at = _unique_words(low, offsets)
+        hashes = hashes.view(np.int64)
+        n = np.diff(at)
+        owner = np.repeat(np.arange(end - first), n)
+        place = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
+        found = known[place] == hashes if len(known) else np.zeros(len(hashes), bool)
+        values = (np.where(found, ratio[place], 0.0) if len(known) else np.zeros(len(hashes)))[inverse]
+        complete = np.ones(end - first, bool)
+        complete[owner[~found[inverse]]] = False
+        sums = np.concatenate([[0], np.cumsum(values)])
+        mean = (sums[at[1:]] - sums[at[:-1]]) / np.maximum(n, 1)
+        width = np.minimum(n, WINDOW)
+        best = np.full(end - first, -np.inf)
+        begin = np.arange(len(values))
+        stop = np.minimum(begin + WINDOW, at[1:][owner])
+        whole = stop - begin == width[owner]
+        np.maximum.at(best, owner[whole], (sums[stop[whole]] - sums[begin[whole]]) / width[owner[whole]])
+        best[n == 0] = 0
+        parts.append(np.stack([mean, best, np.log1p(n)], axis=1))
+        full.append(complete)
+    return (np.concatenate(parts), np.concatenate(full)) if parts else (np.zeros((0, 3)), np.zeros(0, bool))
+
+
+def features(docs: DataFrame, model: KneserNey, keep: list[str], text_col: str = "text", half: bool = False) -> DataFrame:
+    """``keep`` columns with the features ``__a``, ``__b`` and ``__c`` of each text."""
+    words = scratch.table(_vocabulary(docs, text_col), "words")
+    ratios = scratch.table(model.ratios(words, half), "word-ratios")
+    scratch.discard(words)
+    # the least power of two so that words that occur as often are HEAD at most
+    level = F.floor(F.log2("n")).cast("int")
+    least, held = 64, 0
+    for r in ratios.groupBy(level.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect():  # 63 rows at most
+        held += r["n"]
+        if held > HEAD:
+            break
+        least = r["level"]
+    else:
+        least = 0
+    head = ratios.where(level >= least).select("hash", "ratio").toPandas().sort_values("hash")  # HEAD rows at most
+    shared = docs.sparkSession.sparkContext.broadcast((head["hash"].to_numpy(np.int64), head["ratio"].to_numpy(np.int64) / SCALE))
+    columns = list(dict.fromkeys([*keep, text_col]))
+    names = ["__a", "__b", "__c"]
+    schema = T.StructType([*(docs.schema[c] for c in keep), *(T.StructField(c, T.DoubleType()) for c in names)])
+
+    def direct(batches):
+        known, ratio = shared.value
+        for batch in batches:
+            x, complete = _text_features(batch.column(text_col), known, ratio)
+            out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *(pa.array(x[:, i]) for i in range(3))], [*keep, *names])
+            yield out.filter(pa.array(complete))
+
+    def rest(batches):
+        known, _ = shared.value
+        for batch in batches:
+            tails = []
+            for first, end, data, offsets in tb.steps(batch.column(text_col)):
+                hashes, _, _, inverse, at = _unique_words(tb.lower(data), offsets)
+                hashes = hashes.view(np.int64)
+                place = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
+                new = known[place] != hashes if len(known) else np.ones(len(hashes), bool)
+                for i in range(end - first):
+                    own = np.unique(inverse[at[i] : at[i + 1]])
+                    tails.append(hashes[own[new[own]]])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(tails, pa.list_(pa.int64()))], [*columns, "__tail"]).filter(pa.array([len(t) > 0 for t in tails], pa.bool_()))
+
+    def joined(batches):
+        known, ratio = shared.value
+        for batch in batches:
+            pairs = batch.column("__pairs").flatten()
+            more, first = np.unique(pairs.field("hash").to_numpy(), return_index=True)
+            hashes, values = np.concatenate([known, more]), np.concatenate([ratio, pairs.field("ratio").to_numpy()[first] / SCALE])
+            order = np.argsort(hashes)
+            x, _ = _text_features(batch.column(text_col), hashes[order], values[order])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *(pa.array(x[:, i]) for i in range(3))], [*keep, *names])
+
+    out = docs.select(columns).mapInArrow(direct, schema)
+    if least == 0:
+        return out
+    wide = T.StructType([*(docs.schema[c] for c in columns), T.StructField("__tail", T.ArrayType(T.LongType()))])
+    others = scratch.table(docs.select(columns).mapInArrow(rest, wide).withColumn("__row", F.monotonically_increasing_id()), "rare-words")
+    tails = others.select("__row", F.explode("__tail").alias("hash")).join(ratios.where(level < least).select("hash", "ratio"), "hash")
+    pairs = tails.groupBy("__row").agg(F.collect_list(F.struct("hash", "ratio")).alias("__pairs"))
+    return out.unionByName(others.drop("__tail").join(pairs, "__row").select(*columns, "__pairs").mapInArrow(joined, schema))
 
 
 class Calibration:
@@ -200,11 +290,14 @@ class Calibration:
                 break
         self.weights = w
 
-    def score(self, x: np.ndarray) -> np.ndarray:
+    def score(self, names: tuple[str, ...] = ("__a", "__b", "__c")) -> Column:
+        """The score of feature columns."""
         if self.weights is None:
-            return np.full(len(x), 0.5)
-        z = np.column_stack([np.ones(len(x)), (x - self.mean) / self.scale])
-        return 1 / (1 + np.exp(-np.clip(z @ self.weights, -30, 30)))
+            return F.lit(0.5)
+        z = F.lit(float(self.weights[0]))
+        for w, name, mean, scale in zip(self.weights[1:], names, self.mean, self.scale, strict=True):
+            z = z + float(w) * (F.col(name) - float(mean)) / float(scale)
+        return 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))
 
 
 def fold(id_col: str):
@@ -232,48 +325,30 @@ def _counts(rows: DataFrame) -> DataFrame:
     return out.groupBy("gram").agg(*(F.sum(c).alias(c) for c in ("t0", "o0", "t2", "o2")))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_grams: int = MAX_GRAMS, max_labelled: int = MAX_LABELLED) -> tuple[KneserNey, Calibration]:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_labelled: int = MAX_LABELLED) -> tuple[KneserNey, Calibration]:
     """The models and the calibration, from labelled rows that aren't held out."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (fold(id_col) != 1)).select(F.col(id_col).alias("__id"), F.col(label_col).alias("label"))
     # dealt by id at every size, once: both uses below read the written table
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).where(fold("__id") != 1).join(known.hint("shuffle_hash"), "__id")
     rows = scratch.table(rows.select("text", "label", fold("__id").alias("fold"), F.xxhash64("__id").alias("o")), "labelled")
     counted = _counts(rows.select("text", "label", "fold"))
-    grams = counted.orderBy(F.desc(F.col("t0") + F.col("o0") + F.col("t2") + F.col("o2")), "gram").limit(max_grams).toPandas()  # at most max_grams rows
-    keys, n = grams["gram"].to_numpy(np.int64), grams[["t0", "o0", "t2", "o2"]].to_numpy(np.int64).reshape(-1, 4)
-    half = docs.sparkSession.sparkContext.broadcast(KneserNey(keys, n[:, :2]))
-    sample = rows.where("fold = 2").select("text", "label", "o").orderBy("o").limit(max_labelled)
-
-    def measure(batches):
-        scorer = Scorer(half.value)
-        for batch in batches:
-            x = scorer.features(batch.column("text"))
-            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array(x[:, 2]), pc.cast(batch.column("label"), pa.int32())], ["a", "b", "c", "label"])
-
-    seen = sample.select("text", "label").mapInArrow(measure, "a double, b double, c double, label int").toPandas()  # at most max_labelled rows of four numbers
-    calibration = Calibration(seen[["a", "b", "c"]].to_numpy(float).reshape(-1, 3), (seen["label"] != 0).to_numpy(float))
-    scratch.discard(rows)
-    return KneserNey(keys, n[:, :2] + n[:, 2:]), calibration
+    model = KneserNey.of(counted.select("gram", "t0", "o0", (F.col("t0") + F.col("t2")).alias("t"), (F.col("o0") + F.col("o2")).alias("o")))
+    sample = scratch.table(rows.where("fold = 2").select("text", "label", "o").orderBy("o").limit(max_labelled), "calibration")
+    seen = features(sample, model, ["label"], half=True).toPandas().sort_values(["__a", "__b", "__c", "label"])  # at most max_labelled rows of four numbers
+    calibration = Calibration(seen[["__a", "__b", "__c"]].to_numpy(float).reshape(-1, 3), (seen["label"] != 0).to_numpy(float))
+    scratch.discard(rows, sample)
+    return model, calibration
 
 
 def score_toxicity(docs: DataFrame, model: KneserNey, calibration: Calibration, keep: list[str] | None = None, ordinary_only: bool = False, text_col: str = "text") -> DataFrame:
     """``keep`` columns (all by default) with ``score`` and ``predicted``.
 
-    ``ordinary_only`` drops documents predicted toxic inside the scan."""
+    ``ordinary_only`` drops documents predicted toxic."""
     docs = docs.drop("score", "predicted")
     keep = [c for c in (keep or docs.columns) if c in docs.columns]
-    shared = docs.sparkSession.sparkContext.broadcast((model, calibration))
-
-    def score(batches):
-        model, calibration = shared.value
-        scorer = Scorer(model)
-        for batch in batches:
-            s = calibration.score(scorer.features(batch.column(text_col)))
-            out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32))], [*keep, "score", "predicted"])
-            yield out.filter(pa.array(s < THRESHOLD)) if ordinary_only else out
-
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    return docs.select(list(dict.fromkeys([*keep, text_col]))).mapInArrow(score, schema)
+    out = features(docs, model, keep, text_col).withColumn("score", calibration.score())
+    out = out.select(*keep, "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    return out.where("predicted = 0") if ordinary_only else out
 
 
 def op10_toxicity(spark, sf_dir: str) -> DataFrame:
