@@ -28,7 +28,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked documents the one with the smallest id stays."""
-    found = setjoin.similar_documents(docs)
+    found = setjoin.similar_documents(docs, links=False)
     copies = scratch.table(found.where("component_id <> doc_id").select(F.col("doc_id").alias("__copy")).distinct(), "copies")
     return docs.join(copies, F.col("doc_id") == F.col("__copy"), "left_anti")
 

@@ -200,6 +200,76 @@ def _compare(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.select("group", "m", "q", "role", "id", "component", "tokens").mapInArrow(emit, "u bigint, v bigint, link boolean, share double")
 
 
+def _meet_inside(matrix: DataFrame) -> DataFrame:
+    """(id, group, tokens): classes with the groups whose earlier members of the same component share tokens with them.
+
+    matrix: (token, id, n, component, group, weight); classes come by id at every token, so of two the later one queries."""
+
+    def emit(batches):
+        key, groups = None, {}
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("token", "component", "id", "n", "group", "weight")]
+            met: dict[tuple[int, int], int] = {}
+            for t, comp, doc, n, group, weight in zip(*columns, strict=True):
+                if (t, comp) != key:
+                    key, groups = (t, comp), {}
+                for g, (low, high) in groups.items():
+                    if 100 * high >= PERCENT * n and PERCENT * low <= 100 * n:
+                        met[doc, g] = met.get((doc, g), 0) + weight
+                low, high = groups.get(group, (n, n))
+                groups[group] = min(low, n), max(high, n)
+            if met:
+                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in met], pa.int64()), pa.array([k[1] for k in met], pa.int64()), pa.array(list(met.values()), pa.int64())], ["id", "group", "tokens"])
+
+    rows = matrix.repartition("token").sortWithinPartitions("token", "component", "id")
+    return rows.select("token", "component", "id", "n", "group", "weight").mapInArrow(emit, "id bigint, group bigint, tokens bigint")
+
+
+def _count_links(blocks: DataFrame, sets: DataFrame) -> DataFrame:
+    """(id, links): the weights of classes linked to each class, over the blocks of queries and members.
+
+    sets: (id, tokens, copies).  A link is counted where the later class queries, for both of its ends."""
+    rows = blocks.join(sets, "id").repartition("group", "m", "q").sortWithinPartitions("group", "m", "q", "role")
+
+    def emit(batches):
+        key, members, index, sums = None, [], None, None
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("group", "m", "q", "role", "id", "component", "copies")]
+            tokens = batch.column("tokens")
+            out: list[tuple[int, int]] = []
+            for i, (g, m, q, role, doc, comp, copies) in enumerate(zip(*columns, strict=True)):
+                if (g, m, q) != key:
+                    if index is not None:
+                        out += [(x[0], int(n)) for x, n in zip(members, sums, strict=True) if n]
+                    key, members, index = (g, m, q), [], None
+                s = np.frombuffer(tokens[i].as_py(), np.uint64)
+                if role == 0:
+                    members.append((doc, comp, copies, s))
+                    continue
+                if not members:
+                    continue
+                if index is None:
+                    flat = np.concatenate([x[3] for x in members])
+                    owner = np.repeat(np.arange(len(members)), [len(x[3]) for x in members])
+                    order = np.argsort(flat, kind="stable")
+                    index = flat[order], owner[order], np.array([len(x[3]) for x in members]), *(np.array([x[j] for x in members]) for j in range(3))
+                    sums = np.zeros(len(members), np.int64)
+                flat, owner, sizes, ids, comps, weights = index
+                low, high = np.searchsorted(flat, s, "left"), np.searchsorted(flat, s, "right")
+                common = np.bincount(owner[tb.ranges(low, high - low)], minlength=len(members))
+                linked = (100 * common >= PERCENT * (len(s) + sizes - common)) & (ids < doc) & (comps == comp)
+                if linked.any():
+                    sums[linked] += copies
+                    out.append((doc, int(weights[linked].sum())))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["id", "links"])
+        out = [(x[0], int(n)) for x, n in zip(members, sums, strict=True) if n] if index is not None else []
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["id", "links"])
+
+    found = rows.select("group", "m", "q", "role", "id", "component", "copies", "tokens").mapInArrow(emit, "id bigint, links bigint")
+    return found.groupBy("id").agg(F.sum("links").alias("links"))
+
+
 def _blocks(members: DataFrame, queries: DataFrame) -> DataFrame:
     """Chunks of members and queries of each group, about BLOCK of either in a block.
 
@@ -298,13 +368,13 @@ def _meet(matrix: DataFrame) -> DataFrame:
     return rows.select("token", "id", "low", "high", "component", "group", "weight").mapInArrow(emit, "id bigint, group bigint, tokens bigint")
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
-    """(id_col, n_shingles, component_id) of every row."""
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, links: bool = True) -> DataFrame:
+    """(id_col, n_shingles, component_id) of every row, with ``n_links`` if ``links``: the other rows linked to it, copies among them."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = scratch.table(_sketches(docs, _frequent(docs, size), size), "sketches")
     full = rows.where("n > 0 AND id IS NOT NULL")
     stands = F.min(F.when(F.col("keys").isNotNull(), F.col("id")))
-    signs = scratch.table(full.groupBy("a", "b").agg(stands.alias("id"), F.min("id").alias("first")), "signs")
+    signs = scratch.table(full.groupBy("a", "b").agg(stands.alias("id"), F.min("id").alias("first"), F.count("*").alias("copies")), "signs")
     one = signs.groupBy("id").agg(F.min(F.struct("a", "b")).alias("s")).select("id", "s.*")
     classes = scratch.table(full.where("keys IS NOT NULL").select("id", "n", "a", "b", "keys").join(one, ["id", "a", "b"]).dropDuplicates(["id"]), "classes")
 
@@ -337,15 +407,39 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     opened = scratch.table(opened, "opened")
     wanted = vertices.select("id", "a", "b").join(opened.select("id").unionByName(queries.select("id")).distinct(), "id")
     sets = _wanted_sets(docs, scratch.table(wanted, "wanted"), size)
-    links = _compare(_blocks(opened.select("group", "id", "component"), queries), sets, PERCENT)
-    edges = links.select("u", "v").unionByName(comps.select(F.col("vertex").alias("u"), F.col("component").alias("v")))
+    found = _compare(_blocks(opened.select("group", "id", "component"), queries), sets, PERCENT)
+    edges = found.select("u", "v").unionByName(comps.select(F.col("vertex").alias("u"), F.col("component").alias("v")))
     roots = graph.components(edges)
 
     named = signs.join(roots.withColumnRenamed("vertex", "id"), "id", "left").withColumn("root", F.coalesce("component", "id"))
     firsts = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = scratch.table(named.select("a", "b", "root").join(firsts, "root").select("a", "b", "component_id"), "named")
+    named = named.select("a", "b", "id", "copies", "root").join(firsts, "root").select("a", "b", "id", "copies", "component_id")
+    if links:
+        named = named.join(_links(docs, held.select("token", "id", "n", "group", "weight"), vertices, roots, signs, group_sizes, need, size), ["id", "a", "b"], "left")
+        named = named.withColumn("n_links", F.col("copies") - 1 + F.coalesce("links", F.lit(0)))
+    else:
+        named = named.withColumn("n_links", F.lit(0).cast("long"))
+    named = scratch.table(named.select("a", "b", "component_id", "n_links"), "named")
     out = rows.select("id", "n", "a", "b").join(named, ["a", "b"], "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id")).alias("component_id"))
+    counted = [F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("n_links")).otherwise(F.lit(0)).alias("n_links")] if links else []
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id")).alias("component_id"), *counted)
+
+
+def _links(docs: DataFrame, held: DataFrame, vertices: DataFrame, roots: DataFrame, signs: DataFrame, group_sizes: DataFrame, need, size: int) -> DataFrame:
+    """(id, a, b, links): the rows of other classes that each class is linked to.
+
+    All links run inside the final components ``roots``; the matrix and the bound choose the
+    groups to open, as for the components, but every link counts."""
+    places = scratch.table(roots.select(F.col("vertex").alias("id"), "component"), "places")
+    met = _meet_inside(held.join(places, "id")).groupBy("id", "group").agg(F.sum("tokens").alias("tokens"))
+    met = met.join(vertices.select("id", "n"), "id").join(group_sizes, "group").where(F.col("tokens") >= F.least(need("n"), need("least")))
+    queries = scratch.table(met.select("group", "id").join(places, "id").select("group", "id", "component"), "inside-queries")
+    opened = vertices.drop("component").join(queries.select("group").distinct(), "group").join(places, "id").select("group", "id", "component")
+    opened = scratch.table(opened, "inside-opened")
+    wanted = vertices.select("id", "a", "b").join(opened.select("id").unionByName(queries.select("id")).distinct(), "id")
+    wanted = scratch.table(wanted.join(signs.select("id", "a", "b", "copies"), ["id", "a", "b"]), "inside-wanted")
+    sets = _wanted_sets(docs, wanted.select("id", "a", "b"), size).join(wanted.select("id", "copies"), "id")
+    return _count_links(_blocks(opened, queries), sets).join(wanted.select("id", "a", "b"), "id")
 
 
 def op9_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from newsloom.llm import toxicity
+from newsloom.llm import setjoin, toxicity
 
 
 def test_toxicity_counts_all_grams(spark, monkeypatch):
@@ -26,3 +26,20 @@ def test_toxicity_counts_all_grams(spark, monkeypatch):
     want = scores()
     monkeypatch.setattr(toxicity, "HEAD", 5)
     assert scores() == want and len(want) == 40
+
+
+def test_links_inside_components(spark, monkeypatch):
+    """Every link of drifting near copies counts, copies included; blocks so small that all are split."""
+    monkeypatch.setattr(setjoin, "BLOCK", 2)
+    rng = np.random.default_rng(2)
+    rows = [(0, None), (1, "")]
+    for family in range(3):
+        words = [f"f{family}x{i}" for i in rng.integers(0, 10**6, 90)]
+        for _ in range(12):
+            rows += [(len(rows) + c, " ".join(words)) for c in range(rng.integers(1, 3))]
+            for at in rng.integers(0, 90, 2):
+                words[at] = f"e{rng.integers(10**6)}"
+    sets = {d: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for d, w in ((d, (t or "").split()) for d, t in rows)}
+    want = {d: sum(4 * len(s & o) >= 3 * len(s | o) for e, o in sets.items() if e != d and s and o) for d, s in sets.items()}
+    got = {r["doc_id"]: r["n_links"] for r in setjoin.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got == want and max(want.values()) > 3
