@@ -245,7 +245,17 @@ def run_attribution(spark, sf):
 
 
 _add("run_attribution", run_attribution, f"WITH {_RUNS}, i AS (SELECT e.event_id, max(struct_pack(f := finished_at, r := run_id)) AS m FROM events e JOIN run ON e.ts BETWEEN started_at AND finished_at GROUP BY e.event_id), n AS (SELECT e.event_id, arg_min(run_id, abs(epoch_us(e.ts) - epoch_us(finished_at))) AS r FROM events e JOIN run ON e.ts BETWEEN finished_at - INTERVAL 15 MINUTE AND finished_at + INTERVAL 15 MINUTE GROUP BY e.event_id) SELECT e.event_id AS trial_id, coalesce(i.m.r, n.r) AS run_id FROM events e LEFT JOIN i ON i.event_id = e.event_id LEFT JOIN n ON n.event_id = e.event_id")
-_add("known_upsert", lambda s, d: rollups.upsert_known(trial(s, d).where("seq % 2 = 0").limit(0).select(F.col("event_id").cast("string").alias("normalized_name"), "status", F.col("seq").cast("string").alias("added_at_utc"), "seq"), trial(s, d).select(F.col("event_id").cast("string").alias("normalized_name"), "status", F.col("seq").cast("string").alias("added_at_utc"), "seq")).select("normalized_name", "status", "added_at_utc", "seq"), f"WITH {TRIAL} SELECT CAST(event_id AS VARCHAR) AS normalized_name, arg_max(status, seq) AS status, CAST(min(seq) AS VARCHAR) AS added_at_utc, max(seq) AS seq FROM trial GROUP BY event_id")
+
+
+def known_upsert(spark, sf):
+    """The earlier half of the trials is the state, the later half comes to it."""
+    t = trial(spark, sf).select(F.col("event_id").cast("string").alias("normalized_name"), "status", F.col("seq").cast("string").alias("added_at_utc"), "seq")
+    half = (t.agg(F.max("seq")).first()[0] or 0) // 2
+    state = rollups.upsert_known(t.where("false"), t.where(F.col("seq") <= half))
+    return rollups.upsert_known(state, t.where(F.col("seq") > half)).select("normalized_name", "status", "added_at_utc", "seq")
+
+
+_add("known_upsert", known_upsert, f"WITH {TRIAL} SELECT CAST(event_id AS VARCHAR) AS normalized_name, arg_max(status, seq) AS status, CAST(min(seq) AS VARCHAR) AS added_at_utc, max(seq) AS seq FROM trial GROUP BY event_id")
 _add("person_rollup", lambda s, d: rollups.person_rollup(trial(s, d).select(F.col("status").alias("subject_name"), F.date_format("ts", "yyyyMMdd").alias("run_id"), "event_id", F.col("ts").alias("trial_at"), "seq", F.array(F.col("event_id").cast("string")).alias("urls"), F.array().cast("array<string>").alias("domains"))).select("person", F.size("run_ids").cast("long").alias("runs"), "event_count", F.size("all_urls").cast("long").alias("urls"), F.size("events").cast("long").alias("events")), f"WITH {TRIAL} SELECT lower(status) AS person, count(DISTINCT strftime(ts, '%Y%m%d')) AS runs, count(DISTINCT event_id) AS event_count, count(DISTINCT event_id) AS urls, count(DISTINCT event_id) AS events FROM trial GROUP BY status")
 _add("priority_recency_topk", lambda s, d: ordered.top_k(_t(s, d, "orders").select(F.col("o_orderkey").alias("seq"), F.nullif(F.substring("o_orderpriority", 1, 1).cast("int"), F.lit(5)).alias("feed_priority"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("published_at_utc")), 50, ordered.priority_order()), "SELECT o_orderkey AS seq, nullif(CAST(substr(o_orderpriority, 1, 1) AS INTEGER), 5) AS feed_priority, strftime(o_orderdate, '%Y-%m-%d') AS published_at_utc FROM orders ORDER BY feed_priority ASC NULLS LAST, published_at_utc DESC, seq LIMIT 50")
 _add("sample_k", lambda s, d: ordered.sample_k(_t(s, d, "orders"), 50, "o_orderkey").select("o_orderkey"))
