@@ -1,32 +1,36 @@
 """Exact n-gram Jaccard join by a token-group matrix.
 
 Sets of 5-word shingles that share at least three quarters of their union are linked.  Copies
-are one class.  The exact work is done for classes:
-
-1. *Groups.*  Classes that share min-hash keys are compared with one leader per key.  Links
-   give first components; the least of the leaders that are similar enough names the class's group.
-2. *Matrix.*  A link needs several shared tokens in both sets' prefixes under one order of
-   tokens (frequent ones last).  Tokens that one class alone holds are dropped; the others form
-   the matrix of tokens and groups, the groups' token unions.  Tokens that the same classes hold
-   are one column with a weight, so a shared passage counts as one and not once for each shingle.
-3. *Bound.*  A query class counts the tokens that each group's union shares with its prefix, and
-   meets only groups of other components with members of a fitting size.  Groups whose count
-   is below the least that a link needs are never opened.
+are one class.  The exact work is done for classes, and of two classes the larger one (by size,
+then id) is the query:
+
+1. *Groups.*  Classes that agree in a band of min-hash keys and are of similar size share a
+   bucket; a class joins the largest of its buckets, so many near copies make few groups.
+2. *Matrix.*  Under one order of tokens (frequent ones last) a link needs several shared tokens
+   between the query's prefix and the shorter prefix that suffices for the smaller set.  The
+   matrix holds the tokens of each group's union of such member prefixes, with the sizes of the
+   members behind each token.  Tokens that one class alone holds are dropped, and tokens that the
+   same classes hold are one column with a weight, so a shared passage counts as one.
+3. *Bound.*  A query adds up the weights of the columns that it shares with each group that has
+   members of a fitting size.  Groups below the least that a link needs are never opened.
 4. *Opening.*  Members of qualifying groups are compared with the queries exactly, in blocks of
-   bounded size; a block reports one link for each component it reaches.
+   bounded size.  A block returns the number of links of each query and member and edges that
+   span what it links, so its rows grow with queries and members and not with their pairs.
 
-Steps 1 and the token order only steer the work: whatever they choose, step 2 to 4 find every
-link between different components, so the components are exact.  The order comes from a
-sample of documents; its table holds at most ``MAX_FREQUENT`` tokens.
+Steps 1 and the token order only steer the work: whatever they choose, steps 2 to 4 find every
+link, so components and numbers of links are exact.  The order comes from a sample of documents;
+its table holds at most ``MAX_FREQUENT`` tokens.
 
-No step gathers a key's rows in memory: minima are combined before shuffles, tokens stream in
-sorted order, groups are opened in chunks.  Rows of components of ``LARGE`` classes and more
-are combined per token before they are dealt out.
+No step gathers a key's rows in memory: counts are combined before shuffles, tokens stream in
+sorted order, the matrix is joined by Spark, and groups are opened in chunks of at most ``BLOCK``
+members or about ``BLOCK_TOKENS`` tokens.
 
 Defined results: a text with fewer words than a shingle has them all as one; without words the
 set is empty and linked with nothing; rows that repeat an id with an equal text are one
-document, and where an id comes with different texts one of them stands for it; an empty table
-gives an empty table.  Other input columns are ignored.
+document, and where an id comes with different texts one of them stands for it; rows with a null
+id have a set but no links; a text of any length is one set, held by one task; ties of size go by
+id, ties of bucket size by the bucket's hash; an empty table gives an empty table.  Other input
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,12 +45,12 @@ from newsloom.llm import textbatch as tb
 
 SHINGLE, PERCENT = 5, 75
 #: Prefixes grow by a SPARE-th of a set, and so many shared tokens are needed.
-SPARE = 16
-KEYS, AGREE, GROUP_PERCENT = 8, 3, 50
+SPARE = 32
+BANDS, ROWS = 6, 2
 SAMPLED, MAX_FREQUENT = 16, 1 << 18
-BLOCK, LARGE = 256, 1000
-_MASKS = [int(x) & 0x3FFFFFFF for x in tb.mix(np.arange(1, KEYS + 1, dtype=np.uint64))]
-_SEEDS = tb.mix(np.arange(101, 101 + KEYS, dtype=np.uint64))
+BLOCK, BLOCK_TOKENS = 256, 1 << 20
+_SEEDS = tb.mix(np.arange(101, 101 + BANDS * ROWS, dtype=np.uint64))
+_ODD = tb.mix(np.arange(301, 301 + BANDS * ROWS, dtype=np.uint64)) | np.uint64(1)
 
 
 def _sets(texts: pa.Array, size: int):
@@ -66,9 +70,25 @@ def _sets(texts: pa.Array, size: int):
                 yield np.zeros(0, np.uint64)
 
 
-def needed(n):
-    """Shared prefix tokens that a link of a set of n tokens has."""
-    return np.maximum(1, np.minimum(-(-PERCENT * n // 100), n // SPARE))
+def _sign(s: np.ndarray) -> tuple[np.ndarray, int, int]:
+    """Mixed tokens, and two numbers that equal sets share."""
+    m = tb.mix(s)
+    return m, int(m.sum()) - (1 << 63), int(tb.mix(m ^ _SEEDS[0]).sum()) - (1 << 63)
+
+
+def least_overlap(n: int) -> int:
+    """Tokens that a set of n shares with any smaller or equal set that it is linked to."""
+    return -(-PERCENT * n // 100)
+
+
+def least_within(n: int) -> int:
+    """Tokens that a set of n shares with any larger or equal set that it is linked to."""
+    return -(-2 * PERCENT * n // (100 + PERCENT))
+
+
+def needed(n: int) -> int:
+    """Shared prefix tokens that a link has whose smaller set has n tokens."""
+    return max(1, min(least_overlap(n), n // SPARE))
 
 
 def _frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,43 +109,51 @@ def _frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sketches(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], size: int) -> DataFrame:
-    """One row per document; keys and prefix only for the first of equal sets in a task."""
+    """One row per document; bands and prefix only for the first of equal sets in a task.
+
+    The prefix is ``rare`` and then ``common`` tokens; its first ``own`` ones serve as a member's."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def emit(batches):
         tokens, counts = shared.value
         seen: set[tuple[int, int]] = set()
         for batch in batches:
-            n, a, b, keys, rare, common = [], [], [], [], [], []
+            n, a, b, bands, own, rare, common = [], [], [], [], [], [], []
             for s in _sets(batch.column("text"), size):
+                m, x, y = _sign(s)
                 n.append(len(s))
-                m = tb.mix(s)
-                sign = (int(m.sum()), int(tb.mix(m ^ _SEEDS[0]).sum()))
-                a.append(sign[0] - (1 << 63))
-                b.append(sign[1] - (1 << 63))
-                if not len(s) or sign in seen:
-                    keys.append(None), rare.append(None), common.append(None)
+                a.append(x)
+                b.append(y)
+                if not len(s) or (x, y) in seen:
+                    bands.append(None), own.append(None), rare.append(None), common.append(None)
                     continue
                 if len(seen) < 1_000_000:
-                    seen.add(sign)
-                keys.append([int(tb.mix(s ^ seed).min() >> np.uint64(33)) for seed in _SEEDS])
-                need = len(s) - -(-PERCENT * len(s) // 100) + int(needed(len(s)))
+                    seen.add((x, y))
+                keys = np.array([((m ^ seed) * odd).min() for seed, odd in zip(_SEEDS, _ODD, strict=True)]).reshape(BANDS, ROWS)
+                scale = np.uint64(int(np.log(len(s)) / np.log(4 / 3)))
+                bucket = tb.mix(keys[:, 0] ^ tb.mix(keys[:, 1])) ^ tb.mix(scale + (np.arange(BANDS, dtype=np.uint64) << np.uint64(32)))
+                bands.append(bucket.view(np.int64))
+                spare = needed(len(s))
+                own.append(len(s) - least_within(len(s)) + spare)
+                need = len(s) - least_overlap(len(s)) + spare
                 if len(tokens):
                     at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
-                    rank = np.where(tokens[at] == s, counts[at], 0)
+                    known = tokens[at] == s
                 else:
-                    rank = np.zeros(len(s), np.int64)
-                first = np.lexsort((s, rank))[:need]
-                rare.append(s[first[rank[first] == 0]].view(np.int64))
-                common.append(s[first[rank[first] > 0]].view(np.int64))
+                    at, known = np.zeros(len(s), np.int64), np.zeros(len(s), bool)
+                first = s[~known][:need]
+                rest = np.flatnonzero(known)
+                rest = rest[np.lexsort((s[rest], counts[at[rest]]))][: need - len(first)] if len(first) < need else rest[:0]
+                rare.append(first.view(np.int64))
+                common.append(s[rest].view(np.int64))
             longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(keys, pa.list_(pa.int32())), pa.array(rare, longs), pa.array(common, longs)], ["id", "n", "a", "b", "keys", "rare", "common"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(bands, longs), pa.array(own, pa.int64()), pa.array(rare, longs), pa.array(common, longs)], ["id", "n", "a", "b", "bands", "own", "rare", "common"])
 
-    return docs.mapInArrow(emit, "id bigint, n bigint, a bigint, b bigint, keys array<int>, rare array<bigint>, common array<bigint>")
+    return docs.mapInArrow(emit, "id bigint, n bigint, a bigint, b bigint, bands array<bigint>, own bigint, rare array<bigint>, common array<bigint>")
 
 
 def _wanted_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(id, tokens) of the wanted (id, a, b) classes; a bitmap of bounded size spares the rest."""
+    """(id, n, copies, tokens) of the wanted (id, a, b, copies) classes; a bitmap of bounded size spares the rest."""
     bits = 1 << 16
     n = wanted.count()
     while bits < 16 * n and bits < 1 << 26:
@@ -143,303 +171,187 @@ def _wanted_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             batch = batch.filter(pa.array(((bitmap[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)))
             ids, a, b, sets = [], [], [], []
             for doc, s in zip(batch.column("id").to_pylist(), _sets(batch.column("text"), size), strict=True):
-                m = tb.mix(s)
+                _, x, y = _sign(s)
                 ids.append(doc)
-                a.append(int(m.sum()) - (1 << 63))
-                b.append(int(tb.mix(m ^ _SEEDS[0]).sum()) - (1 << 63))
+                a.append(x)
+                b.append(y)
                 sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sets, pa.binary())], ["id", "a", "b", "tokens"])
 
     found = docs.where(F.col("id").isNotNull()).withColumn("p", place.cast("int")).mapInArrow(emit, "id bigint, a bigint, b bigint, tokens binary")
-    return scratch.table(found.join(wanted.select("id", "a", "b"), ["id", "a", "b"]).select("id", "tokens").dropDuplicates(["id"]), "sets")
-
+    found = found.join(wanted.select("id", "a", "b", "copies"), ["id", "a", "b"]).select("id", "copies", "tokens")
+    return scratch.table(found.dropDuplicates(["id"]), "sets")
 
-def _compare(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Exact comparison of queries (role 1) with members (role 0) of each (group, m, q) block.
 
-    A block has about BLOCK members at most; queries stream past them.  (u, v, link, common):
-    one row for each query and component that it reaches, or every pair at ``percent`` if that
-    is below the threshold of a link."""
-    rows = blocks.join(sets, "id").repartition("group", "m", "q").sortWithinPartitions("group", "m", "q", "role")
+class _Members:
+    """Members of a block: an index of their tokens, their links so far, and what is connected."""
 
-    def emit(batches):
-        key, members, index = None, [], None
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("group", "m", "q", "role", "id", "component")]
-            tokens = batch.column("tokens")
-            u, v, link, share = [], [], [], []
-            for i, (g, m, q, role, doc, comp) in enumerate(zip(*columns, strict=True)):
-                if (g, m, q) != key:
-                    key, members, index = (g, m, q), [], None
-                s = np.frombuffer(tokens[i].as_py(), np.uint64)
-                if role == 0:
-                    members.append((doc, comp, s))
-                    continue
-                if not members:
-                    continue
-                if index is None:
-                    flat = np.concatenate([x[2] for x in members])
-                    owner = np.repeat(np.arange(len(members)), [len(x[2]) for x in members])
-                    order = np.argsort(flat, kind="stable")
-                    index = flat[order], owner[order], np.array([len(x[2]) for x in members])
-                flat, owner, sizes = index
-                low, high = np.searchsorted(flat, s, "left"), np.searchsorted(flat, s, "right")
-                common = np.bincount(owner[tb.ranges(low, high - low)], minlength=len(members))
-                union = len(s) + sizes - common
-                reached = set()
-                for j in np.flatnonzero(100 * common >= percent * union).tolist():
-                    other, its, _ = members[j]
-                    linked = bool(100 * common[j] >= PERCENT * union[j])
-                    if other == doc or its == comp or percent == PERCENT and its in reached:
-                        continue
-                    reached.add(its)
-                    u.append(doc), v.append(other), link.append(linked), share.append(float(common[j] / union[j]))
-            if u:
-                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(link), pa.array(share)], ["u", "v", "link", "share"])
+    def __init__(self, rows: list[tuple[int, int, np.ndarray]]):
+        self.ids = np.array([r[0] for r in rows], np.int64)
+        self.copies = np.array([r[1] for r in rows], np.int64)
+        self.sizes = np.array([len(r[2]) for r in rows], np.int64)
+        flat = np.concatenate([r[2] for r in rows])
+        order = np.argsort(flat, kind="stable")
+        self.flat, self.owner = flat[order], np.repeat(np.arange(len(rows)), self.sizes)[order]
+        self.links = np.zeros(len(rows), np.int64)
+        self.label = np.arange(len(rows))
 
-    return rows.select("group", "m", "q", "role", "id", "component", "tokens").mapInArrow(emit, "u bigint, v bigint, link boolean, share double")
+    def linked(self, doc: int, s: np.ndarray) -> np.ndarray:
+        """Places of the members, before the query by size and id, that the query is linked to."""
+        low, high = np.searchsorted(self.flat, s, "left"), np.searchsorted(self.flat, s, "right")
+        common = np.bincount(self.owner[tb.ranges(low, high - low)], minlength=len(self.ids))
+        before = (self.sizes < len(s)) | (self.sizes == len(s)) & (self.ids < doc)
+        return np.flatnonzero(before & (100 * common >= PERCENT * (len(s) + self.sizes - common)))
 
+    def connect(self, at: np.ndarray) -> np.ndarray:
+        """One member for each part that these members join; they are one part from now on."""
+        parts = np.unique(self.label[at])
+        self.label[np.isin(self.label, parts)] = parts[0]
+        return self.ids[parts]
 
-def _meet_inside(matrix: DataFrame) -> DataFrame:
-    """(id, group, tokens): classes with the groups whose earlier members of the same component share tokens with them.
 
-    matrix: (token, id, n, component, group, weight); classes come by id at every token, so of two the later one queries."""
+def _compare(blocks: DataFrame, sets: DataFrame) -> DataFrame:
+    """(u, v, links): edges that span the links (links is 0), and numbers of links (v is null).
 
-    def emit(batches):
-        key, groups = None, {}
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("token", "component", "id", "n", "group", "weight")]
-            met: dict[tuple[int, int], int] = {}
-            for t, comp, doc, n, group, weight in zip(*columns, strict=True):
-                if (t, comp) != key:
-                    key, groups = (t, comp), {}
-                for g, (low, high) in groups.items():
-                    if 100 * high >= PERCENT * n and PERCENT * low <= 100 * n:
-                        met[doc, g] = met.get((doc, g), 0) + weight
-                low, high = groups.get(group, (n, n))
-                groups[group] = min(low, n), max(high, n)
-            if met:
-                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in met], pa.int64()), pa.array([k[1] for k in met], pa.int64()), pa.array(list(met.values()), pa.int64())], ["id", "group", "tokens"])
-
-    rows = matrix.repartition("token").sortWithinPartitions("token", "component", "id")
-    return rows.select("token", "component", "id", "n", "group", "weight").mapInArrow(emit, "id bigint, group bigint, tokens bigint")
-
-
-def _count_links(blocks: DataFrame, sets: DataFrame) -> DataFrame:
-    """(id, links): the weights of classes linked to each class, over the blocks of queries and members.
-
-    sets: (id, tokens, copies).  A link is counted where the later class queries, for both of its ends."""
+    blocks: (group, m, q, role, id), members with role 0 and queries with role 1."""
     rows = blocks.join(sets, "id").repartition("group", "m", "q").sortWithinPartitions("group", "m", "q", "role")
 
     def emit(batches):
-        key, members, index, sums = None, [], None, None
+        key, rows, members = None, [], None
+
+        def totals():
+            at = np.flatnonzero(members.links) if members is not None else []
+            return [(int(members.ids[i]), None, int(members.links[i])) for i in at]
+
+        def batch_of(out):
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in range(3)], ["u", "v", "links"])
+
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("group", "m", "q", "role", "id", "component", "copies")]
+            columns = [batch.column(c).to_pylist() for c in ("group", "m", "q", "role", "id", "copies")]
             tokens = batch.column("tokens")
-            out: list[tuple[int, int]] = []
-            for i, (g, m, q, role, doc, comp, copies) in enumerate(zip(*columns, strict=True)):
+            out: list[tuple] = []
+            for i, (g, m, q, role, doc, copies) in enumerate(zip(*columns, strict=True)):
                 if (g, m, q) != key:
-                    if index is not None:
-                        out += [(x[0], int(n)) for x, n in zip(members, sums, strict=True) if n]
-                    key, members, index = (g, m, q), [], None
+                    out += totals()
+                    key, rows, members = (g, m, q), [], None
                 s = np.frombuffer(tokens[i].as_py(), np.uint64)
                 if role == 0:
-                    members.append((doc, comp, copies, s))
-                    continue
-                if not members:
+                    rows.append((doc, copies, s))
                     continue
-                if index is None:
-                    flat = np.concatenate([x[3] for x in members])
-                    owner = np.repeat(np.arange(len(members)), [len(x[3]) for x in members])
-                    order = np.argsort(flat, kind="stable")
-                    index = flat[order], owner[order], np.array([len(x[3]) for x in members]), *(np.array([x[j] for x in members]) for j in range(3))
-                    sums = np.zeros(len(members), np.int64)
-                flat, owner, sizes, ids, comps, weights = index
-                low, high = np.searchsorted(flat, s, "left"), np.searchsorted(flat, s, "right")
-                common = np.bincount(owner[tb.ranges(low, high - low)], minlength=len(members))
-                linked = (100 * common >= PERCENT * (len(s) + sizes - common)) & (ids < doc) & (comps == comp)
-                if linked.any():
-                    sums[linked] += copies
-                    out.append((doc, int(weights[linked].sum())))
+                if members is None:
+                    if not rows:
+                        continue
+                    members, rows = _Members(rows), []
+                if len(at := members.linked(doc, s)):
+                    members.links[at] += copies
+                    out.append((doc, None, int(members.copies[at].sum())))
+                    out += [(doc, int(v), 0) for v in members.connect(at)]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["id", "links"])
-        out = [(x[0], int(n)) for x, n in zip(members, sums, strict=True) if n] if index is not None else []
-        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["id", "links"])
+                yield batch_of(out)
+        yield batch_of(totals())
 
-    found = rows.select("group", "m", "q", "role", "id", "component", "copies", "tokens").mapInArrow(emit, "id bigint, links bigint")
-    return found.groupBy("id").agg(F.sum("links").alias("links"))
+    return rows.select("group", "m", "q", "role", "id", "copies", "tokens").mapInArrow(emit, "u bigint, v bigint, links bigint")
 
 
 def _blocks(members: DataFrame, queries: DataFrame) -> DataFrame:
-    """Chunks of members and queries of each group, about BLOCK of either in a block.
-
-    members, queries: (group, id, component)."""
-    count = lambda df, c: df.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).alias(c))
+    """Chunks of the (group, id, n) members and queries of each group, and the blocks of either."""
+    chunks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_TOKENS))
+    count = lambda df, c: df.groupBy("group").agg(chunks.alias(c))
     chunks = scratch.table(count(members, "ms").join(count(queries, "qs"), "group"), "chunks")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n).cast("int") - 1))
     own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    left = members.join(chunks, "group").select("group", own("ms").alias("m"), spread("qs").alias("q"), F.lit(0).alias("role"), "id", "component")
-    right = queries.join(chunks, "group").select("group", spread("ms").alias("m"), own("qs").alias("q"), F.lit(1).alias("role"), "id", "component")
+    left = members.join(chunks, "group").select("group", own("ms").alias("m"), spread("qs").alias("q"), F.lit(0).alias("role"), "id")
+    right = queries.join(chunks, "group").select("group", spread("ms").alias("m"), own("qs").alias("q"), F.lit(1).alias("role"), "id")
     return left.unionByName(right)
 
 
-def _leaders(classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """(u, v, link, share): classes compared with the leaders of their keys."""
-    keyed = classes.select("id", F.posexplode("keys").alias("j", "key"))
-    masks = F.array(*(F.lit(m).cast("long") for m in _MASKS))
-    mask = F.element_at(masks, F.col("j") + 1)
-    least = keyed.groupBy("j", "key").agg(F.min(F.col("id").bitwiseXOR(mask)).alias("least"), F.count("*").alias("n")).where("n > 1")
-    least = scratch.table(least.select("j", "key", F.col("least").bitwiseXOR(mask).alias("leader")), "leaders")
-    pairs = keyed.join(least, ["j", "key"]).where("id <> leader").select(F.greatest("id", "leader").alias("id"), F.least("id", "leader").alias("leader")).distinct()
-    own = classes.select("id", "n", "keys")
-    far = own.select(F.col("id").alias("leader"), F.col("n").alias("its"), F.col("keys").alias("its_keys"))
-    agree = F.size(F.filter(F.zip_with("keys", "its_keys", lambda x, y: x == y), lambda x: x))
-    fits = (100 * F.least("n", "its") >= PERCENT * F.greatest("n", "its")) & (agree >= AGREE)
-    pairs = scratch.table(pairs.join(own, "id").join(far, "leader").where(fits).select("id", "leader"), "leader-pairs")
-    wanted = pairs.select("id").unionByName(pairs.select(F.col("leader").alias("id"))).distinct()
-    sets = _wanted_sets(docs, scratch.table(classes.select("id", "a", "b").join(wanted, "id"), "wanted"), size)
-    members = pairs.select(F.col("leader").alias("group"), F.col("leader").alias("id"), F.col("leader").alias("component")).distinct()
-    queries = pairs.select(F.col("leader").alias("group"), "id", F.col("id").alias("component"))
-    return scratch.table(_compare(_blocks(members, queries), sets, GROUP_PERCENT), "leader-links")
+def _groups(classes: DataFrame) -> DataFrame:
+    """(id, group): the largest bucket of each class; classes alone in all of theirs are left out."""
+    held = classes.select("id", F.explode("bands").alias("bucket"))
+    many = scratch.table(held.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
+    best = F.max(F.struct("size", "bucket"))
+    return scratch.table(held.join(many, "bucket").groupBy("id").agg(best.alias("x")).select("id", F.col("x.bucket").alias("group")), "groups")
 
 
 def _shared_tokens(rows: DataFrame) -> DataFrame:
-    """(token, id) rows of tokens that two classes or more hold; tokens stream in order."""
+    """The (token, id, member) rows of tokens that two classes or more hold; tokens stream in order."""
 
     def emit(batches):
-        held = (np.zeros(0, np.int64), np.zeros(0, np.int64), False)  # the last row so far, and whether it went out
+        held, gone = None, False  # the last row so far, and whether it went out
         for batch in batches:
-            t = np.concatenate([held[0], batch.column("token").to_numpy()])
-            v = np.concatenate([held[1], batch.column("id").to_numpy()])
+            t, v, w = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "id", "member"))
+            if held is not None:
+                t, v, w = np.concatenate([held[0], t]), np.concatenate([held[1], v]), np.concatenate([held[2], w])
             same = t[1:] == t[:-1]
-            many = np.concatenate([[held[2]], same]) if len(held[0]) else np.concatenate([[False], same])
+            many = np.concatenate([[gone], same])
             many[:-1] |= same
             out = many.copy()
-            if len(held[0]) and held[2]:
-                out[0] = False  # went out with an earlier batch
+            out[0] &= not gone
             if out.any():
-                yield pa.RecordBatch.from_arrays([pa.array(t[out]), pa.array(v[out])], ["token", "id"])
-            held = (t[-1:], v[-1:], bool(many[-1]))
+                yield pa.RecordBatch.from_arrays([pa.array(t[out]), pa.array(v[out]), pa.array(w[out])], ["token", "id", "member"])
+            held, gone = (t[-1:], v[-1:], w[-1:]), bool(many[-1])
 
-    return rows.repartition("token").sortWithinPartitions("token").mapInArrow(emit, "token bigint, id bigint")
+    return rows.repartition("token").sortWithinPartitions("token").mapInArrow(emit, "token bigint, id bigint, member boolean")
 
 
 def _columns(held: DataFrame) -> DataFrame:
-    """(token, id, weight): of tokens that equal sets of classes hold, the least and their number.
+    """(token, id, member, weight): of tokens that equal sets of classes hold, one and their number.
 
-    Sets are equal by count and two 64-bit exclusive ors of hashed ids."""
-    by_token = held.groupBy("token").agg(F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"), F.count("*").alias("k"))
-    columns = by_token.groupBy("x", "y", "k").agg(F.min("token").alias("token"), F.count("*").alias("weight"))
+    Sets are equal by count and two 64-bit exclusive ors of hashed rows."""
+    by_token = held.groupBy("token").agg(F.bit_xor(F.xxhash64("id", "member")).alias("x"), F.bit_xor(F.xxhash64("member", "id", F.lit(1))).alias("y"), F.count("*").alias("k"), F.bool_or("member").alias("asked"))
+    columns = by_token.where("asked AND k > 1").groupBy("x", "y", "k").agg(F.min("token").alias("token"), F.count("*").alias("weight"))
     return held.join(scratch.table(columns.select("token", "weight"), "columns"), "token")
 
 
-def _meet(matrix: DataFrame) -> DataFrame:
-    """(id, group, tokens): queries with the groups whose unions share tokens with them.
-
-    matrix: (token, id, low, high, component, size, group, weight); a null id is a member only.  Within
-    a token rows come from large components to small ones; each queries what came before."""
-
-    def emit(batches):
-        token, groups = None, {}
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("token", "id", "low", "high", "component", "group", "weight")]
-            met: dict[tuple[int, int], int] = {}
-            for t, doc, low, high, comp, group, weight in zip(*columns, strict=True):
-                if t != token:
-                    token, groups = t, {}
-                if doc is not None:
-                    for g, spans in groups.items():
-                        # spans: of the group's members here, the least and largest size by component, two components at most
-                        if any(c != comp and 100 * s[0] * PERCENT <= 10000 * high and 100 * low * PERCENT <= 10000 * s[1] for c, s in spans.items()):
-                            met[doc, g] = met.get((doc, g), 0) + weight
-                spans = groups.setdefault(group, {})
-                at = comp if comp in spans or len(spans) < 2 else next(iter(spans))
-                if at != comp:  # a third component: the two kept ones widen to hold it, so no query misses it
-                    for s in spans.values():
-                        s[0], s[1] = min(s[0], low), max(s[1], high)
-                elif comp in spans:
-                    spans[comp][0], spans[comp][1] = min(spans[comp][0], low), max(spans[comp][1], high)
-                else:
-                    spans[comp] = [low, high]
-            if met:
-                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in met], pa.int64()), pa.array([k[1] for k in met], pa.int64()), pa.array(list(met.values()), pa.int64())], ["id", "group", "tokens"])
-
-    rows = matrix.repartition("token").sortWithinPartitions("token", F.desc("size"), "component")
-    return rows.select("token", "id", "low", "high", "component", "group", "weight").mapInArrow(emit, "id bigint, group bigint, tokens bigint")
+def _qualifying(held: DataFrame, vertices: DataFrame) -> DataFrame:
+    """(group, id, n): queries with the groups that the bound doesn't exclude."""
+    held = scratch.table(_columns(held).join(vertices.select("id", "n", "group"), "id"), "matrix")
+    matrix = held.where("member").groupBy("token", "group", "weight").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    fits = (F.col("low") <= F.col("n")) & (100 * F.col("high") >= PERCENT * F.col("n"))
+    met = held.select("token", "id", "n").join(matrix, "token").where(fits).groupBy("id", "n", "group").agg(F.sum("weight").alias("tokens"), F.min("low").alias("low"))
+    least = F.greatest("low", F.ceil(F.col("n") * PERCENT / 100))
+    need = F.greatest(F.lit(1), F.least(F.ceil(least * PERCENT / 100), F.floor(least / SPARE)))
+    return met.where(F.col("tokens") >= need).select("group", "id", "n")
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, links: bool = True) -> DataFrame:
-    """(id_col, n_shingles, component_id) of every row, with ``n_links`` if ``links``: the other rows linked to it, copies among them."""
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
+    """(id_col, n_shingles, component_id, n_links) of every row; links are to other rows, copies among them."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = scratch.table(_sketches(docs, _frequent(docs, size), size), "sketches")
     full = rows.where("n > 0 AND id IS NOT NULL")
-    stands = F.min(F.when(F.col("keys").isNotNull(), F.col("id")))
-    signs = scratch.table(full.groupBy("a", "b").agg(stands.alias("id"), F.min("id").alias("first"), F.count("*").alias("copies")), "signs")
-    one = signs.groupBy("id").agg(F.min(F.struct("a", "b")).alias("s")).select("id", "s.*")
-    classes = scratch.table(full.where("keys IS NOT NULL").select("id", "n", "a", "b", "keys").join(one, ["id", "a", "b"]).dropDuplicates(["id"]), "classes")
-
-    near = _leaders(classes, docs, size)
-    comps = graph.components(near.where("link").select("u", "v"))
-    best = near.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("group"))  # the least leader: few groups for many alike
-    sizes = comps.groupBy("component").agg(F.count("*").alias("size"))
-    placed = comps.join(sizes, "component").select(F.col("vertex").alias("id"), "component", "size")
-    own = F.col("id")
-    vertices = classes.select("id", "n", "a", "b").join(placed, "id", "left").join(best, "id", "left")
-    vertices = scratch.table(vertices.select("id", "n", "a", "b", F.coalesce("component", own).alias("component"), F.coalesce("size", F.lit(1)).alias("size"), F.coalesce("group", own).alias("group")), "vertices")
-
-    prefixes = full.where("keys IS NOT NULL").select("id", "a", "b", "rare", "common").join(vertices.select("id", "a", "b"), ["id", "a", "b"]).dropDuplicates(["id"])
-    rare = _shared_tokens(prefixes.select("id", F.explode("rare").alias("token")))
-    common = full.where("keys IS NOT NULL AND size(common) > 0").select("id", "a", "b", "common").join(vertices.select("id", "a", "b"), ["id", "a", "b"]).dropDuplicates(["id"]).select(F.explode("common").alias("token"), "id")
-    held = _columns(scratch.table(rare.unionByName(common.select("token", "id")), "shared-tokens")).join(vertices.drop("a", "b"), "id")
-    small = held.where(F.col("size") < LARGE).select("token", "id", F.col("n").alias("low"), F.col("n").alias("high"), "component", "size", "group", "weight")
-    large = held.where(F.col("size") >= LARGE)
-    unions = scratch.table(large.groupBy("token", "component", "size", "group", "weight").agg(F.min("n").alias("low"), F.max("n").alias("high")), "large-unions")
-    meeting = unions.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("token")
-    asking = large.join(meeting, "token").select("token", "id", F.col("n").alias("low"), F.col("n").alias("high"), "component", "size", "group", "weight")
-    matrix = small.unionByName(asking).unionByName(unions.select("token", F.lit(None).cast("long").alias("id"), "low", "high", "component", "size", "group", "weight"))
-
-    group_sizes = vertices.groupBy("group").agg(F.min("n").alias("least"))
-    met = _meet(matrix).groupBy("id", "group").agg(F.sum("tokens").alias("tokens"))
-    need = lambda n: F.greatest(F.lit(1), F.least(F.ceil(F.col(n) * PERCENT / 100), F.floor(F.col(n) / SPARE)))
-    met = met.join(vertices.select("id", "n", "component"), "id").join(group_sizes, "group").where(F.col("tokens") >= F.least(need("n"), need("least")))
-    queries = scratch.table(met.select("group", "id", "component"), "queries")
-    opened = vertices.join(queries.select("group").distinct(), "group").select("group", "id", "component", "a", "b")
-    opened = scratch.table(opened, "opened")
-    wanted = vertices.select("id", "a", "b").join(opened.select("id").unionByName(queries.select("id")).distinct(), "id")
+    stands = F.min(F.when(F.col("bands").isNotNull(), F.col("id")))
+    one = full.select("id", "a", "b", "bands").groupBy("a", "b").agg(stands.alias("id"), F.min("id").alias("first"), F.countDistinct("id").alias("copies"))
+    signs = scratch.table(one, "signs")
+    one = signs.groupBy("id").agg(F.min(F.struct("a", "b", "copies")).alias("s")).select("id", "s.*")
+    classes = full.where("bands IS NOT NULL").join(one, ["id", "a", "b"]).dropDuplicates(["id"])
+    classes = scratch.table(classes, "classes")
+    vertices = classes.select("id", "n", "a", "b", "copies").join(_groups(classes), "id", "left").withColumn("group", F.coalesce("group", F.xxhash64("id", F.lit("alone"))))
+    vertices = scratch.table(vertices, "vertices")
+
+    rare = _shared_tokens(classes.select("id", "own", F.posexplode("rare").alias("at", "token")).select("token", "id", (F.col("at") < F.col("own")).alias("member")))
+    common = classes.where("size(common) > 0").select("id", (F.col("own") - F.size("rare")).alias("own"), F.posexplode("common").alias("at", "token")).select("token", "id", (F.col("at") < F.col("own")).alias("member"))
+    held = scratch.table(rare.unionByName(common), "shared-tokens")
+
+    many = vertices.groupBy("group").agg(F.count("*").alias("size"))
+    queries = _qualifying(held, vertices).join(many, "group")
+    own = vertices.select("id", F.col("group").alias("mine"))
+    queries = queries.join(own, "id").where("size > 1 OR group <> mine")  # a class alone in its group doesn't meet itself
+    queries = scratch.table(queries.select("group", "id", "n"), "queries")
+    opened = scratch.table(vertices.join(queries.select("group").distinct(), "group").select("group", "id", "n"), "opened")
+    wanted = vertices.select("id", "a", "b", "copies").join(opened.select("id").unionByName(queries.select("id")).distinct(), "id")
     sets = _wanted_sets(docs, scratch.table(wanted, "wanted"), size)
-    found = _compare(_blocks(opened.select("group", "id", "component"), queries), sets, PERCENT)
-    edges = found.select("u", "v").unionByName(comps.select(F.col("vertex").alias("u"), F.col("component").alias("v")))
-    roots = graph.components(edges)
+    found = scratch.table(_compare(_blocks(opened, queries), sets), "links")
+    roots = graph.components(found.where("v IS NOT NULL").select("u", "v"))
+    counts = found.where("links > 0").groupBy(F.col("u").alias("id")).agg(F.sum("links").alias("links"))
 
-    named = signs.join(roots.withColumnRenamed("vertex", "id"), "id", "left").withColumn("root", F.coalesce("component", "id"))
+    named = signs.join(roots.withColumnRenamed("vertex", "id"), "id", "left").withColumn("root", F.coalesce("component", "id")).join(counts, "id", "left")
     firsts = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = named.select("a", "b", "id", "copies", "root").join(firsts, "root").select("a", "b", "id", "copies", "component_id")
-    if links:
-        named = named.join(_links(docs, held.select("token", "id", "n", "group", "weight"), vertices, roots, signs, group_sizes, need, size), ["id", "a", "b"], "left")
-        named = named.withColumn("n_links", F.col("copies") - 1 + F.coalesce("links", F.lit(0)))
-    else:
-        named = named.withColumn("n_links", F.lit(0).cast("long"))
-    named = scratch.table(named.select("a", "b", "component_id", "n_links"), "named")
+    named = named.join(firsts, "root").select("a", "b", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    named = scratch.table(named, "named")
+    scratch.discard(signs, classes, vertices, held, queries, opened, sets, found)
     out = rows.select("id", "n", "a", "b").join(named, ["a", "b"], "left")
-    counted = [F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("n_links")).otherwise(F.lit(0)).alias("n_links")] if links else []
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id")).alias("component_id"), *counted)
-
-
-def _links(docs: DataFrame, held: DataFrame, vertices: DataFrame, roots: DataFrame, signs: DataFrame, group_sizes: DataFrame, need, size: int) -> DataFrame:
-    """(id, a, b, links): the rows of other classes that each class is linked to.
-
-    All links run inside the final components ``roots``; the matrix and the bound choose the
-    groups to open, as for the components, but every link counts."""
-    places = scratch.table(roots.select(F.col("vertex").alias("id"), "component"), "places")
-    met = _meet_inside(held.join(places, "id")).groupBy("id", "group").agg(F.sum("tokens").alias("tokens"))
-    met = met.join(vertices.select("id", "n"), "id").join(group_sizes, "group").where(F.col("tokens") >= F.least(need("n"), need("least")))
-    queries = scratch.table(met.select("group", "id").join(places, "id").select("group", "id", "component"), "inside-queries")
-    opened = vertices.drop("component").join(queries.select("group").distinct(), "group").join(places, "id").select("group", "id", "component")
-    opened = scratch.table(opened, "inside-opened")
-    wanted = vertices.select("id", "a", "b").join(opened.select("id").unionByName(queries.select("id")).distinct(), "id")
-    wanted = scratch.table(wanted.join(signs.select("id", "a", "b", "copies"), ["id", "a", "b"]), "inside-wanted")
-    sets = _wanted_sets(docs, wanted.select("id", "a", "b"), size).join(wanted.select("id", "copies"), "id")
-    return _count_links(_blocks(opened, queries), sets).join(wanted.select("id", "a", "b"), "id")
+    linked = (F.col("n") > 0) & F.col("id").isNotNull()
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(linked, F.coalesce("component_id", "id")).otherwise(F.col("id")).alias("component_id"), F.when(linked, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links"))
 
 
 def op9_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

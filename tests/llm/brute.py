@@ -70,6 +70,20 @@ def components(docs):
     return {d: (len(s), find(d)) for d, s in sets.items()}
 
 
+def links(docs):
+    """{doc: other documents linked to it}"""
+    sets = {d: shingles(t) for d, t in docs}
+    by = defaultdict(list)
+    for d, s in sets.items():
+        for x in s:
+            by[x].append(d)
+    out = {}
+    for d, s in sets.items():
+        common = Counter(e for x in s for e in by[x])
+        out[d] = sum(4 * n >= 3 * (len(s) + len(sets[e]) - n) for e, n in common.items() if e != d)
+    return out
+
+
 def quality_base(text):
     words = BLANK.findall(text or "")
     symbols = sum(c in "#*$%&|<>" for c in text or "")

@@ -51,8 +51,7 @@ def test_components(docs, empty):
 
 
 def test_components_of_drifting_copies(spark, monkeypatch):
-    """Chains of near copies, with group and size limits so low that every path is taken."""
-    monkeypatch.setattr(setjoin, "LARGE", 4)
+    """Chains of near copies, with blocks so small that every group is split."""
     monkeypatch.setattr(setjoin, "BLOCK", 2)
     rng = np.random.default_rng(1)
     rows = []

@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from newsloom.llm import setjoin, toxicity
+from tests.llm import brute
 
 
 def test_toxicity_counts_all_grams(spark, monkeypatch):
@@ -39,7 +40,28 @@ def test_links_inside_components(spark, monkeypatch):
             rows += [(len(rows) + c, " ".join(words)) for c in range(rng.integers(1, 3))]
             for at in rng.integers(0, 90, 2):
                 words[at] = f"e{rng.integers(10**6)}"
-    sets = {d: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for d, w in ((d, (t or "").split()) for d, t in rows)}
-    want = {d: sum(4 * len(s & o) >= 3 * len(s | o) for e, o in sets.items() if e != d and s and o) for d, s in sets.items()}
+    want = brute.links(rows)
     got = {r["doc_id"]: r["n_links"] for r in setjoin.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
     assert got == want and max(want.values()) > 3
+
+
+def test_short_texts_with_a_common_passage(spark, monkeypatch):
+    """Thousands of short texts share 30 to 74 % of their words and one cluster of near copies is large: links are exact and the bound keeps the opened rows few."""
+    rng = np.random.default_rng(4)
+    passage = [f"p{i}" for i in range(40)]
+    base = [f"c{i}" for i in range(120)]
+    rows = []
+    for i in range(1500):
+        own = [f"o{x}" for x in rng.integers(0, 10**9, rng.integers(14, 94))]
+        rows.append((i, " ".join([*own[: len(own) // 2], *passage, *own[len(own) // 2 :]])))
+    for i in range(1500, 1900):
+        words = list(base)
+        for at in rng.integers(0, 120, 2):
+            words[at] = f"e{rng.integers(10**9)}"
+        rows.append((i, " ".join(words)))
+    shipped, blocks = [], setjoin._blocks
+    monkeypatch.setattr(setjoin, "_blocks", lambda *a: shipped.append((out := blocks(*a)).count()) or out)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["n_links"]) for r in setjoin.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    want, links = brute.components(rows), brute.links(rows)
+    assert got == {d: (*want[d], links[d]) for d in want} and max(links.values()) > 100
+    assert shipped[0] < 20 * 400  # all pairs of the cluster alone would be 80,000
