@@ -9,16 +9,20 @@ turns them into a score.
 
 Counts come from all labelled training rows: tasks count the grams of distinct words, Spark
 sums them by key and derives continuation counts, discounts and backoff weights of all grams,
-which stay in a table.  The distinct words of the documents to score are joined to it gram by
-gram.  Tasks hold the ratios of at most ``HEAD`` frequent words; documents with other words
-are joined to the ratios of theirs, so every word has its own ratio at any size.
-Only the calibration is fitted on a bounded sample, ``MAX_LABELLED`` rows, scored by a model
-of the other training fold.  Labels, language, source and id are no inputs of a score.
-
-Defined results: a null or empty text has ratios of 0 and is scored like any other; rows with a
-null id or label don't train; without labels of both classes the score is the constant 0.5;
-repeated rows count as often as they occur; other input columns pass through, but columns
-named like the results are replaced.
+which stay in a table.  A table of at most ``IN_TASKS`` rows (they are counted first) goes to
+every task, which scores each distinct word once.  A larger one is joined gram by gram to the
+distinct words of the documents, and the words' ratios to the documents; both ways give the
+same ratios.  Only the calibration is fitted on a bounded sample, about ``MAX_LABELLED`` rows
+taken by a hash, scored by a model of the other training fold.  Labels, language, source and id
+are no inputs of a score.
+
+``ORDER``, ``SHARED`` and ``WINDOW`` were chosen on the training folds; README has the figures.
+
+Defined results: a null or empty text has ratios of 0 and is scored like any other; a text of any
+length is scored whole; rows with a null id or label don't train; without labels of both classes,
+as for empty tables, the score is the constant 0.5; repeated rows count as often as they occur;
+grams of equal counts need no order, since none is left out; other input columns pass through,
+but columns named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -33,10 +37,15 @@ from pyspark.sql import types as T
 from newsloom.llm import scratch
 from newsloom.llm import textbatch as tb
 
-ORDER, SHARED, WINDOW = 5, 1, 3
+ORDER, SHARED, WINDOW = 6, 2, 3
 MAX_LABELLED = 20_000
+_PLACES = 1 << 20
 THRESHOLD = 0.7
-#: Words whose ratios go to every task; the others are joined.
+#: Rows of a model that goes to every task (64 MB there); a larger one is joined.
+IN_TASKS = 1 << 22
+#: Word ratios that a task remembers; when full it starts anew.
+MEMO = 1 << 20
+#: By a join, words whose ratios go to every task; the others are joined.
 HEAD = 1 << 20
 #: Ratios of words are whole multiples of 1 / SCALE, so that sums don't depend on their order.
 SCALE = 1 << 32
@@ -94,6 +103,14 @@ class KneserNey:
 
     def __init__(self, table: DataFrame):
         self.table = table
+        self.rows = table.count()
+
+    def arrays(self, half: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys and their values in both classes, for a model of at most IN_TASKS rows."""
+        found = self.table.select("key", *(_CLASSES[:2] if half else _CLASSES[2:])).toArrow()
+        keys = found.column("key").to_numpy()
+        order = np.argsort(keys)
+        return keys[order], np.stack([found.column(i).to_numpy()[order] for i in (1, 2)], axis=1)
 
     @classmethod
     def of(cls, counted: DataFrame) -> KneserNey:
@@ -146,6 +163,7 @@ class KneserNey:
 
 
 _CLASSES = ("t0", "o0", "t", "o")
+_FEATURES = ["__a", "__b", "__c"]
 
 
 def _spell(batches):
@@ -182,18 +200,72 @@ def _vocabulary(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(text_col).mapInArrow(emit, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _text_features(texts: pa.Array, known: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+class _Scorer:
+    """Ratios of words by a model that the task holds, with a memo."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = keys, values
+        self.known, self.ratio = np.zeros(0, np.int64), np.zeros(0)
+
+    def _look(self, key: np.ndarray, missing: float) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((self.keys[at] == key)[:, None], self.values[at].astype(np.float64), missing)
+
+    def _new(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(starts))
+        symbols, place, word = _symbols(low, starts, ends)
+        chance = np.full((len(symbols), 2), 1 / 256)
+        for k in range(1, ORDER + 1):
+            here = np.flatnonzero(place >= max(k - 1, 1))
+            gram = _grams(symbols, k)[here]
+            context = ((gram & ((np.int64(1) << _TAG) - 1)) >> np.int64(8)) | (np.int64(8 + k) << _TAG)
+            # grams and contexts repeat: each distinct one is looked up once
+            one, back = np.unique(gram, return_inverse=True)
+            share = self._look(one, 0.0)[back]
+            one, back = np.unique(context, return_inverse=True)
+            chance[here] = chance[here] * self._look(one, 1.0)[back] + share
+        per = np.round((np.log(chance[:, 0]) - np.log(chance[:, 1])) * SCALE)
+        per[place == 0] = 0
+        return np.bincount(word, weights=per, minlength=len(starts)) / SCALE
+
+    def __call__(self, low: np.ndarray, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.known) > MEMO:
+            self.known, self.ratio = np.zeros(0, np.int64), np.zeros(0)
+        at = np.minimum(np.searchsorted(self.known, hashes), max(len(self.known) - 1, 0))
+        new = self.known[at] != hashes if len(self.known) else np.ones(len(hashes), bool)
+        if new.any():
+            merged = np.concatenate([self.known, hashes[new]])
+            ratio = np.concatenate([self.ratio, self._new(low, starts[new], ends[new])])
+            order = np.argsort(merged)
+            self.known, self.ratio = merged[order], ratio[order]
+            at = np.searchsorted(self.known, hashes)
+        return self.ratio[at], np.ones(len(hashes), bool)
+
+
+def _held(known: np.ndarray, ratio: np.ndarray):
+    """Looks words up among known ratios."""
+
+    def look(low, hashes, starts, ends):
+        if not len(known):
+            return np.zeros(len(hashes)), np.zeros(len(hashes), bool)
+        place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        found = known[place] == hashes
+        return np.where(found, ratio[place], 0.0), found
+
+    return look
+
+
+def _text_features(texts: pa.Array, look) -> tuple[np.ndarray, np.ndarray]:
     """Mean ratio, best window's mean ratio and log words of every text; whether all its words are known."""
     parts, full = [], []
     for first, end, data, offsets in tb.steps(texts):
         low = tb.lower(data)
-        hashes, _, _, inverse, at = _unique_words(low, offsets)
-        hashes = hashes.view(np.int64)
+        hashes, starts, ends, inverse, at = _unique_words(low, offsets)
         n = np.diff(at)
         owner = np.repeat(np.arange(end - first), n)
-        place = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
-        found = known[place] == hashes if len(known) else np.zeros(len(hashes), bool)
-        values = (np.where(found, ratio[place], 0.0) if len(known) else np.zeros(len(hashes)))[inverse]
+        values, found = look(low, hashes.view(np.int64), starts, ends)
+        values = values[inverse]
         complete = np.ones(end - first, bool)
         complete[owner[~found[inverse]]] = False
         sums = np.concatenate([[0], np.cumsum(values)])
@@ -212,6 +284,29 @@ def _text_features(texts: pa.Array, known: np.ndarray, ratio: np.ndarray) -> tup
 
 def features(docs: DataFrame, model: KneserNey, keep: list[str], text_col: str = "text", half: bool = False) -> DataFrame:
     """``keep`` columns with the features ``__a``, ``__b`` and ``__c`` of each text."""
+    return (_in_tasks if model.rows <= IN_TASKS else _by_join)(docs, model, keep, text_col, half)
+
+
+def _schema(docs: DataFrame, keep: list[str]) -> T.StructType:
+    return T.StructType([*(docs.schema[c] for c in keep), *(T.StructField(c, T.DoubleType()) for c in _FEATURES)])
+
+
+def _rows(batch: pa.RecordBatch, keep: list[str], x: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *(pa.array(x[:, i]) for i in range(3))], [*keep, *_FEATURES])
+
+
+def _in_tasks(docs: DataFrame, model: KneserNey, keep: list[str], text_col: str, half: bool) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(model.arrays(half))  # at most IN_TASKS rows
+
+    def score(batches):
+        look = _Scorer(*shared.value)
+        for batch in batches:
+            yield _rows(batch, keep, _text_features(batch.column(text_col), look)[0])
+
+    return docs.select(list(dict.fromkeys([*keep, text_col]))).mapInArrow(score, _schema(docs, keep))
+
+
+def _by_join(docs: DataFrame, model: KneserNey, keep: list[str], text_col: str, half: bool) -> DataFrame:
     words = scratch.table(_vocabulary(docs, text_col), "words")
     ratios = scratch.table(model.ratios(words, half), "word-ratios")
     scratch.discard(words)
@@ -225,18 +320,16 @@ def features(docs: DataFrame, model: KneserNey, keep: list[str], text_col: str =
         least = r["level"]
     else:
         least = 0
-    head = ratios.where(level >= least).select("hash", "ratio").toPandas().sort_values("hash")  # HEAD rows at most
-    shared = docs.sparkSession.sparkContext.broadcast((head["hash"].to_numpy(np.int64), head["ratio"].to_numpy(np.int64) / SCALE))
+    head = ratios.where(level >= least).select("hash", "ratio").toArrow().sort_by("hash")  # HEAD rows at most
+    shared = docs.sparkSession.sparkContext.broadcast((head.column("hash").to_numpy(), head.column("ratio").to_numpy() / SCALE))
     columns = list(dict.fromkeys([*keep, text_col]))
-    names = ["__a", "__b", "__c"]
-    schema = T.StructType([*(docs.schema[c] for c in keep), *(T.StructField(c, T.DoubleType()) for c in names)])
+    schema = _schema(docs, keep)
 
     def direct(batches):
         known, ratio = shared.value
         for batch in batches:
-            x, complete = _text_features(batch.column(text_col), known, ratio)
-            out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *(pa.array(x[:, i]) for i in range(3))], [*keep, *names])
-            yield out.filter(pa.array(complete))
+            x, complete = _text_features(batch.column(text_col), _held(known, ratio))
+            yield _rows(batch, keep, x).filter(pa.array(complete))
 
     def rest(batches):
         known, _ = shared.value
@@ -259,8 +352,7 @@ def features(docs: DataFrame, model: KneserNey, keep: list[str], text_col: str =
             more, first = np.unique(pairs.field("hash").to_numpy(), return_index=True)
             hashes, values = np.concatenate([known, more]), np.concatenate([ratio, pairs.field("ratio").to_numpy()[first] / SCALE])
             order = np.argsort(hashes)
-            x, _ = _text_features(batch.column(text_col), hashes[order], values[order])
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *(pa.array(x[:, i]) for i in range(3))], [*keep, *names])
+            yield _rows(batch, keep, _text_features(batch.column(text_col), _held(hashes[order], values[order]))[0])
 
     out = docs.select(columns).mapInArrow(direct, schema)
     if least == 0:
@@ -328,15 +420,18 @@ def _counts(rows: DataFrame) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_labelled: int = MAX_LABELLED) -> tuple[KneserNey, Calibration]:
     """The models and the calibration, from labelled rows that aren't held out."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (fold(id_col) != 1)).select(F.col(id_col).alias("__id"), F.col(label_col).alias("label"))
-    # dealt by id at every size, once: both uses below read the written table
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).where(fold("__id") != 1).join(known.hint("shuffle_hash"), "__id")
-    rows = scratch.table(rows.select("text", "label", fold("__id").alias("fold"), F.xxhash64("__id").alias("o")), "labelled")
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).where(fold("__id") != 1).join(known, "__id")
+    rows = scratch.table(rows.select("text", "label", fold("__id").alias("fold"), F.pmod(F.xxhash64("__id"), F.lit(_PLACES)).alias("o")), "labelled")
     counted = _counts(rows.select("text", "label", "fold"))
     model = KneserNey.of(counted.select("gram", "t0", "o0", (F.col("t0") + F.col("t2")).alias("t"), (F.col("o0") + F.col("o2")).alias("o")))
-    sample = scratch.table(rows.where("fold = 2").select("text", "label", "o").orderBy("o").limit(max_labelled), "calibration")
-    seen = features(sample, model, ["label"], half=True).toPandas().sort_values(["__a", "__b", "__c", "label"])  # at most max_labelled rows of four numbers
-    calibration = Calibration(seen[["__a", "__b", "__c"]].to_numpy(float).reshape(-1, 3), (seen["label"] != 0).to_numpy(float))
-    scratch.discard(rows, sample)
+    second = rows.where("fold = 2")
+    least = int(_PLACES * min(1.0, max_labelled / max(second.count(), 1)))  # an even share of the places, so about max_labelled rows
+    sample = second.where(F.col("o") < least).select("text", "label")
+    seen = features(sample, model, ["label"], half=True).select(*_FEATURES, "label").toArrow()  # about max_labelled rows of four numbers
+    x = np.stack([seen.column(c).to_numpy() for c in (*_FEATURES, "label")], axis=1).astype(float)
+    x = x[np.lexsort(x.T[::-1])]  # the fit doesn't depend on the order of tasks
+    calibration = Calibration(x[:, :3], (x[:, 3] != 0).astype(float))
+    scratch.discard(rows)
     return model, calibration
 
 

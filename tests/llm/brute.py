@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -135,3 +136,44 @@ def personal(text):
 
 def held_out(doc):
     return zlib.crc32(str(doc).encode()) % 3 == 1
+
+
+class KneserNey:
+    """Interpolated Kneser-Ney models of the bytes of words, one for each class; orders up to ``shared`` pool both."""
+
+    def __init__(self, words, order, shared):
+        self.order, self.levels = order, {}
+        grams = [Counter() for _ in words]
+        for c, counts in enumerate(words):
+            for w, n in counts.items():
+                s = (1, *w.encode(), 2)
+                for i in range(1, len(s)):
+                    grams[c][s[max(0, i - order + 1) : i + 1]] += n
+        above = None
+        for k in range(order, 0, -1):
+            own = [Counter({g: n for g, n in x.items() if len(g) == k}) for x in grams]
+            for c, x in enumerate(above or ()):
+                for g in x:
+                    own[c][g[1:]] += 1
+            above = own
+            used = [own[0] + own[1]] * 2 if k <= shared else own
+            level = []
+            for x in used:
+                once, twice = sum(n == 1 for n in x.values()), sum(n == 2 for n in x.values())
+                totals, types = Counter(), Counter()
+                for g, n in x.items():
+                    totals[g[:-1]] += n
+                    types[g[:-1]] += 1
+                level.append((x, once / (once + 2 * twice) if once else 0.5, totals, types))
+            self.levels[k] = level
+
+    def chance(self, c, gram):
+        if not gram:
+            return 1 / 256
+        x, discount, totals, types = self.levels[len(gram)][c]
+        below, total = self.chance(c, gram[1:]), totals[gram[:-1]]
+        return max(x[gram] - discount, 0) / total + discount * types[gram[:-1]] / total * below if total else below
+
+    def log_chance(self, c, word):
+        s = (1, *word.encode(), 2)
+        return sum(math.log(self.chance(c, s[max(0, i - self.order + 1) : i + 1])) for i in range(1, len(s)))

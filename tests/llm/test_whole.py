@@ -1,5 +1,8 @@
 """Operators do the whole job: nothing is cut once there is more of it."""
 
+import zlib
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -19,14 +22,32 @@ def test_toxicity_counts_all_grams(spark, monkeypatch):
     train = docs.where(toxicity.fold("doc_id") != 1).select("doc_id").collect()
     own = np.concatenate([letters[300 * r["doc_id"] : 300 * r["doc_id"] + 300] for r in train]).astype(np.int64)
     marked = np.column_stack([np.ones(len(own), np.int64), own, np.full(len(own), 2)])
-    grams = np.unique(np.concatenate([sum(marked[:, a + j] << (8 * (4 - j)) for j in range(5)) for a in range(marked.shape[1] - 4)]))
-    held = model.table.where(F.shiftright("key", 56) == 5).count()
-    assert held == len(grams) and model.table.where(F.shiftright("key", 56) <= 5).count() > 1 << 21
+    grams = np.unique(np.concatenate([sum(marked[:, a + j] << (8 * (5 - j)) for j in range(6)) for a in range(marked.shape[1] - 5)]))
+    held = model.table.where(F.shiftright("key", 56) == 6).count()
+    assert held == len(grams) and model.table.where(F.shiftright("key", 56) <= 6).count() > 1 << 21
     few = docs.where("doc_id < 40")
     scores = lambda: {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(few, model, calibration).collect()}
-    want = scores()
+    want = scores()  # the model in every task
+    monkeypatch.setattr(toxicity, "IN_TASKS", 0)
+    joined = scores()
+    assert len(want) == 40 and all(abs(joined[d] - x) < 1e-9 for d, x in want.items())
     monkeypatch.setattr(toxicity, "HEAD", 5)
-    assert scores() == want and len(want) == 40
+    assert scores() == joined
+
+
+def test_toxicity_against_plain_models(spark):
+    """Word ratios and the kept share of toxic text equal plain interpolated Kneser-Ney models of byte grams."""
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join("".join(rng.choice(list("abcé"), rng.integers(1, 9))) for _ in range(30)), int(i % 3 == 0)) for i in range(60)]
+    docs, labels = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string"), spark.createDataFrame([(x[0], x[2]) for x in rows], "doc_id long, toxic int")
+    model, _ = toxicity.train(docs, labels)
+    counts = [Counter(w for d, t, y in rows if y == c and zlib.crc32(str(d).encode()) % 3 != 1 for w in t.split()) for c in (1, 0)]
+    plain = brute.KneserNey(counts, toxicity.ORDER, toxicity.SHARED)
+    scorer = toxicity._Scorer(*model.arrays())
+    for word in ["abca", "b", "éé", "cabcabca", "zq", "abé"]:
+        data = np.frombuffer(word.encode(), np.uint8)
+        got = scorer._new(data, np.array([0]), np.array([len(data)]))[0]
+        assert abs(got - (plain.log_chance(0, word) - plain.log_chance(1, word))) < 1e-4, word
 
 
 def test_links_inside_components(spark, monkeypatch):
