@@ -1,19 +1,27 @@
 """Personal data: base patterns, plus terms that give away what the patterns protect.
 
-One pass over whole texts finds emails, addresses, cards and phone numbers.  Each value found
-is a protected entity.  Words near it are terms; how many distinct contexts a term shares with
-an entity, and how many documents of the corpus hold the term, estimate the information that
-the term reveals: pointwise mutual information against the entity's own information content.
-A term at or over the disclosure threshold is a span of its own, and ``redact`` generalises
-entities to their kind and removes such terms.
-
-Contexts are told apart by their words, so copies of one passage are one piece of evidence.
-Counts of terms cover all documents; a fixed-size bitmap of candidate terms keeps the rest
-from the shuffle and an exact join follows it.
-
-Defined results: null and empty texts have no spans; rows that repeat a document are judged
-alike and count as one for each text; input columns named like the results are replaced,
-others pass through; an empty table gives an empty table.
+Emails, addresses, cards and phone numbers are found in whole texts.  Each value is a protected
+entity, and so is the group it belongs to (mail domain, first two parts of an address, first six
+digits of a card, first four of a phone number), since single values are often unique.
+
+How far a term discloses an entity is estimated from the corpus.  With N distinct texts, of which
+e hold the entity, t the term and c both, the term's mutual information log2(N c / (e t)) is
+compared with the entity's own information log2(N / e); the ratio is shrunk by c / (c + 1) and
+m / (m + 1), m the smaller of e and t, so a few chance meetings prove nothing.  A term at or over
+the threshold for any entity is telling, and each of its occurrences in any text is a span of its
+own.  ``redact`` generalises entities to their kind and removes such terms.
+
+Only distinct texts are counted, so copies of one text are one piece of evidence.  Entities and
+terms that cannot reach the threshold whatever t is are left out before they are paired, which
+changes no result.  Counts of terms cover all texts: tasks add up texts that have no copy, and
+those that may have one (by a bitmap of fixed size) are deduplicated first.
+
+Defined results: null and empty texts have no spans; texts of any length are searched whole; a
+term is a word of digits, letters and characters beyond ASCII, A-Z lower-cased, with
+``MIN_LETTERS`` characters at least and not of digits alone; words that overlap a base span are
+no terms; of several telling entities any one suffices, so ties don't matter; repeated rows are
+judged alike; input columns named like the results are replaced, others pass through; an empty
+table gives an empty table.
 """
 
 from __future__ import annotations
@@ -31,9 +39,9 @@ from newsloom.llm import scratch
 from newsloom.llm import textbatch as tb
 
 KINDS = ("email", "ip", "card", "phone", "term")
-#: Words looked at on either side, least letters of a term, distinct contexts needed, threshold.
-REACH, MIN_LETTERS, MIN_CONTEXTS, DISCLOSURE = 5, 4, 3, 0.6
-#: Places of the candidate bitmap; its size does not follow the corpus.
+#: Least characters of a term, and the threshold of disclosure.
+MIN_LETTERS, DISCLOSURE = 4, 0.4
+#: Places of a bitmap; its size does not follow the corpus.
 BITMAP = 1 << 22
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -41,7 +49,6 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
 _DIGITS = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
 
@@ -94,96 +101,182 @@ def _long(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def _term_hashes(words: list[str]) -> np.ndarray:
-    """The hashes that whole texts have for these words."""
-    data = np.frombuffer(" ".join(words).encode(), np.uint8)
-    low = tb.lower(data)
-    starts, ends, _ = tb.spans(low, np.array([0, len(low)]), tb.ALNUM_WORDS)
-    return tb.span_hashes(low, starts, ends)
-
-
-def _near(text: str, spans: list[tuple[int, int, int]]):
-    """(entity, context, word, start, end) of the words around each span."""
+def _entities(text: str, spans: list[tuple[int, int, int]]) -> list[int]:
+    """Hashes of the values found and of their groups."""
+    found = set()
     for start, kind, end in spans:
-        left = [(m.start(), m.end()) for m in _WORD.finditer(text, max(0, start - 40 * REACH), start)][-REACH:]
-        right = []
-        for m in _WORD.finditer(text, end):
-            right.append((m.start(), m.end()))
-            if len(right) == REACH:
-                break
-        near = [(a, b) for a, b in left + right if not any(a < e and b > s for s, _, e in spans)]
-        entity = _long(f"{KINDS[kind]}:{text[start:end].lower() if kind == 0 else _NOT_DIGIT.sub('', text[start:end])}")
-        context = _long(" ".join(text[a:b] for a, b in near).lower())
-        for a, b in near:
-            if b - a >= MIN_LETTERS and not text[a:b].isdigit():
-                yield entity, context, text[a:b], a, b
+        if kind == 0:
+            value = text[start:end].lower()
+            group = value.rpartition("@")[2]
+        elif kind == 1:
+            value = text[start:end]
+            group = ".".join(value.split(".")[:2])
+        else:
+            value = _NOT_DIGIT.sub("", text[start:end])
+            group = value[: 6 if kind == 2 else 4]
+        found |= {_long(f"{KINDS[kind]}:{value}"), _long(f"{KINDS[kind]}s of {group}")}
+    return sorted(found)
+
+
+class _Terms:
+    """The terms of a slice of texts: hash, row, and start and end in code points of the row's text."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        low = tb.lower(data)
+        starts, ends, at = tb.spans(low, offsets, tb.ALNUM_WORDS)
+        points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        other = np.concatenate([[0], np.cumsum((data < 48) | (data > 57))])
+        row = np.repeat(np.arange(len(offsets) - 1), np.diff(at))
+        ok = (points[ends] - points[starts] >= MIN_LETTERS) & (other[ends] > other[starts])
+        self.hash = tb.span_hashes(low, starts, ends).view(np.int64)[ok]
+        self.row = row[ok]
+        first = points[offsets[:-1]][self.row]
+        self.start, self.end = points[starts[ok]] - first, points[ends[ok]] - first
+        self.at = np.searchsorted(self.row, np.arange(len(offsets)))
+
+    def apart(self, row: int, spans: list[tuple[int, int, int]], places: np.ndarray | None = None) -> np.ndarray:
+        """Places of the row's terms (or of those given) that overlap none of the spans, which come by start."""
+        here = np.arange(self.at[row], self.at[row + 1]) if places is None else places
+        if not spans:
+            return here
+        before = np.searchsorted([s for s, _, _ in spans], self.end[here], side="left") - 1
+        reach = np.maximum.accumulate([e for _, _, e in spans])
+        return here[(before < 0) | (reach[np.maximum(before, 0)] <= self.start[here])]
 
 
 _SPAN = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("kind", T.IntegerType()), T.StructField("end", T.LongType())]))
-_NEAR = T.ArrayType(T.StructType([T.StructField(c, T.LongType()) for c in ("entity", "context", "term", "start", "end")]))
 _ARROW_SPAN = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
-_ARROW_NEAR = pa.list_(pa.struct([(c, pa.int64()) for c in ("entity", "context", "term", "start", "end")]))
+_WORDS = T.ArrayType(T.StructType([T.StructField(c, T.LongType()) for c in ("term", "start", "end")]))
+_ARROW_WORDS = pa.list_(pa.struct([(c, pa.int64()) for c in ("term", "start", "end")]))
 
 
-def _scan(docs: DataFrame, keep: list[str], text_col: str) -> DataFrame:
-    def find(batches):
-        for batch in batches:
-            spans, near = [], []
-            for text in batch.column(text_col):
-                text = text.as_py() or ""
-                found = base_spans(text)
-                spans.append([{"start": a, "kind": k, "end": b} for a, k, b in found])
-                words = list(_near(text, found)) if found else []
-                terms = _term_hashes([w for _, _, w, _, _ in words]).view(np.int64).tolist() if words else []
-                near.append([{"entity": e, "context": c, "term": t, "start": a, "end": b} for (e, c, _, a, b), t in zip(words, terms, strict=True)])
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(spans, _ARROW_SPAN), pa.array(near, _ARROW_NEAR)], [*keep, "base", "near"])
-
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("base", _SPAN), T.StructField("near", _NEAR)])
-    return docs.select(list(dict.fromkeys([*keep, text_col]))).mapInArrow(find, schema)
+def _text_key(text_col: str) -> list[Column]:
+    """Two hashes that tell texts apart."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return [F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b")]
+
+
+def _bitmap(numbers: DataFrame) -> np.ndarray:
+    """The places of the single column's numbers; BITMAP is a power of two, so the remainder is a mask."""
+    at = F.col(numbers.columns[0]).bitwiseAND(F.lit(BITMAP - 1))
+    words = numbers.select(at.alias("p")).groupBy(F.floor(F.col("p") / 64).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("bits")).toArrow()  # BITMAP / 64 rows at most
+    bitmap = np.zeros(BITMAP // 64, np.int64)
+    bitmap[words.column("w").to_numpy()] = words.column("bits").to_numpy()
+    return bitmap
 
 
-def _term_documents(docs: DataFrame, bitmap: np.ndarray, text_col: str) -> DataFrame:
-    """(term, documents that hold it) over all documents, for terms whose place in the bitmap is set."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
+def _marked(bitmap: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    at = numbers & np.int64(BITMAP - 1)
+    return (bitmap.view(np.uint64)[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
+
+
+def _holders(docs: DataFrame, text_col: str) -> DataFrame:
+    """(a, b, entities, terms) of the distinct texts with entities."""
+
+    def find(batches):
+        for batch in batches:
+            texts, keys, entities, held = batch.column("text"), [], [], []
+            for first, end, data, offsets in tb.steps(texts):
+                terms = None
+                for i in range(first, end):
+                    text = texts[i].as_py() or ""
+                    if not (spans := base_spans(text)):
+                        continue
+                    terms = terms or _Terms(data, offsets)
+                    keys.append(i)
+                    entities.append(_entities(text, spans))
+                    held.append(np.unique(terms.hash[terms.apart(i - first, spans)]))
+            at, longs = pa.array(keys, pa.int64()), pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at), pa.array(entities, longs), pa.array(held, longs)], ["a", "b", "entities", "terms"])
+
+    found = docs.select(*_text_key(text_col), F.col(text_col).alias("text")).mapInArrow(find, "a bigint, b bigint, entities array<bigint>, terms array<bigint>")
+    return scratch.table(found.dropDuplicates(["a", "b"]), "holders")
+
+
+def _term_texts(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
+    """(term, n): distinct texts that hold each wanted term."""
+    spark = docs.sparkSession
+    terms = spark.sparkContext.broadcast(_bitmap(wanted))
+    keyed = docs.select(*_text_key(text_col), F.col(text_col).alias("text"))
+    copied = keyed.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a")
+    copies = spark.sparkContext.broadcast(_bitmap(copied))
 
     def count(batches):
-        bits = np.unpackbits(shared.value).view(bool)
         for batch in batches:
-            for first, end, data, offsets in tb.steps(batch.column(text_col)):
-                low = tb.lower(data)
-                starts, ends, at = tb.spans(low, offsets, tb.ALNUM_WORDS)
-                hashes = tb.span_hashes(low, starts, ends)
-                kept = np.flatnonzero(bits[(hashes % np.uint64(BITMAP)).astype(np.int64)])
-                row = np.searchsorted(at, kept, side="right") - 1
-                pairs = np.unique(np.stack([row, hashes[kept].view(np.int64)], axis=1), axis=0)
-                terms, n = np.unique(pairs[:, 1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(n)], ["term", "n"])
+            may = _marked(copies.value, batch.column("a").to_numpy())
+            for first, end, data, offsets in tb.steps(batch.column("text")):
+                found = _Terms(data, offsets)
+                kept = np.flatnonzero(_marked(terms.value, found.hash))
+                pairs = np.unique(np.stack([found.row[kept], found.hash[kept]], axis=1), axis=0)
+                own = may[first:end][pairs[:, 0]]
+                term, n = np.unique(pairs[~own, 1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(n), pa.nulls(len(term), pa.int64()), pa.nulls(len(term), pa.int64()), pa.nulls(len(term), pa.list_(pa.int64()))], ["term", "n", "a", "b", "terms"])
+                rows = np.flatnonzero(may[first:end])
+                cut = np.searchsorted(pairs[:, 0], np.stack([rows, rows + 1]))
+                held = pa.array([pairs[x:y, 1] for x, y in cut.T], pa.list_(pa.int64()))
+                at = pa.array(rows + first)
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64()), batch.column("a").take(at), batch.column("b").take(at), held], ["term", "n", "a", "b", "terms"])
+
+    found = scratch.table(keyed.mapInArrow(count, "term bigint, n bigint, a bigint, b bigint, terms array<bigint>"), "term-texts")
+    single = found.where("term IS NOT NULL").select("term", "n")
+    several = found.where("term IS NULL").dropDuplicates(["a", "b"]).select(F.explode("terms").alias("term"), F.lit(1).cast("long").alias("n"))
+    return single.unionByName(several).groupBy("term").agg(F.sum("n").alias("n"))
+
+
+def telling_terms(docs: DataFrame, text_col: str = "text", disclosure: float = DISCLOSURE) -> DataFrame:
+    """(term): hashes of the terms that disclose an entity."""
+    held = _holders(docs, text_col)
+    keyed = held.withColumn("entity", F.explode("entities")).select("a", "b", "entity")
+    shrunk = lambda n: F.col(n) / (F.col(n) + 1)
+    # both <= entity_texts, both <= term_texts and the ratio is 1 at most: what follows cannot reach the threshold otherwise
+    entities = keyed.groupBy("entity").agg(F.count("*").alias("entity_texts")).where(shrunk("entity_texts") * shrunk("entity_texts") >= disclosure)
+    entities = scratch.table(entities, "entities")
+    worded = held.withColumn("term", F.explode("terms")).select("a", "b", "term")
+    common = worded.groupBy("term").agg(F.count("*").alias("k")).where(shrunk("k") >= disclosure).select("term")
+    pairs = keyed.join(entities.select("entity"), "entity").join(worded.join(common, "term"), ["a", "b"]).groupBy("entity", "term").agg(F.count("*").alias("both"))
+    pairs = pairs.join(entities, "entity").where(shrunk("both") * shrunk("entity_texts") >= disclosure)
+    pairs = scratch.table(pairs, "term-pairs")
+    texts = float(max(docs.select(*_text_key(text_col)).distinct().count(), 1))
+    counted = pairs.join(_term_texts(docs, pairs.select("term").distinct(), text_col).withColumnRenamed("n", "term_texts"), "term")
+    own = F.log2(texts / F.col("entity_texts"))
+    mutual = F.log2(texts * F.col("both") / (F.col("entity_texts") * F.col("term_texts")))
+    least = F.least("entity_texts", "term_texts")
+    told = counted.where((own > 0) & (mutual * shrunk("both") * least / (least + 1) >= disclosure * own))
+    return scratch.table(told.select("term").distinct(), "telling-terms")
+
+
+def _scan(docs: DataFrame, keep: list[str], text_col: str, bitmap: np.ndarray) -> DataFrame:
+    """``keep`` columns with ``base`` spans and the words that may be telling."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
-    return docs.select(text_col).mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("term_docs"))
+    def find(batches):
+        for batch in batches:
+            texts, spans, words = batch.column(text_col), [], []
+            for first, end, data, offsets in tb.steps(texts):
+                terms = _Terms(data, offsets)
+                hits = np.flatnonzero(_marked(shared.value, terms.hash))
+                cut = np.searchsorted(terms.row[hits], np.arange(end - first + 1))
+                for i in range(end - first):
+                    base = base_spans(texts[first + i].as_py() or "")
+                    spans.append([{"start": a, "kind": k, "end": b} for a, k, b in base])
+                    at = terms.apart(i, base, hits[cut[i] : cut[i + 1]])
+                    words.append([{"term": int(terms.hash[p]), "start": int(terms.start[p]), "end": int(terms.end[p])} for p in at])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(spans, _ARROW_SPAN), pa.array(words, _ARROW_WORDS)], [*keep, "base", "__words"])
+
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("base", _SPAN), T.StructField("__words", _WORDS)])
+    return docs.select(list(dict.fromkeys([*keep, text_col]))).mapInArrow(find, schema)
 
 
-def find_personal_data(docs: DataFrame, keep: list[str] | None = None, id_col: str = "doc_id", text_col: str = "text", disclosure: float = DISCLOSURE, min_contexts: int = MIN_CONTEXTS) -> DataFrame:
+def find_personal_data(docs: DataFrame, keep: list[str] | None = None, text_col: str = "text", disclosure: float = DISCLOSURE) -> DataFrame:
     """``keep`` columns of ``docs`` (all by default) with ``base`` and ``spans``: arrays of (start, kind, end)."""
-    docs = docs.drop("base", "spans", "near")
+    docs = docs.drop("base", "spans", "__words", "__row")
     keep = [c for c in (keep or docs.columns) if c in docs.columns]
-    docs = docs.withColumn("__key", F.xxhash64(text_col, id_col))
-    found = scratch.table(_scan(docs, [*keep, "__key"], text_col), "personal")
-    near = found.where(F.size("near") > 0).dropDuplicates(["__key"]).select("__key", F.explode("near").alias("x")).select("__key", "x.*")
-    near = scratch.table(near, "near-terms")
-    pairs = near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= min_contexts)
-    entities = near.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("entity_contexts"))
-    pairs = scratch.table(pairs.join(entities, "entity"), "term-pairs")
-    bitmap = np.zeros(BITMAP, bool)
-    # unsigned remainder of the signed hash: BITMAP is a power of two
-    bitmap[[r["at"] for r in pairs.select(F.col("term").bitwiseAND(F.lit(BITMAP - 1)).alias("at")).distinct().collect()]] = True  # at most BITMAP numbers
-    total = found.count()
-    counted = pairs.join(_term_documents(docs, bitmap, text_col), "term")
-    n = F.lit(float(max(total, 1)))
-    mutual = F.log2(n * F.col("both") / (F.col("entity_contexts") * F.greatest("term_docs", "both")))
-    content = F.log2(n / F.least(F.col("entity_contexts"), n))
-    telling = scratch.table(counted.where((content > 0) & (mutual >= disclosure * content)).select("entity", "term"), "telling-terms")
-    extra = near.join(telling, ["entity", "term"]).groupBy("__key").agg(F.collect_set(F.struct("start", F.lit(4).alias("kind"), "end")).alias("__extra"))
-    out = found.join(scratch.table(extra, "term-spans"), "__key", "left")
+    telling = telling_terms(docs, text_col, disclosure)
+    found = _scan(docs, keep, text_col, _bitmap(telling)).withColumn("__row", F.monotonically_increasing_id())
+    found = scratch.table(found, "personal")  # numbers of written rows stay
+    words = found.where(F.size("__words") > 0).select("__row", F.explode("__words").alias("x")).select("__row", "x.*")
+    extra = words.join(telling, "term").groupBy("__row").agg(F.collect_set(F.struct("start", F.lit(4).alias("kind"), "end")).alias("__extra"))
+    out = found.join(extra, "__row", "left")
     return out.withColumn("spans", F.array_sort(F.concat("base", F.coalesce("__extra", F.array().cast(_SPAN))))).select(*keep, "base", "spans")
 
 

@@ -134,6 +134,32 @@ def personal(text):
     return [(kind, a, b) for a, _, kind, b in sorted(spans)]
 
 
+def telling(docs, least, threshold):
+    """{doc: term spans}, by counting over distinct texts."""
+    texts = {t or "" for _, t in docs}
+    holders, terms = defaultdict(set), defaultdict(set)
+    for t in texts:
+        base = personal(t)
+        for kind, a, b in base:
+            value = t[a:b].lower() if kind in ("email", "ip") else re.sub(r"[^0-9]", "", t[a:b])
+            group = {"email": value.split("@")[-1], "ip": ".".join(value.split(".")[:2]), "card": value[:6], "phone": value[:4]}[kind]
+            holders[kind, value].add(t)
+            holders[kind, "group", group].add(t)
+    spans = lambda t: [(m.start(), m.end(), m[0].translate(LOWER)) for m in ALNUM.finditer(t.translate(LOWER)) if len(m[0]) >= least and not re.fullmatch("[0-9]+", m[0]) and not any(a < m.end() and b > m.start() for _, a, b in personal(t))]
+    anywhere = {t: [(m.start(), m.end(), m[0]) for m in ALNUM.finditer(t.translate(LOWER)) if len(m[0]) >= least and not re.fullmatch("[0-9]+", m[0])] for t in texts}
+    for t in texts:
+        for _, _, w in anywhere[t]:
+            terms[w].add(t)
+    told, n = set(), len(texts)
+    for held in holders.values():
+        inside = Counter(w for t in held for w in {w for _, _, w in spans(t)})
+        for w, c in inside.items():
+            e, m = len(held), min(len(held), len(terms[w]))
+            if n > e and c / (c + 1) * m / (m + 1) * math.log2(n * c / (e * len(terms[w]))) >= threshold * math.log2(n / e) - 1e-12:
+                told.add(w)
+    return {d: [(a, b) for a, b, w in spans(t or "") if w in told] for d, t in docs}
+
+
 def held_out(doc):
     return zlib.crc32(str(doc).encode()) % 3 == 1
 

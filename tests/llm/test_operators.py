@@ -84,10 +84,28 @@ def test_personal_data(spark, docs, empty):
     names = lambda spans: [(pii.KINDS[s["kind"]], s["start"], s["end"]) for s in spans]
     assert {r["doc_id"]: names(r["base"]) for r in rows} == {d: brute.personal(t) for d, t in EDGE}
     assert pii.find_personal_data(empty).count() == 0
-    told = [(i, f"{a} {b} zanzibar called +1 (456) 555-2186 today") for i, (a, b) in enumerate([("blue", "fish"), ("green", "bird"), ("red", "goat"), ("pink", "wolf")])]
-    told += [(100 + i, f"plain text number {i} of today") for i in range(60)]
-    out = pii.find_personal_data(spark.createDataFrame(told, "doc_id long, text string")).withColumn("clean", pii.redact()).where("doc_id < 4").collect()
-    assert all("zanzibar" not in r["clean"] and "[PHONE]" in r["clean"] and "today" in r["clean"] for r in out)
+
+
+def test_telling_terms(spark):
+    """Terms equal a plain count over distinct texts; every occurrence is a span, in texts without the entity too."""
+    rng = np.random.default_rng(6)
+    words = [f"word{i}" for i in range(60)]
+    rows = []
+    for i in range(120):
+        text = list(rng.choice(words, 12))
+        if i % 10 < 2:
+            text[3:5] = ["Zanzibar", f"+1 (456) 555-{1000 + i}"]
+        if i % 20 == 3:
+            text[0] = "éclair"
+            text[7] = f"p{i}.éclair@mail.example.com x{i}@mail.example.com"
+        rows.append((i, " ".join(text)))
+    rows += [(200 + i, rows[i % 3][1]) for i in range(300)] + [(600, "zanzibar alone " * 3), (601, None), (602, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit(1)).repartition(3)
+    out = pii.find_personal_data(docs).withColumn("clean", pii.redact()).collect()
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == 4] for r in out}
+    assert got == brute.telling(rows, pii.MIN_LETTERS, pii.DISCLOSURE)
+    assert got[600] == [(0, 8), (15, 23), (30, 38)] and got[3] and not got[601]
+    assert all("anzibar" not in r["clean"] for r in out if r["clean"]) and next(r["clean"] for r in out if r["doc_id"] == 0).count("[PHONE]") == 1
 
 
 def test_lines(spark, docs, empty):

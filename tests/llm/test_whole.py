@@ -1,12 +1,14 @@
 """Operators do the whole job: nothing is cut once there is more of it."""
 
+import os
 import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from newsloom.llm import setjoin, toxicity
+from newsloom.llm import pii, setjoin, toxicity
 from tests.llm import brute
 
 
@@ -86,3 +88,10 @@ def test_short_texts_with_a_common_passage(spark, monkeypatch):
     want, links = brute.components(rows), brute.links(rows)
     assert got == {d: (*want[d], links[d]) for d in want} and max(links.values()) > 100
     assert shipped[0] < 20 * 400  # all pairs of the cluster alone would be 80,000
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="needs the generated tables")
+def test_telling_terms_occur(spark):
+    """The method adds spans beside the base patterns on the given documents."""
+    out = pii.op4_personal_data(spark, "/root/testdata/sf0.1")
+    assert out.where("spans LIKE '%term:%'").count() > 100
