@@ -6,13 +6,14 @@ digits of a card, first four of a phone number), since single values are often u
 
 How far a term discloses an entity is estimated from the corpus.  With N distinct texts, of which
 e hold the entity, t the term and c both, the term's mutual information log2(N c / (e t)) is
-compared with the entity's own information log2(N / e); the ratio is shrunk by c / (c + 1) and
-m / (m + 1), m the smaller of e and t, so a few chance meetings prove nothing.  A term at or over
-the threshold for any entity is telling, and each of its occurrences in any text is a span of its
-own.  ``redact`` generalises entities to their kind and removes such terms.
+compared with the entity's own information log2(N / e).  A ratio at or over the threshold counts
+if it is hardly chance: Chernoff's bound on c or more meetings where e t / N are expected, times
+the number of entities that a term is tried with, has to be ``CHANCE`` at most.  Such a term is
+telling, and each of its occurrences in any text is a span of its own.  ``redact`` generalises entities to
+their kind and removes such terms.
 
 Only distinct texts are counted, so copies of one text are one piece of evidence.  Entities and
-terms that cannot reach the threshold whatever t is are left out before they are paired, which
+terms that cannot pass the bound whatever t is are left out before they are paired, which
 changes no result.  Counts of terms cover all texts: tasks add up texts that have no copy, and
 those that may have one (by a bitmap of fixed size) are deduplicated first.
 
@@ -27,6 +28,7 @@ table gives an empty table.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 
 import numpy as np
@@ -39,8 +41,8 @@ from newsloom.llm import scratch
 from newsloom.llm import textbatch as tb
 
 KINDS = ("email", "ip", "card", "phone", "term")
-#: Least characters of a term, and the threshold of disclosure.
-MIN_LETTERS, DISCLOSURE = 4, 0.4
+#: Least characters of a term, the threshold of disclosure, and how likely a term may be told by chance.
+MIN_LETTERS, DISCLOSURE, CHANCE = 4, 0.5, 0.001
 #: Places of a bitmap; its size does not follow the corpus.
 BITMAP = 1 << 22
 
@@ -210,14 +212,35 @@ def _term_texts(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
                 pairs = np.unique(np.stack([found.row[kept], found.hash[kept]], axis=1), axis=0)
                 own = may[first:end][pairs[:, 0]]
                 term, n = np.unique(pairs[~own, 1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(n), pa.nulls(len(term), pa.int64()), pa.nulls(len(term), pa.int64()), pa.nulls(len(term), pa.list_(pa.int64()))], ["term", "n", "a", "b", "terms"])
+                yield summed(term, n)
                 rows = np.flatnonzero(may[first:end])
                 cut = np.searchsorted(pairs[:, 0], np.stack([rows, rows + 1]))
                 held = pa.array([pairs[x:y, 1] for x, y in cut.T], pa.list_(pa.int64()))
                 at = pa.array(rows + first)
                 yield pa.RecordBatch.from_arrays([pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64()), batch.column("a").take(at), batch.column("b").take(at), held], ["term", "n", "a", "b", "terms"])
 
-    found = scratch.table(keyed.mapInArrow(count, "term bigint, n bigint, a bigint, b bigint, terms array<bigint>"), "term-texts")
+    def added(batches):
+        """Counts of several slices are added up before they are shuffled."""
+        term, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for out in count(batches):
+            if out.column("term").null_count:
+                yield out
+                continue
+            term = np.concatenate([term, out.column("term").to_numpy()])
+            n = np.concatenate([n, out.column("n").to_numpy()])
+            if len(term) > 1 << 20:
+                term, back = np.unique(term, return_inverse=True)
+                n = np.bincount(back, weights=n, minlength=len(term)).astype(np.int64)
+                if len(term) > 1 << 19:
+                    yield summed(term, n)
+                    term, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        yield summed(term, n)
+
+    def summed(term, n):
+        none = pa.nulls(len(term), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(term), pa.array(n), none, none, pa.nulls(len(term), pa.list_(pa.int64()))], ["term", "n", "a", "b", "terms"])
+
+    found = scratch.table(keyed.mapInArrow(added, "term bigint, n bigint, a bigint, b bigint, terms array<bigint>"), "term-texts")
     single = found.where("term IS NOT NULL").select("term", "n")
     several = found.where("term IS NULL").dropDuplicates(["a", "b"]).select(F.explode("terms").alias("term"), F.lit(1).cast("long").alias("n"))
     return single.unionByName(several).groupBy("term").agg(F.sum("n").alias("n"))
@@ -227,21 +250,26 @@ def telling_terms(docs: DataFrame, text_col: str = "text", disclosure: float = D
     """(term): hashes of the terms that disclose an entity."""
     held = _holders(docs, text_col)
     keyed = held.withColumn("entity", F.explode("entities")).select("a", "b", "entity")
-    shrunk = lambda n: F.col(n) / (F.col(n) + 1)
-    # both <= entity_texts, both <= term_texts and the ratio is 1 at most: what follows cannot reach the threshold otherwise
-    entities = keyed.groupBy("entity").agg(F.count("*").alias("entity_texts")).where(shrunk("entity_texts") * shrunk("entity_texts") >= disclosure)
-    entities = scratch.table(entities, "entities")
     worded = held.withColumn("term", F.explode("terms")).select("a", "b", "term")
-    common = worded.groupBy("term").agg(F.count("*").alias("k")).where(shrunk("k") >= disclosure).select("term")
+    texts = float(max(docs.select(*_text_key(text_col)).distinct().count(), 1))
+    entities = scratch.table(keyed.groupBy("entity").agg(F.count("*").alias("entity_texts")), "entities")
+    common = scratch.table(worded.groupBy("term").agg(F.count("*").alias("k")), "holder-terms")
+    tried = math.log2(max(entities.count(), 1) / CHANCE)
+
+    def certain(met, expected):
+        """Whether so many meetings are beyond chance with any of the entities."""
+        return met * F.log2(met / expected) - (met - expected) * math.log2(math.e) >= tried
+
+    # c <= e, c <= t and so at least c e / N or c c / N are expected: what fails with those cannot pass
+    possible = lambda n: certain(F.least(F.col(n), F.lit(texts / 8)), F.least(F.col(n), F.lit(texts / 8)) ** 2 / texts)
+    entities, common = entities.where(possible("entity_texts")), common.where(possible("k")).select("term")
     pairs = keyed.join(entities.select("entity"), "entity").join(worded.join(common, "term"), ["a", "b"]).groupBy("entity", "term").agg(F.count("*").alias("both"))
-    pairs = pairs.join(entities, "entity").where(shrunk("both") * shrunk("entity_texts") >= disclosure)
+    pairs = pairs.join(entities, "entity").where(certain(F.col("both"), F.col("both") * F.col("entity_texts") / texts))
     pairs = scratch.table(pairs, "term-pairs")
-    texts = float(max(docs.select(*_text_key(text_col)).distinct().count(), 1))
     counted = pairs.join(_term_texts(docs, pairs.select("term").distinct(), text_col).withColumnRenamed("n", "term_texts"), "term")
     own = F.log2(texts / F.col("entity_texts"))
-    mutual = F.log2(texts * F.col("both") / (F.col("entity_texts") * F.col("term_texts")))
-    least = F.least("entity_texts", "term_texts")
-    told = counted.where((own > 0) & (mutual * shrunk("both") * least / (least + 1) >= disclosure * own))
+    expected = F.col("entity_texts") * F.col("term_texts") / texts
+    told = counted.where((own > 0) & (F.log2(F.col("both") / expected) >= disclosure * own) & certain(F.col("both"), expected))
     return scratch.table(told.select("term").distinct(), "telling-terms")
 
 

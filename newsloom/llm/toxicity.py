@@ -420,7 +420,8 @@ def _counts(rows: DataFrame) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_labelled: int = MAX_LABELLED) -> tuple[KneserNey, Calibration]:
     """The models and the calibration, from labelled rows that aren't held out."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (fold(id_col) != 1)).select(F.col(id_col).alias("__id"), F.col(label_col).alias("label"))
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).where(fold("__id") != 1).join(known, "__id")
+    # sorted and merged at every size: the smaller the labels, the larger the step to shuffled texts would be otherwise
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).where(fold("__id") != 1).join(known.hint("merge"), "__id")
     rows = scratch.table(rows.select("text", "label", fold("__id").alias("fold"), F.pmod(F.xxhash64("__id"), F.lit(_PLACES)).alias("o")), "labelled")
     counted = _counts(rows.select("text", "label", "fold"))
     model = KneserNey.of(counted.select("gram", "t0", "o0", (F.col("t0") + F.col("t2")).alias("t"), (F.col("o0") + F.col("o2")).alias("o")))

@@ -134,7 +134,7 @@ def personal(text):
     return [(kind, a, b) for a, _, kind, b in sorted(spans)]
 
 
-def telling(docs, least, threshold):
+def telling(docs, least, threshold, chance):
     """{doc: term spans}, by counting over distinct texts."""
     texts = {t or "" for _, t in docs}
     holders, terms = defaultdict(set), defaultdict(set)
@@ -152,10 +152,10 @@ def telling(docs, least, threshold):
             terms[w].add(t)
     told, n = set(), len(texts)
     for held in holders.values():
-        inside = Counter(w for t in held for w in {w for _, _, w in spans(t)})
-        for w, c in inside.items():
-            e, m = len(held), min(len(held), len(terms[w]))
-            if n > e and c / (c + 1) * m / (m + 1) * math.log2(n * c / (e * len(terms[w]))) >= threshold * math.log2(n / e) - 1e-12:
+        for w, c in Counter(w for t in held for w in {w for _, _, w in spans(t)}).items():
+            expected = len(held) * len(terms[w]) / n
+            likely = c * math.log(c / expected) - c + expected >= math.log(len(holders) / chance)
+            if n > len(held) and likely and math.log(c / expected) >= threshold * math.log(n / len(held)):
                 told.add(w)
     return {d: [(a, b) for a, b, w in spans(t or "") if w in told] for d, t in docs}
 

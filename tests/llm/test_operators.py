@@ -103,7 +103,7 @@ def test_telling_terms(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit(1)).repartition(3)
     out = pii.find_personal_data(docs).withColumn("clean", pii.redact()).collect()
     got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == 4] for r in out}
-    assert got == brute.telling(rows, pii.MIN_LETTERS, pii.DISCLOSURE)
+    assert got == brute.telling(rows, pii.MIN_LETTERS, pii.DISCLOSURE, pii.CHANCE)
     assert got[600] == [(0, 8), (15, 23), (30, 38)] and got[3] and not got[601]
     assert all("anzibar" not in r["clean"] for r in out if r["clean"]) and next(r["clean"] for r in out if r["doc_id"] == 0).count("[PHONE]") == 1
 
