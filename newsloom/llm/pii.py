@@ -15,7 +15,7 @@ their kind and removes such terms.
 Only distinct texts are counted, so copies of one text are one piece of evidence.  Entities and
 terms that cannot pass the bound whatever t is are left out before they are paired, which
 changes no result.  Counts of terms cover all texts: tasks add up texts that have no copy, and
-those that may have one (by a bitmap of fixed size) are deduplicated first.
+those that may have one (by a bitmap of bounded size) are deduplicated first.
 
 Defined results: null and empty texts have no spans; texts of any length are searched whole; a
 term is a word of digits, letters and characters beyond ASCII, A-Z lower-cased, with
@@ -43,8 +43,8 @@ from newsloom.llm import textbatch as tb
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Least characters of a term, the threshold of disclosure, and how likely a term may be told by chance.
 MIN_LETTERS, DISCLOSURE, CHANCE = 4, 0.5, 0.001
-#: Places of a bitmap; its size does not follow the corpus.
-BITMAP = 1 << 22
+#: Places of a bitmap at most (32 MB).
+BITMAP = 1 << 28
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -159,17 +159,28 @@ def _text_key(text_col: str) -> list[Column]:
 
 
 def _bitmap(numbers: DataFrame) -> np.ndarray:
-    """The places of the single column's numbers; BITMAP is a power of two, so the remainder is a mask."""
-    at = F.col(numbers.columns[0]).bitwiseAND(F.lit(BITMAP - 1))
-    words = numbers.select(at.alias("p")).groupBy(F.floor(F.col("p") / 64).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("bits")).toArrow()  # BITMAP / 64 rows at most
-    bitmap = np.zeros(BITMAP // 64, np.int64)
+    """Words of 64 places, two of which each of the table's numbers marks.
+
+    There are 256 places for a number as long as BITMAP allows; beyond, more other numbers look marked."""
+    n, places = numbers.count(), 1 << 16
+    while places < 256 * n and places < BITMAP:
+        places *= 2
+    number = F.col(numbers.columns[0])
+    at = F.explode(F.array(number, F.shiftrightunsigned(number, 32)))  # places is a power of two, so the remainder is a mask
+    marked = numbers.select(at.alias("p")).select(F.col("p").bitwiseAND(F.lit(places - 1)).alias("p"))
+    words = marked.groupBy(F.floor(F.col("p") / 64).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("bits")).toArrow()  # BITMAP / 64 rows at most
+    bitmap = np.zeros(places // 64, np.int64)
     bitmap[words.column("w").to_numpy()] = words.column("bits").to_numpy()
     return bitmap
 
 
 def _marked(bitmap: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    at = numbers & np.int64(BITMAP - 1)
-    return (bitmap.view(np.uint64)[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
+    """Whether both places of each number are marked."""
+    found = np.ones(len(numbers), bool)
+    for at in (numbers, (numbers.view(np.uint64) >> np.uint64(32)).view(np.int64)):
+        at = at & np.int64(64 * len(bitmap) - 1)
+        found &= (bitmap.view(np.uint64)[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
+    return found
 
 
 def _holders(docs: DataFrame, text_col: str) -> DataFrame:
@@ -198,10 +209,10 @@ def _holders(docs: DataFrame, text_col: str) -> DataFrame:
 def _term_texts(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
     """(term, n): distinct texts that hold each wanted term."""
     spark = docs.sparkSession
-    terms = spark.sparkContext.broadcast(_bitmap(wanted))
+    terms = spark.sparkContext.broadcast(_bitmap(scratch.table(wanted, "wanted-terms")))
     keyed = docs.select(*_text_key(text_col), F.col(text_col).alias("text"))
     copied = keyed.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a")
-    copies = spark.sparkContext.broadcast(_bitmap(copied))
+    copies = spark.sparkContext.broadcast(_bitmap(scratch.table(copied, "copied-texts")))
 
     def count(batches):
         for batch in batches:
