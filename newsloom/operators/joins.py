@@ -117,11 +117,23 @@ def exact_matches(candidates: DataFrame) -> DataFrame:
 
 
 def similar_names(names: DataFrame, key: str, name: str, within: list[str], max_distance: int = 2) -> DataFrame:
-    """(key) with another row of the same last name within the distance; blocked by last name."""
+    """(key) with another row of the same last name within the distance; blocked by last name.
+
+    Two names within the distance have a form in common that each reaches by leaving out as many
+    characters at most.  Distinct names meet on such forms alone, so a last name that many rows
+    share makes no pairs of rows."""
     left = names.select(key, *within, normalize_name(F.col(name)).alias("__n")).withColumn("__l", last_name(F.col("__n")))
-    right = left.select(F.col(key).alias("__key"), *within, F.col("__n").alias("__m"), "__l")
-    near = F.levenshtein("__n", "__m", max_distance).between(0, max_distance)
-    return left.join(right, [*within, "__l"]).where((F.col(key) != F.col("__key")) & near).select(key).distinct()
+    by = [*within, "__l"]
+    one = left.groupBy(*by, "__n").agg(F.countDistinct(key).alias("__keys"))
+    shorter = lambda x: F.transform(F.sequence(F.lit(1), F.length(x)), lambda i: F.concat(F.substring(x, F.lit(1), i - 1), F.substring(x, i + 1, F.length(x))))
+    forms = F.array(F.col("__n"))
+    for _ in range(max_distance):
+        forms = F.array_distinct(F.concat(forms, F.flatten(F.transform(F.filter(forms, lambda x: F.length(x) > 0), shorter))))
+    met = one.select(*by, "__n", F.explode(forms).alias("__form"))
+    other = met.withColumnRenamed("__n", "__m")
+    near = met.join(other, [*by, "__form"]).where((F.col("__n") != F.col("__m")) & F.levenshtein("__n", "__m", max_distance).between(0, max_distance)).select(*by, "__n")
+    found = near.unionByName(one.where("__keys > 1").select(*by, "__n")).distinct()
+    return left.join(found, [*by, "__n"], "left_semi").select(key).distinct()
 
 
 def attribute_run(trials: DataFrame, runs: DataFrame, tolerance_s: int = 900, key: str = "trial_id", at: str = "trial_at") -> DataFrame:

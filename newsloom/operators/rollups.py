@@ -24,21 +24,34 @@ def first_seen(value: Column, order: Column) -> Column:
     return F.array_distinct(F.transform(pairs, lambda p: p["v"]))
 
 
-def confirmed_domains(verdicts: DataFrame, about: str = "about_subject") -> DataFrame:
-    """(event_id, first_pass_domains, second_pass_domains): domains of confirmed results by rank."""
+def confirmed_domains(verdicts: DataFrame, about: str = "about_subject", reliable: str = "reliable") -> DataFrame:
+    """(event_id, first_pass_domains, second_pass_domains): domains of confirmed results by rank.
+
+    A result of the second pass, which looks beyond the listed sources, has to be judged reliable too."""
     yes = F.coalesce(F.col(about), F.lit(False))
+    sure = yes & F.coalesce(F.col(reliable), F.lit(False))
     return verdicts.groupBy("event_id").agg(
         first_seen(F.when(yes & (F.col("pass") == 1), F.col("domain")), F.col("rank")).alias("first_pass_domains"),
-        first_seen(F.when(yes & (F.col("pass") == 2), F.col("domain")), F.col("rank")).alias("second_pass_domains"),
+        first_seen(F.when(sure & (F.col("pass") == 2), F.col("domain")), F.col("rank")).alias("second_pass_domains"),
     )
 
 
-def fold_verdict(domains: DataFrame) -> DataFrame:
-    """Two domains in the first pass are likely, two over both passes possibly notable."""
-    both = F.array_union("first_pass_domains", "second_pass_domains")
-    first = F.size("first_pass_domains")
-    status = F.when(first >= 2, "LIKELY_NOTABLE").when(F.size(both) >= 2, "POSSIBLY_NOTABLE").when(first == 1, "UNCERTAIN").otherwise("NOT_NOTABLE")
-    return domains.withColumn("gate4b_status", status).withColumn("confirmed_count", first).withColumn("all_domains", both).withColumn("reliable_domain_count", F.size(both))
+def fold_verdict(domains: DataFrame, answered: Column | None = None, short_circuit: Column | None = None) -> DataFrame:
+    """Two domains in the first pass are likely, two over both passes possibly notable.
+
+    ``answered`` is false where the first pass failed or didn't parse: nothing is known of it, so
+    without enough domains of the second pass the subject stays uncertain.  Subjects with a
+    ``short_circuit`` had no pass at all."""
+    none = F.array().cast("array<string>")
+    answered = F.lit(True) if answered is None else F.coalesce(answered, F.lit(False))
+    skipped = F.lit(None).cast("string") if short_circuit is None else short_circuit
+    first = F.when(answered & skipped.isNull(), F.coalesce("first_pass_domains", none)).otherwise(none)
+    second = F.when(skipped.isNull() & (F.size(first) < 2), F.coalesce("second_pass_domains", none)).otherwise(none)
+    both = F.array_union(first, second)
+    n = F.size(first)
+    status = F.when(skipped == "HAS_PAGE", "SKIPPED_HAS_PAGE").when(skipped.isNotNull(), "SKIPPED").when(n >= 2, "LIKELY_NOTABLE").when(F.size(both) >= 2, "POSSIBLY_NOTABLE")
+    status = status.when(~answered | (n == 1), "UNCERTAIN").otherwise("NOT_NOTABLE")
+    return domains.withColumn("gate4b_status", status).withColumn("confirmed_count", n).withColumn("all_domains", both).withColumn("reliable_domain_count", F.size(both))
 
 
 def evidence_gate(rows: DataFrame, least: int = 2) -> DataFrame:
@@ -53,17 +66,23 @@ def best_per_subject(rows: DataFrame) -> DataFrame:
 
 
 def person_rollup(rows: DataFrame) -> DataFrame:
-    """By folded name: runs, the latest event of each id, and all URLs and domains ever seen.
+    """By folded name: runs, the latest event of each id, and all URLs and domains ever seen, in the order of their first row.
 
-    rows: (subject_name, run_id, event_id, trial_at, seq, urls, domains)."""
+    rows: (subject_name, run_id, event_id, trial_at, seq, urls, domains).  URLs and domains are made
+    distinct before they are gathered, so a person's list holds what differs and not every row."""
     key = F.replace(F.lower(F.trim("subject_name")), F.lit("ß"), F.lit("ss"))
     rows = rows.withColumn("person", key).where("person <> ''")
-    flat = lambda c: F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("trial_at", "seq", c))), lambda x: x[c])))
-    people = rows.groupBy("person").agg(
-        F.min_by("subject_name", F.struct("trial_at", "seq")).alias("subject_name"), F.array_sort(F.collect_set("run_id")).alias("run_ids"),
-        flat("urls").alias("all_urls"), flat("domains").alias("all_domains"), F.countDistinct("event_id").alias("event_count"),
-    )
-    events = last_wins(rows, "event_id", ["trial_at", "seq"]) if "event_id" in rows.columns else rows
+    order = F.struct("trial_at", "seq", F.col("place"))
+
+    def seen(column: str, name: str) -> DataFrame:
+        each = rows.select("person", "trial_at", "seq", F.posexplode(column).alias("place", "value")).groupBy("person", "value").agg(F.min(order).alias("first"))
+        listed = F.transform(F.array_sort(F.collect_list(F.struct("first", "value"))), lambda x: x["value"])
+        return each.groupBy("person").agg(listed.alias(name))
+
+    none = F.array().cast("array<string>")
+    people = rows.groupBy("person").agg(F.min_by("subject_name", F.struct("trial_at", "seq")).alias("subject_name"), F.array_sort(F.collect_set("run_id")).alias("run_ids"), F.countDistinct("event_id").alias("event_count"))
+    people = people.join(seen("urls", "all_urls"), "person", "left").join(seen("domains", "all_domains"), "person", "left")
+    people = people.withColumn("all_urls", F.coalesce("all_urls", none)).withColumn("all_domains", F.coalesce("all_domains", none))
     events = rows.groupBy("person", "event_id").agg(F.max_by(F.struct("event_id", "run_id", "trial_at", "urls"), F.struct("trial_at", "seq")).alias("e"))
     events = events.groupBy("person").agg(F.array_sort(F.collect_list(F.struct(F.col("e.trial_at"), F.col("e.event_id"), F.col("e.run_id"), F.col("e.urls")))).alias("events"))
     return people.join(events, "person")

@@ -29,9 +29,11 @@ def _add(name, fn, sql):
 
 
 def _folder(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder; a temporary one only where none is set."""
+    """A new path below the shared folder; a temporary one only in a single process where none is set."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         shared = "file://" + tempfile.mkdtemp(prefix="newsloom-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/newsloom/{name}-{uuid.uuid4().hex}"
@@ -111,17 +113,18 @@ def _answers(spark, sf):
     return v.withColumn("domain", F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("own"), F.col("page_id") % 7, F.lit(".example")))), sent
 
 
-_PLACED = f"{base.VERDICT}, placed AS (SELECT event_id, page_id, pass, rank, about_subject, coalesce(CASE WHEN page_id % 3 = 0 AND page_id % 9 <> 0 THEN nullif(domain, '') END, CASE WHEN page_id % 2 = 0 THEN 'own' || (page_id % 7) || '.example' END) AS domain FROM verdict)"
+_PLACED = f"{base.VERDICT}, placed AS (SELECT event_id, page_id, pass, rank, about_subject, reliable, coalesce(CASE WHEN page_id % 3 = 0 AND page_id % 9 <> 0 THEN nullif(domain, '') END, CASE WHEN page_id % 2 = 0 THEN 'own' || (page_id % 7) || '.example' END) AS domain FROM verdict)"
 _add("verdict_domains", lambda s, d: joins.verdict_domains(*_answers(s, d)).select("event_id", "page_id", "domain"), f"WITH {_PLACED} SELECT event_id, page_id, domain FROM placed")
 
 
 def verdicts(spark, sf):
     answers, sent = _answers(spark, sf)
-    out = pipelines.verdicts(answers.where("rank <= 4"), sent)
+    out = pipelines.verdicts(answers, sent)
     return out.select("event_id", "gate4b_status", F.col("reliable_domain_count").cast("long").alias("domains"))
 
 
-_add("verdicts", verdicts, f"WITH {_PLACED}, a AS (SELECT event_id, count(DISTINCT domain) FILTER (WHERE about_subject AND pass = 1) AS f, count(DISTINCT domain) FILTER (WHERE about_subject) AS b FROM placed WHERE rank <= 4 GROUP BY event_id) SELECT event_id, CASE WHEN f >= 2 THEN 'LIKELY_NOTABLE' WHEN b >= 2 THEN 'POSSIBLY_NOTABLE' WHEN f = 1 THEN 'UNCERTAIN' ELSE 'NOT_NOTABLE' END AS gate4b_status, b AS domains FROM a")
+_add("verdicts", verdicts, f"""WITH {_PLACED}, a AS (SELECT event_id, count(DISTINCT domain) FILTER (WHERE about_subject AND pass = 1) AS f, count(DISTINCT domain) FILTER (WHERE about_subject AND (pass = 1 OR reliable)) AS b FROM placed GROUP BY event_id)
+SELECT event_id, CASE WHEN f >= 2 THEN 'LIKELY_NOTABLE' WHEN b >= 2 THEN 'POSSIBLY_NOTABLE' WHEN f = 1 THEN 'UNCERTAIN' ELSE 'NOT_NOTABLE' END AS gate4b_status, CASE WHEN f >= 2 THEN f ELSE b END AS domains FROM a""")
 
 
 def match_batch(spark, sf):

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import names, responses, text, urls
-from newsloom.operators import joins, ordered, rollups
+from newsloom.operators import joins, ordered, records, rollups
 from newsloom.sources import readers
 
 
@@ -77,9 +77,22 @@ def reliable(found: DataFrame, entries: DataFrame) -> DataFrame:
     return ordered.rerank(kept.withColumn("__r", F.col("rank")).drop("rank"), ["event_id"], ["__r"]).drop("__r")
 
 
-def verdicts(answers: DataFrame, sent: DataFrame) -> DataFrame:
-    """Ranked model answers to one folded verdict for each event."""
-    return rollups.fold_verdict(rollups.confirmed_domains(joins.verdict_domains(answers, sent)))
+def verdicts(answers: DataFrame, sent: DataFrame, subjects: DataFrame | None = None, least: int = 2) -> DataFrame:
+    """Ranked model answers to one folded verdict for each event.
+
+    sent: (event_id, pass, rank, domain), with title, entry_title and source where the originating
+    article is to be left out.  subjects: (event_id, gate3_status, answered); those that have a
+    page, or fewer than ``least`` results of the first pass that aren't the article, get no pass."""
+    if {"title", "entry_title", "source"} <= set(sent.columns):
+        sent = records.drop_original(sent)
+        kept = sent.select("event_id", "pass", "rank").distinct()
+        answers = answers.join(kept, ["event_id", "pass", "rank"], "left_semi")
+    domains = rollups.confirmed_domains(joins.verdict_domains(answers, sent.select("event_id", "pass", "rank", "domain")))
+    if subjects is None:
+        return rollups.fold_verdict(domains)
+    counts = sent.where(F.col("pass") == 1).groupBy("event_id").agg(F.count("*").alias("n_results"))
+    gated = rollups.evidence_gate(subjects.join(counts, "event_id", "left").withColumn("n_results", F.coalesce("n_results", F.lit(0))), least)
+    return rollups.fold_verdict(gated.join(domains, "event_id", "left"), F.col("answered"), F.col("short_circuit"))
 
 
 def daily_digest(trials: DataFrame, runs: DataFrame, now: Column, hours: int = 24) -> DataFrame:

@@ -224,10 +224,22 @@ _add("reliable_match", lambda s, d: _reliable(s, d).select("page_id", "source_do
 _add("filter_totals", lambda s, d: _reliable(s, d).agg(F.count("*").alias("kept")).crossJoin(art(s, d).agg(F.count("*").alias("total"))).select("kept", (F.col("total") - F.col("kept")).alias("dropped")), f"WITH {_REL} SELECT count(*) FILTER (WHERE ok) AS kept, count(*) FILTER (WHERE NOT ok) AS dropped FROM rel")
 _add("coverage_dedupe", lambda s, d: ordered.rerank(ordered.dedupe_known(_entries(s, d).withColumn("url", F.when(F.col("page_id") % 5 == 0, F.lit("")).otherwise(F.col("url_key"))), ["feed"], "url", ["page_id"]), ["feed"], ["page_id"]).select("feed", "page_id", F.col("rank").cast("long").alias("rank")),
      f"WITH {_ENTRIES}, q AS (SELECT feed, page_id, CASE WHEN page_id % 5 = 0 THEN '' ELSE url_key END AS u FROM e), z AS (SELECT *, row_number() OVER (PARTITION BY feed, u ORDER BY page_id) AS k FROM q) SELECT feed, page_id, row_number() OVER (PARTITION BY feed ORDER BY page_id) AS rank FROM z WHERE k = 1 OR u = ''")
+_DOMAINS = f"""{VERDICT}, g AS (SELECT event_id, pass, domain, min(rank) AS r FROM verdict WHERE about_subject AND (pass = 1 OR reliable) AND domain <> '' GROUP BY ALL),
+a AS (SELECT event_id, string_agg(domain, ',' ORDER BY r) FILTER (WHERE pass = 1) AS f, string_agg(domain, ',' ORDER BY r) FILTER (WHERE pass = 2) AS s FROM g GROUP BY event_id)"""
 _add("confirmed_domains", lambda s, d: rollups.confirmed_domains(verdict(s, d)).select("event_id", F.array_join("first_pass_domains", ",").alias("first"), F.array_join("second_pass_domains", ",").alias("second")),
-     f"WITH {VERDICT}, g AS (SELECT event_id, pass, domain, min(rank) AS r FROM verdict WHERE about_subject AND domain <> '' GROUP BY ALL), a AS (SELECT event_id, string_agg(domain, ',' ORDER BY r) FILTER (WHERE pass = 1) AS f, string_agg(domain, ',' ORDER BY r) FILTER (WHERE pass = 2) AS s FROM g GROUP BY event_id) SELECT v.event_id, coalesce(a.f, '') AS first, coalesce(a.s, '') AS second FROM (SELECT DISTINCT event_id FROM verdict) v LEFT JOIN a ON a.event_id = v.event_id")
-_add("verdict_fold", lambda s, d: rollups.fold_verdict(rollups.confirmed_domains(verdict(s, d).where("rank <= 3"))).select("event_id", "gate4b_status", F.col("confirmed_count").cast("long").alias("confirmed_count"), F.col("reliable_domain_count").cast("long").alias("reliable_domain_count")),
-     f"WITH {VERDICT}, a AS (SELECT event_id, count(DISTINCT domain) FILTER (WHERE about_subject AND pass = 1) AS f, count(DISTINCT domain) FILTER (WHERE about_subject) AS b FROM verdict WHERE rank <= 3 GROUP BY event_id) SELECT event_id, CASE WHEN f >= 2 THEN 'LIKELY_NOTABLE' WHEN b >= 2 THEN 'POSSIBLY_NOTABLE' WHEN f = 1 THEN 'UNCERTAIN' ELSE 'NOT_NOTABLE' END AS gate4b_status, f AS confirmed_count, b AS reliable_domain_count FROM a")
+     f"WITH {_DOMAINS} SELECT v.event_id, coalesce(a.f, '') AS first, coalesce(a.s, '') AS second FROM (SELECT DISTINCT event_id FROM verdict) v LEFT JOIN a ON a.event_id = v.event_id")
+
+
+def verdict_fold(spark, sf):
+    """A source's pages are judged in blocks of thirty page ids, so every status occurs."""
+    rows = verdict(spark, sf).withColumn("event_id", F.concat("event_id", F.lit("-"), F.floor(F.col("page_id") / 30).cast("string")))
+    out = rollups.fold_verdict(rollups.confirmed_domains(rows))
+    return out.select("event_id", "gate4b_status", F.col("confirmed_count").cast("long").alias("confirmed_count"), F.col("reliable_domain_count").cast("long").alias("reliable_domain_count"))
+
+
+_add("verdict_fold", verdict_fold, f"""WITH {VERDICT}, a AS (SELECT event_id || '-' || CAST(page_id // 30 AS VARCHAR) AS event_id, count(DISTINCT domain) FILTER (WHERE about_subject AND pass = 1) AS f,
+count(DISTINCT domain) FILTER (WHERE about_subject AND (pass = 1 OR reliable)) AS b FROM (SELECT * REPLACE (nullif(domain, '') AS domain) FROM verdict) GROUP BY 1)
+SELECT event_id, CASE WHEN f >= 2 THEN 'LIKELY_NOTABLE' WHEN b >= 2 THEN 'POSSIBLY_NOTABLE' WHEN f = 1 THEN 'UNCERTAIN' ELSE 'NOT_NOTABLE' END AS gate4b_status, f AS confirmed_count, CASE WHEN f >= 2 THEN f ELSE b END AS reliable_domain_count FROM a""")
 _add("evidence_gate", lambda s, d: rollups.evidence_gate(verdict(s, d).groupBy("event_id").agg(F.count("*").alias("n_results"), F.max(F.when(F.col("page_id") % 50 == 0, "HAS_PAGE")).alias("gate3_status")), 12).select("event_id", "short_circuit"), f"WITH {VERDICT} SELECT event_id, CASE WHEN bool_or(page_id % 50 = 0) THEN 'HAS_PAGE' WHEN count(*) < 12 THEN 'SKIPPED_INSUFFICIENT_RESULTS' END AS short_circuit FROM verdict GROUP BY event_id")
 
 

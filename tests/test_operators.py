@@ -38,10 +38,16 @@ def test_reliable(spark):
 
 
 def test_fold(spark):
-    rows = [("e1", 1, "a", True), ("e1", 2, "b", True), ("e2", 1, "a", True), ("e2", 1, "b", True), ("e3", 1, "a", False), ("e4", 1, "a", True)]
-    v = spark.createDataFrame([(e, p, i, d, y) for i, (e, p, d, y) in enumerate(rows)], "event_id string, pass int, rank int, domain string, about_subject boolean")
-    got = {r["event_id"]: r["gate4b_status"] for r in rollups.fold_verdict(rollups.confirmed_domains(v)).collect()}
-    assert got == {"e1": "POSSIBLY_NOTABLE", "e2": "LIKELY_NOTABLE", "e3": "NOT_NOTABLE", "e4": "UNCERTAIN"}
+    """The second pass counts reliable sources only; what wasn't answered is uncertain; what was skipped has no domains."""
+    rows = [("e1", 1, "a", True, True), ("e1", 2, "b", True, True), ("e2", 1, "a", True, True), ("e2", 1, "b", True, True), ("e3", 1, "a", False, True), ("e4", 1, "a", True, True)]
+    rows += [("e5", 1, "a", True, False), ("e5", 2, "b", True, False), ("e6", 2, "a", True, None), ("e7", 1, "a", True, True), ("e7", 1, "b", True, True), ("e8", 2, "a", True, True), ("e8", 2, "b", True, True)]
+    v = spark.createDataFrame([(e, p, i, d, y, r) for i, (e, p, d, y, r) in enumerate(rows)], "event_id string, pass int, rank int, domain string, about_subject boolean, reliable boolean")
+    domains = rollups.confirmed_domains(v)
+    got = {r["event_id"]: r["gate4b_status"] for r in rollups.fold_verdict(domains).collect()}
+    assert got == {"e1": "POSSIBLY_NOTABLE", "e2": "LIKELY_NOTABLE", "e3": "NOT_NOTABLE", "e4": "UNCERTAIN", "e5": "UNCERTAIN", "e6": "NOT_NOTABLE", "e7": "LIKELY_NOTABLE", "e8": "POSSIBLY_NOTABLE"}
+    skip = F.when(F.col("event_id") == "e2", "HAS_PAGE").when(F.col("event_id") == "e1", "SKIPPED_INSUFFICIENT_RESULTS")
+    got = {r["event_id"]: (r["gate4b_status"], r["confirmed_count"]) for r in rollups.fold_verdict(domains, ~F.col("event_id").isin("e6", "e7", "e8"), skip).collect()}
+    assert got["e1"] == ("SKIPPED", 0) and got["e2"] == ("SKIPPED_HAS_PAGE", 0) and got["e6"] == got["e7"] == ("UNCERTAIN", 0) and got["e8"] == ("POSSIBLY_NOTABLE", 0)
 
 
 def test_feed_lines_and_jsonl(spark, tmp_path):

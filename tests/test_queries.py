@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from newsloom.plans import composed
+from newsloom.plans import composed, registry, runs
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,9 +19,19 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(composed.QUERIES))
+QUERIES = composed.QUERIES | runs.QUERIES | {k: registry.QUERIES[k] for k in ("confirmed_domains", "verdict_fold", "person_rollup", "similar_names")}
+SQL = registry.SQL | composed.SQL | runs.SQL
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows_as_sql(spark, duck, name):
-    out = composed.QUERIES[name](spark, SF)
+    out = QUERIES[name](spark, SF)
     columns = sorted(out.columns)
-    want = duck.execute(f"SELECT {', '.join(columns)} FROM ({composed.SQL[name]})").fetchall()
+    want = duck.execute(f"SELECT {', '.join(columns)} FROM ({SQL[name]})").fetchall()
     assert sorted(map(repr, map(tuple, out.select(columns).collect()))) == sorted(map(repr, want))
+
+
+def test_every_verdict_occurs(spark):
+    """The gated verdicts reach all six outcomes."""
+    found = {r["gate4b_status"] for r in runs.QUERIES["verdicts_gated"](spark, "/root/testdata/sf0.01").select("gate4b_status").distinct().collect()}
+    assert found >= {"SKIPPED_HAS_PAGE", "SKIPPED", "LIKELY_NOTABLE", "POSSIBLY_NOTABLE", "UNCERTAIN", "NOT_NOTABLE"}
