@@ -14,7 +14,8 @@ their kind and removes such terms.
 
 Only distinct texts are counted, so copies of one text are one piece of evidence.  Entities and
 terms that cannot pass the bound whatever t is are left out before they are paired, which
-changes no result.  Counts of terms cover all texts: tasks add up texts that have no copy, and
+changes no result.  At most ``IN_TASKS`` telling terms (they are counted first) go to every task;
+of more a bitmap does, and an exact join follows, with the same spans.  Counts of terms cover all texts: tasks add up texts that have no copy, and
 those that may have one (by a bitmap of bounded size) are deduplicated first.
 
 Defined results: null and empty texts have no spans; texts of any length are searched whole; a
@@ -43,8 +44,8 @@ from newsloom.llm import textbatch as tb
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Least characters of a term, the threshold of disclosure, and how likely a term may be told by chance.
 MIN_LETTERS, DISCLOSURE, CHANCE = 4, 0.5, 0.001
-#: Places of a bitmap at most (32 MB).
-BITMAP = 1 << 28
+#: Places of a bitmap at most (32 MB), and telling terms that go to every task (8 MB); of more only a bitmap does.
+BITMAP, IN_TASKS = 1 << 28, 1 << 20
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -284,16 +285,24 @@ def telling_terms(docs: DataFrame, text_col: str = "text", disclosure: float = D
     return scratch.table(told.select("term").distinct(), "telling-terms")
 
 
-def _scan(docs: DataFrame, keep: list[str], text_col: str, bitmap: np.ndarray) -> DataFrame:
-    """``keep`` columns with ``base`` spans and the words that may be telling."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+def _scan(docs: DataFrame, keep: list[str], text_col: str, terms_held: np.ndarray, exact: bool) -> DataFrame:
+    """``keep`` columns with ``base`` spans and the words that are telling, or that may be by a bitmap."""
+    shared = docs.sparkSession.sparkContext.broadcast(terms_held)
+
+    def chosen(hashes: np.ndarray) -> np.ndarray:
+        if not exact:
+            return np.flatnonzero(_marked(shared.value, hashes))
+        if not len(shared.value):
+            return np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(shared.value, hashes), len(shared.value) - 1)
+        return np.flatnonzero(shared.value[at] == hashes)
 
     def find(batches):
         for batch in batches:
             texts, spans, words = batch.column(text_col), [], []
             for first, end, data, offsets in tb.steps(texts):
                 terms = _Terms(data, offsets)
-                hits = np.flatnonzero(_marked(shared.value, terms.hash))
+                hits = chosen(terms.hash)
                 cut = np.searchsorted(terms.row[hits], np.arange(end - first + 1))
                 for i in range(end - first):
                     base = base_spans(texts[first + i].as_py() or "")
@@ -311,12 +320,17 @@ def find_personal_data(docs: DataFrame, keep: list[str] | None = None, text_col:
     docs = docs.drop("base", "spans", "__words", "__row")
     keep = [c for c in (keep or docs.columns) if c in docs.columns]
     telling = telling_terms(docs, text_col, disclosure)
-    found = _scan(docs, keep, text_col, _bitmap(telling)).withColumn("__row", F.monotonically_increasing_id())
+    union = lambda extra: F.array_sort(F.concat("base", F.coalesce(extra, F.array().cast(_SPAN))))
+    if telling.count() <= IN_TASKS:
+        held = np.sort(telling.toArrow().column("term").to_numpy())  # at most IN_TASKS numbers
+        found = _scan(docs, keep, text_col, held, exact=True)
+        extra = F.transform("__words", lambda w: F.struct(w["start"].alias("start"), F.lit(4).alias("kind"), w["end"].alias("end")))
+        return found.withColumn("spans", union(extra)).select(*keep, "base", "spans")
+    found = _scan(docs, keep, text_col, _bitmap(telling), exact=False).withColumn("__row", F.monotonically_increasing_id())
     found = scratch.table(found, "personal")  # numbers of written rows stay
     words = found.where(F.size("__words") > 0).select("__row", F.explode("__words").alias("x")).select("__row", "x.*")
     extra = words.join(telling, "term").groupBy("__row").agg(F.collect_set(F.struct("start", F.lit(4).alias("kind"), "end")).alias("__extra"))
-    out = found.join(extra, "__row", "left")
-    return out.withColumn("spans", F.array_sort(F.concat("base", F.coalesce("__extra", F.array().cast(_SPAN))))).select(*keep, "base", "spans")
+    return found.join(extra, "__row", "left").withColumn("spans", union(F.col("__extra"))).select(*keep, "base", "spans")
 
 
 def span_list(spans: str) -> Column:
