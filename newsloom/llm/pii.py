@@ -274,14 +274,15 @@ def telling_terms(docs: DataFrame, text_col: str = "text", disclosure: float = D
 
     # c <= e, c <= t and so at least c e / N or c c / N are expected: what fails with those cannot pass
     possible = lambda n: certain(F.least(F.col(n), F.lit(texts / 8)), F.least(F.col(n), F.lit(texts / 8)) ** 2 / texts)
-    entities, common = entities.where(possible("entity_texts")), common.where(possible("k")).select("term")
-    pairs = keyed.join(entities.select("entity"), "entity").join(worded.join(common, "term"), ["a", "b"]).groupBy("entity", "term").agg(F.count("*").alias("both"))
-    pairs = pairs.join(entities, "entity").where(certain(F.col("both"), F.col("both") * F.col("entity_texts") / texts))
+    entities, common = entities.where(possible("entity_texts")), common.where(possible("k"))
+    pairs = keyed.join(entities.select("entity"), "entity").join(worded.join(common, "term"), ["a", "b"]).groupBy("entity", "term", "k").agg(F.count("*").alias("both"))
+    own = F.log2(texts / F.col("entity_texts"))
+    tells = lambda met, expected: (own > 0) & (F.log2(met / expected) >= disclosure * own) & certain(met, expected)
+    # at least k texts hold the term, and both tests only get harder with more
+    pairs = pairs.join(entities, "entity").where(tells(F.col("both"), F.col("entity_texts") * F.col("k") / texts))
     pairs = scratch.table(pairs, "term-pairs")
     counted = pairs.join(_term_texts(docs, pairs.select("term").distinct(), text_col).withColumnRenamed("n", "term_texts"), "term")
-    own = F.log2(texts / F.col("entity_texts"))
-    expected = F.col("entity_texts") * F.col("term_texts") / texts
-    told = counted.where((own > 0) & (F.log2(F.col("both") / expected) >= disclosure * own) & certain(F.col("both"), expected))
+    told = counted.where(tells(F.col("both"), F.col("entity_texts") * F.col("term_texts") / texts))
     return scratch.table(told.select("term").distinct(), "telling-terms")
 
 
