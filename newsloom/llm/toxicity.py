@@ -16,7 +16,7 @@ same ratios.  Only the calibration is fitted on a bounded sample, about ``MAX_LA
 taken by a hash, scored by a model of the other training fold.  Labels, language, source and id
 are no inputs of a score.
 
-``ORDER``, ``SHARED`` and ``WINDOW`` were chosen on the training folds; README has the figures.
+README has figures of other values of ``ORDER``, ``SHARED`` and ``WINDOW``.
 
 Defined results: a null or empty text has ratios of 0 and is scored like any other; a text of any
 length is scored whole; rows with a null id or label don't train; without labels of both classes,
