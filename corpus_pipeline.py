@@ -38,11 +38,15 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontam.judge_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), clean_only=True).select(docs.columns)
 
 
+#: Words that a tokenizing worker notes: fewer than by default, as executors still hold memory of the stages before.
+MEMO = 100_000
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of at most 2048."""
     import public_tokenizers
 
-    return packing.pack(docs, public_tokenizers.path(packing.VOCABULARY))
+    return packing.pack(docs, public_tokenizers.path(packing.VOCABULARY), memo=MEMO)
 
 
 STAGES = [

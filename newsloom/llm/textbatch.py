@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that one step works on; a longer text is one step of its own.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 _P_INV = np.uint64(pow(int(_P), -1, 1 << 64))
