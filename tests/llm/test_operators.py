@@ -201,6 +201,22 @@ def test_licences(spark):
     assert all(not got[10 + i] for i in range(60))
 
 
+GPL = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License\nas published"
+BSD = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:"
+
+
+def test_licences_of_odd_rows(spark, empty):
+    """Wrapped notices, unusual marks, long texts, repeated and missing ids; a clashing column is replaced."""
+    rows = [(1, GPL), (1, "Released under the MIT License."), (None, BSD), (None, "All rights.reserved"), (None, None), (2, ""), (3, "filler words go on " * 5000 + GPL + " and on" * 5000), (4, "\n\n \n"), (1, GPL)]
+    rows += [(10 + i, f"ordinary words number {i} go on\nand on under the sun {i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("licences", F.lit("clash")).withColumn("key", F.lit(1)).withColumn("words", F.lit(2))
+    out = licences.scan_licences(docs).collect()
+    got = Counter((r["doc_id"], ",".join(r["licences"])) for r in out if r["licences"] or r["doc_id"] is None)
+    assert got == {(1, "gpl-3.0"): 2, (1, "mit"): 1, (None, "bsd"): 1, (None, "proprietary"): 1, (None, ""): 1, (3, "gpl-3.0"): 1}
+    assert len(out) == len(rows) and {r["key"] for r in out} == {1} and {r["words"] for r in out} == {2}
+    assert licences.scan_licences(empty).count() == 0
+
+
 def test_pipeline_stages(spark, tmp_path):
     """Line dedup, near copies, decontamination and packing keep what brute force keeps."""
     docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in EDGE], "doc_id long, text string, lang string, source string, n_chars long")
