@@ -8,11 +8,18 @@ looked up as whole grams.
 
 The fingerprints of a benchmark of at most ``MAX_ITEM_BYTES`` of text go to every task, and
 documents are read once with no shuffle.  A larger benchmark (its size is measured first) is
-joined by a shuffle on the fingerprint; both ways share the code that extends hits.
+joined by a shuffle on the fingerprint; both ways share the code that extends hits and give
+the same results.
+
+A hash that a text and an item hold often (a repeated word) gives as many alignments as the
+product of its places.  Beyond ``MAX_ALIGNED`` they are not listed: the two are compared by the
+hashes of all their whole windows, which is what all alignments together would find.
 
 Defined results: null and empty texts have no words and are clean; an empty benchmark hits
-nothing; null items are ignored, equal items are each reported; rows that repeat a document
-are judged alike.  Input columns named like the results are replaced, others pass through.
+nothing; null items are ignored; rows that repeat an item's id count as one item, of which any
+may hit; equal items of different ids are each reported; on ties every least gram of a window
+is kept; long texts are judged whole; rows that repeat a document are judged alike.  Input
+columns named like the results are replaced, others pass through.
 """
 
 from __future__ import annotations
@@ -32,6 +39,8 @@ from newsloom.llm import textbatch as tb
 WINDOW, GRAM = 13, 7
 #: Benchmarks of at most so many bytes of text are sent to every task.
 MAX_ITEM_BYTES = 16 << 20
+#: Places of one hash in a text times those in an item, up to which alignments are listed.
+MAX_ALIGNED = 16
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -82,29 +91,45 @@ def _fingerprints(words: np.ndarray, at: np.ndarray, short: Iterable[int], whole
     return np.concatenate(found), np.concatenate(hashes)
 
 
-def _runs(doc: np.ndarray, item: np.ndarray, shift: int) -> list[tuple[int, int]]:
-    """Spans of doc, one past the end, that equal item at this alignment for a whole window."""
-    first = max(0, shift)
-    end = min(len(doc), len(item) + shift)
-    need = min(WINDOW, len(item))
-    if end - first < need:
-        return []
-    same = np.concatenate([[0], (doc[first:end] == item[first - shift : end - shift]).view(np.int8), [0]])
-    edges = np.diff(same)
-    return [(first + a, first + b) for a, b in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1), strict=True) if b - a >= need]
+def _edges(same: np.ndarray, need: int) -> list[tuple[int, int]]:
+    """Runs of true of at least ``need``: first place and one past the last."""
+    edges = np.diff(np.concatenate([[0], same.view(np.int8), [0]]))
+    return [(int(a), int(b)) for a, b in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1), strict=True) if b - a >= need]
+
+
+def _extend(doc: np.ndarray, item: np.ndarray, shifts: Iterable[int] | None) -> list[tuple[int, int]]:
+    """Spans of doc, one past the end, that equal item for a whole window: at these alignments, or at any if None."""
+    need, out = min(WINDOW, len(item)), []
+    if shifts is None:
+        found = np.isin(tb.gram_hashes(doc, need), tb.gram_hashes(item, need))
+        return [(a, b + need - 1) for a, b in _edges(found, 1)]
+    for shift in shifts:
+        first, end = max(0, shift), min(len(doc), len(item) + shift)
+        if end - first >= need:
+            out += [(first + a, first + b) for a, b in _edges(doc[first:end] == item[first - shift : end - shift], need)]
+    return out
 
 
-def _judge(doc: np.ndarray, pairs: set[tuple[int, int]], items: list[np.ndarray]) -> tuple[int, set[int]]:
-    """Words hit and items found, from (item, alignment) pairs."""
+def _judge(doc: np.ndarray, met: dict[int, set[int] | None], items: list[np.ndarray]) -> tuple[int, set[int]]:
+    """Words hit and items found, from the alignments of each item."""
     hit, found = np.zeros(len(doc) + 1, np.int32), set()
-    for item, shift in pairs:
-        for a, b in _runs(doc, items[item], shift):
+    for item, shifts in met.items():
+        for a, b in _extend(doc, items[item], shifts):
             hit[a] += 1
             hit[b] -= 1
             found.add(item)
     return int((np.cumsum(hit) > 0).sum()), found
 
 
+def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place and size of each run of equal keys; the keys are sorted."""
+    if not len(keys[0]):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    new = np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)])
+    first = np.flatnonzero(new)
+    return first, np.diff(np.append(first, len(new)))
+
+
 class _Index:
     """The benchmark's fingerprints, sorted, with their items and places."""
 
@@ -120,8 +145,10 @@ class _Index:
         at = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
         places, hashes = _fingerprints(np.concatenate([*self.items, np.zeros(0, np.uint64)]), at, self.short, True)
         owner = np.searchsorted(at, places, side="right") - 1
-        order = np.argsort(hashes, kind="stable")
-        self.hashes, self.owner, self.place = hashes[order], owner[order], (places - at[owner])[order]
+        order = np.lexsort((owner, hashes))
+        self.place = (places - at[owner])[order]
+        self.first, self.count = _groups(hashes[order], owner[order])
+        self.hashes, self.owner = hashes[order][self.first], owner[order][self.first]
 
     def judge(self, texts: pa.Array):
         """n_words, n_hit and the items found, for every text."""
@@ -129,19 +156,27 @@ class _Index:
             rows = [(int(at[i + 1] - at[i]), 0, []) for i in range(end - first)]
             if len(self.hashes):
                 places, hashes = _fingerprints(words, at, self.short, False)
-                low = np.searchsorted(self.hashes, hashes, side="left")
-                known = self.hashes[np.minimum(low, len(self.hashes) - 1)] == hashes
-                places, low, hashes = places[known], low[known], hashes[known]
-                count = np.searchsorted(self.hashes, hashes, side="right") - low
-                entry, place = tb.ranges(low, count), np.repeat(places, count)
-                row = np.searchsorted(at, place, side="right") - 1
-                hits: dict[int, set] = {}
-                met = np.unique(np.stack([row, self.owner[entry], place - at[row] - self.place[entry]], axis=1), axis=0)
-                for r, item, shift in met.tolist():
-                    hits.setdefault(r, set()).add((item, shift))
-                for r, pairs in hits.items():
-                    n, found = _judge(words[at[r] : at[r + 1]], pairs, self.items)
-                    rows[r] = (rows[r][0], n, sorted(self.ids[i] for i in found))
+                row = np.searchsorted(at, places, side="right") - 1
+                order = np.lexsort((hashes, row))
+                places, hashes, row = (places - at[row])[order], hashes[order], row[order]
+                first, count = _groups(row, hashes)
+                low = np.searchsorted(self.hashes, hashes[first], side="left")
+                met = np.searchsorted(self.hashes, hashes[first], side="right") - low
+                entry, own = tb.ranges(low, met), np.repeat(np.arange(len(first)), met)
+                n = count[own] * self.count[entry]
+                pair = np.repeat(np.arange(len(n)), np.where(n <= MAX_ALIGNED, n, 0))
+                k = tb.ranges(np.zeros(len(n), np.int64), np.where(n <= MAX_ALIGNED, n, 0))
+                mine = places[first[own[pair]] + k // self.count[entry[pair]]]
+                theirs = self.place[self.first[entry[pair]] + k % self.count[entry[pair]]]
+                hits: dict[int, dict[int, set[int] | None]] = {}
+                for r, item, shift in zip(row[first[own[pair]]].tolist(), self.owner[entry[pair]].tolist(), (mine - theirs).tolist(), strict=True):
+                    hits.setdefault(r, {}).setdefault(item, set()).add(shift)
+                many = n > MAX_ALIGNED
+                for r, item in zip(row[first[own[many]]].tolist(), self.owner[entry[many]].tolist(), strict=True):
+                    hits.setdefault(r, {})[item] = None
+                for r, met_items in hits.items():
+                    n_hit, found = _judge(words[at[r] : at[r + 1]], met_items, self.items)
+                    rows[r] = (rows[r][0], n_hit, sorted({self.ids[i] for i in found}))
             yield from rows
 
 
@@ -209,9 +244,13 @@ def _by_join(docs: DataFrame, items: DataFrame, keep: list[str], id_col: str, te
     keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
     left = _prints(keyed, sorted(short), False)
     right = _prints(items.select(F.col("item_id").alias("id"), F.lit(0).alias("key"), "text"), sorted(short), True)
-    right = scratch.table(right.select(F.col("id").alias("item"), F.col("place").alias("at"), "hash"), "item-prints")
-    met = left.join(right, "hash").select("id", "key", "item", (F.col("place") - F.col("at")).alias("shift")).distinct()
-    met = met.groupBy("id", "key", "item").agg(F.collect_list("shift").alias("shifts"))
+    right = scratch.table(right.groupBy(F.col("id").alias("item"), "hash").agg(F.collect_set("place").alias("at")), "item-prints")
+    left = left.groupBy("id", "key", "hash").agg(F.collect_set("place").alias("places"))  # at most the words of a text
+    met = left.join(right, "hash").withColumn("many", F.size("places") * F.size("at") > MAX_ALIGNED)
+    shifts = F.flatten(F.transform("places", lambda p: F.transform("at", lambda a: p - a)))
+    met = met.select("id", "key", "item", "many", F.when(~F.col("many"), shifts).alias("shifts"))
+    met = met.groupBy("id", "key", "item").agg(F.max("many").alias("many"), F.flatten(F.collect_set("shifts")).alias("shifts"))
+    met = met.select("id", "key", "item", F.when(~F.col("many"), F.array_distinct("shifts")).alias("shifts"))
     pairs = met.join(keyed.dropDuplicates(["id", "key"]), ["id", "key"]).join(items.select(F.col("item_id").alias("item"), F.col("text").alias("item_text")), "item")
 
     def extend(batches):
@@ -219,7 +258,7 @@ def _by_join(docs: DataFrame, items: DataFrame, keep: list[str], id_col: str, te
             out = []
             for row in batch.select(["text", "item_text", "shifts"]).to_pylist():
                 doc, item = (next((w for *_, w, _ in _words(pa.array([row[c]], pa.large_string()))), np.zeros(0, np.uint64)) for c in ("text", "item_text"))
-                out.append([{"a": int(a), "b": int(b)} for s in row["shifts"] for a, b in _runs(doc, item, s)])
+                out.append([{"a": a, "b": b} for a, b in _extend(doc, item, row["shifts"])])
             spans = pa.array(out, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), batch.column("item"), spans], ["id", "key", "item", "spans"])
 

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -232,3 +233,17 @@ def test_pipeline_stages(spark, tmp_path):
     bad = {d for d, v in brute.contamination([x for x in rows if x[0] in kept], ITEMS).items() if v[4]}
     assert {r["doc_id"] for r in out.collect()} == kept - bad and bad
     assert {r["doc_id"] for r in stages["best-fit packing"](spark, out, str(tmp_path)).collect()} == kept - bad
+
+
+def test_contamination_of_repeated_words_and_items(spark):
+    """One word repeated, in long texts and items, repeated item ids, clashing columns: both ways equal brute force."""
+    items = [(1, "the " * 60), (1, "so it goes " * 20), (2, "the " * 60), (3, "b c " * 40 + "d"), (4, "the the"), (7, " ".join(f"k{i}" for i in range(30)))]
+    docs = [(1, "the " * 900), (2, "x " + "the " * 12 + "y"), (3, "so it goes " * 300 + "the the b"), (4, "c " + "b c " * 90), (5, None), (6, "z " * 400 + " ".join(f"k{i}" for i in range(5, 20)) + " z" * 50), (7, "the " * 13)]
+    table = spark.createDataFrame(docs, "doc_id long, text string").withColumn("items", F.lit(1)).withColumn("key", F.lit(2)).withColumn("hash", F.lit(3))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for limit in (decontam.MAX_ITEM_BYTES, 0):
+        rows = decontam.judge_contamination(table, bench, max_item_bytes=limit).collect()
+        got = {r["doc_id"]: (r["n_words"], r["n_hit"], len(r["items"]), brute.sha(",".join(sorted(map(str, r["items"])))), r["contaminated"]) for r in rows}
+        assert got == brute.contamination(docs, items) and {r["key"] for r in rows} == {2}
+    index = decontam._Index([1], ["the " * 1600])
+    assert next(index.judge(pa.array(["the " * 8000]))) == (8000, 8000, [1])
