@@ -11,8 +11,9 @@ rule's; the longest rule wins, among equals the first.  Where none fits, the ver
 method's: ``block`` if a glob of the block list fits, else ``allow``.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path, no rule, and
-the verdict for an empty URL.  Long URLs take one step a character; empty tables give empty
-tables; other columns pass through, but columns named like the results are replaced.
+the verdict for an empty URL.  Long URLs take one step a character, and tables of ``CELLS``
+characters however long the longest is; rows that repeat an id are judged one by one; empty
+tables give empty tables; other columns pass through, but columns named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ from newsloom.llm.lines import ascii_lower
 #: Marks that no URL character equals: they lie beyond Unicode.
 START, BOUNDARY, ANY, GAP = 0x110000, 0x110001, 0x110002, 0x110003
 
-#: URLs that are advanced together, sorted by length.
-ROWS = 4096
+#: URLs that are advanced together, sorted by length, and characters looked up at once.
+ROWS, CELLS = 4096, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -113,19 +114,19 @@ class Automaton:
         order = np.argsort(-lengths, kind="stable")
         for first in range(0, len(order), ROWS):
             rows = order[first : first + ROWS]
-            longest = int(lengths[rows[0]])
-            table = np.full((longest, len(rows)), 0, np.int64)
-            for j, r in enumerate(rows):
-                if lengths[r]:
-                    table[: lengths[r], j] = self.classes(np.asarray(texts[r], np.int64))
-            alive = np.searchsorted(-lengths[rows], -np.arange(longest), side="left")  # texts longer than i
             state = np.tile(self.start, (len(rows), 1))
-            for i in range(longest):
-                n = alive[i]
-                now = state[:n]
-                shifted = now << np.uint64(1)
-                shifted[:, 1:] |= now[:, :-1] >> np.uint64(63)
-                state[:n] = (shifted & self.masks[table[i, :n]]) | (now & self.loops)
+            step = max(1, CELLS // len(rows))
+            for begin in range(0, int(lengths[rows[0]]), step):
+                alive = np.searchsorted(-lengths[rows], -np.arange(begin, begin + step), side="left")  # texts longer than i
+                table = np.zeros((step, alive[0]), np.uint16)
+                for j, r in enumerate(rows[: alive[0]]):
+                    codes = np.asarray(texts[r][begin : begin + step], np.int64)
+                    table[: len(codes), j] = self.classes(codes)
+                for i, n in enumerate(alive[: np.count_nonzero(alive)]):
+                    now = state[:n]
+                    shifted = now << np.uint64(1)
+                    shifted[:, 1:] |= now[:, :-1] >> np.uint64(63)
+                    state[:n] = (shifted & self.masks[table[i, :n]]) | (now & self.loops)
             for p, (word, bit) in enumerate(self.finals):
                 out[rows, p] = (state[:, word] >> bit) & np.uint64(1)
         return out

@@ -247,3 +247,18 @@ def test_contamination_of_repeated_words_and_items(spark):
         assert got == brute.contamination(docs, items) and {r["key"] for r in rows} == {2}
     index = decontam._Index([1], ["the " * 1600])
     assert next(index.judge(pa.array(["the " * 8000]))) == (8000, 8000, [1])
+
+
+def test_urls_of_any_length(spark, empty, monkeypatch):
+    """Short tables give the same verdicts; a very long URL, repeated and empty rows."""
+    rows = [(1, "http://a.com/" + "x" * 120_000 + "/ads/b"), (1, "http://a.com/" + "x" * 50), (2, "http://a.com/ads/"), (None, "http://example.org/es/" + "é" * 300), (3, "")]
+    rows += [(i, f"http://h{i}.net/" + "p" * (i % 90) + "/adserver/" * (i % 2)) for i in range(10, 500)]
+    automaton = urlrules.Automaton([g.places() for g in urlrules.GLOBS])
+    texts = [[urlrules.START, 0x2E, *map(ord, "h.net"), urlrules.BOUNDARY, *map(ord, u[11:])] for _, u in rows]
+    want = automaton.run(texts)
+    monkeypatch.setattr(urlrules, "CELLS", 700)
+    assert (automaton.run(texts) == want).all() and want[:, 1].any()
+    monkeypatch.undo()
+    got = [(r["page_id"], r["verdict"]) for r in urlrules.judge_urls(spark.createDataFrame(rows, "page_id long, url string").withColumn("verdict", F.lit(1)).coalesce(1)).collect()]
+    assert got == [(1, "block"), (1, "allow"), (2, "block"), (None, "block"), (3, "allow")] + [(i, "block" if i % 2 else "allow") for i in range(10, 500)]
+    assert urlrules.judge_urls(empty.withColumnRenamed("text", "url")).count() == 0
