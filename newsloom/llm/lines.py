@@ -3,12 +3,14 @@
 Lines are exploded and normalised (ASCII blanks stripped at both ends, A-Z lower-cased),
 hashed to 128 bits, and counted by document.  The shuffle carries hashes and ids, never
 text; each hash is combined before the shuffle, so a line that a third of all documents
-hold arrives once per task.  The join back is a plain shuffle join of two written inputs,
+hold arrives once per task.  A hash is in two documents or more where its least and its
+greatest id differ; higher thresholds count distinct ids.  Dropped lines are kept as positions
+of a row's text, and the rest is put together again by position.  The join back is a plain shuffle join of two written inputs,
 which adaptive execution splits where a hash is hot, or a broadcast if the table of repeated
 hashes is small on disk.
 
 Defined results: a null or empty text is one empty line; a key shorter than ``min_chars``
-never counts; rows with a null id pass through unchanged and count for nobody; rows that
+never counts; long texts cost their number of lines; rows with a null id pass through unchanged and count for nobody; rows that
 repeat an id count as one document; an empty table gives an empty table.  Other columns pass
 through; input columns named like the two counters are replaced.
 """
@@ -48,22 +50,23 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2,
     A key of at least ``min_chars`` code points found in at least ``min_docs`` documents loses
     its lines everywhere except in the document with the smallest id that holds it.
     """
-    line = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.explode(_lines(F.col(text_col))).alias("line"))
-    keyed = line.select("id", line_key(F.col("line")).alias("key")).where(F.length("key") >= min_chars)
-    hashed = keyed.select("id", _hash(F.col("key")).alias("h")).select("id", F.col("h.a").alias("a"), F.col("h.b").alias("b"))
+    own = F.xxhash64(text_col)  # tells rows apart that repeat an id
+    line = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), own.alias("own"), F.posexplode(_lines(F.col(text_col))).alias("place", "line"))
+    keyed = line.select("id", "own", "place", line_key(F.col("line")).alias("key")).where(F.length("key") >= min_chars)
+    hashed = keyed.select("id", "own", "place", _hash(F.col("key")).alias("h")).select("id", "own", "place", F.col("h.a").alias("a"), F.col("h.b").alias("b"))
     if min_docs == 2:
         shared = hashed.groupBy("a", "b").agg(F.min("id").alias("keeper"), F.max("id").alias("last")).where("keeper < last")
     else:
-        shared = hashed.distinct().groupBy("a", "b").agg(F.min("id").alias("keeper"), F.count("*").alias("n")).where(F.col("n") >= min_docs)
+        shared = hashed.select("id", "a", "b").distinct().groupBy("a", "b").agg(F.min("id").alias("keeper"), F.count("*").alias("n")).where(F.col("n") >= min_docs)
     shared = scratch.table(shared.select("a", "b", "keeper"), "shared-lines")
-    lost = hashed.join(shared, ["a", "b"]).where("id <> keeper").groupBy("id").agg(F.collect_set(F.struct("a", "b")).alias("lost"))
-    lost = scratch.table(lost.select(F.col("id").alias("__id"), F.col("lost").alias("__lost")), "lost-lines")
-    kept = F.filter(_lines(F.col(text_col)), lambda x: ~F.array_contains(F.col("__lost"), _hash(line_key(x))) | (F.length(line_key(x)) < min_chars))
-    joined = docs.drop("n_lines", "n_dropped").join(lost, F.col(id_col) == F.col("__id"), "left")
-    joined = joined.withColumn("__kept", F.when(F.col("__lost").isNotNull(), kept)).withColumn("n_lines", F.size(_lines(F.col(text_col))).cast("long"))
-    joined = joined.withColumn("n_dropped", F.when(F.col("__kept").isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.size("__kept")).cast("long"))
-    joined = joined.withColumn(text_col, F.when(F.col("__kept").isNull(), F.col(text_col)).otherwise(F.array_join("__kept", "\n")))
-    return joined.drop("__id", "__lost", "__kept")
+    lost = hashed.join(shared, ["a", "b"]).where("id <> keeper").groupBy("id", "own").agg(F.collect_set("place").alias("lost"))
+    lost = scratch.table(lost.select(F.col("id").alias("__id"), F.col("own").alias("__own"), F.col("lost").alias("__lost")), "lost-lines")
+    joined = docs.drop("n_lines", "n_dropped").join(lost, (F.col(id_col) == F.col("__id")) & (own == F.col("__own")), "left")
+    # the lines are bound once, as an array of one; array_except keeps order and looks up in a hash set
+    left = lambda lines: F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__lost"))
+    kept = F.transform(F.array(_lines(F.col(text_col))), lambda lines: F.array_join(F.transform(left(lines), lambda place: F.get(lines, place)), "\n"))
+    joined = joined.withColumn("n_lines", F.size(_lines(F.col(text_col))).cast("long")).withColumn("n_dropped", F.coalesce(F.when(F.col("__lost").isNotNull(), F.size("__lost")), F.lit(0)).cast("long"))
+    return joined.withColumn(text_col, F.when(F.col("__lost").isNotNull(), F.get(kept, 0)).otherwise(F.col(text_col))).drop("__id", "__own", "__lost")
 
 
 def op7_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -262,3 +262,13 @@ def test_urls_of_any_length(spark, empty, monkeypatch):
     got = [(r["page_id"], r["verdict"]) for r in urlrules.judge_urls(spark.createDataFrame(rows, "page_id long, url string").withColumn("verdict", F.lit(1)).coalesce(1)).collect()]
     assert got == [(1, "block"), (1, "allow"), (2, "block"), (None, "block"), (3, "allow")] + [(i, "block" if i % 2 else "allow") for i in range(10, 500)]
     assert urlrules.judge_urls(empty.withColumnRenamed("text", "url")).count() == 0
+
+
+def test_lines_of_repeated_ids_and_long_texts(spark):
+    """By position: two texts of one id, a text of many lost lines, null ids, clashing columns."""
+    many = "\n".join(f"line of number {i % 5000}\nown {i}" for i in range(20_000))
+    rows = [(2, many), (1, "\n".join(f"LINE of number {i}" for i in range(5000))), (3, "line of number 7\n\nx"), (3, "y\nline of number 7"), (3, "y\nline of number 7"), (None, "line of number 7"), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_lines", F.lit("clash")).withColumn("own", F.lit(1)).withColumn("place", F.lit(2)).withColumn("id", F.lit(3))
+    got = sorted((r["doc_id"] or 0, r["text"] or "", r["n_lines"], r["n_dropped"], r["own"], r["id"]) for r in lines.drop_repeated_lines(docs).collect())
+    want = [(0, "line of number 7", 1, 0), (1, rows[1][1], 5000, 0), (2, "\n".join(f"own {i}" for i in range(20_000)), 40_000, 20_000), (3, "\nx", 3, 1), (3, "y", 2, 1), (3, "y", 2, 1), (4, "", 1, 0)]
+    assert got == [(*w, 1, 3) for w in want]
