@@ -12,7 +12,10 @@ counts and digests payloads, ``bytes`` returns them.
 
 Defined results: a null payload is empty; a null id or URL leaves its header out and reads
 back as null; rows that repeat the smallest id of a payload are responses, all others are
-revisits; line breaks in URLs are percent-encoded; empty tables make an archive with no records.
+revisits; line breaks in URLs are percent-encoded; long payloads are read whole, one at a time; empty
+tables make an archive with no records.  In archives of others a record without an HTTP head is
+all payload, a missing size of a revisit is null, and a length that is no number leaves that
+record's payload out: the reader goes on at the next line that starts a record.
 """
 
 from __future__ import annotations
@@ -85,7 +88,7 @@ def _open(path: str) -> io.BufferedIOBase:
 def _head(stream) -> dict[str, str] | None:
     """Version line and headers up to the empty line; None at the end of the file."""
     line = stream.readline()
-    while line in (b"\r\n", b"\n"):
+    while line and not line.startswith(b"WARC/"):
         line = stream.readline()
     if not line:
         return None
@@ -96,6 +99,14 @@ def _head(stream) -> dict[str, str] | None:
     return out
 
 
+def _length(value: str | bytes | None) -> int | None:
+    """A length as headers write it; None if it is missing or no number."""
+    try:
+        return max(0, int(value)) if value is not None else None
+    except ValueError:
+        return None
+
+
 def _unwrap(urn: str | None) -> str | None:
     return urn[1:-1].removeprefix("urn:page:") if urn else None
 
@@ -131,7 +142,7 @@ class WarcReader(DataSourceReader):
     def _records(self, path: str) -> Iterator[tuple]:
         with _open(path) as stream:
             while (head := _head(stream)) is not None:
-                length = int(head.get("content-length", 0))
+                length = _length(head.get("content-length")) or 0
                 row = {"record_type": head.get("warc-type"), "record_id": _unwrap(head.get("warc-record-id")), "target_uri": head.get("warc-target-uri"), "refers_to": _unwrap(head.get("warc-refers-to"))}
                 if self.content == "none" or any(row[c] not in values for c, values in self.filters):
                     stream.seek(length, io.SEEK_CUR)  # the payload isn't read
@@ -139,10 +150,11 @@ class WarcReader(DataSourceReader):
                         yield (*row.values(), head.get("warc-payload-digest", "").removeprefix("sha256:") or None, None, None)
                     continue
                 block = stream.read(length)
-                cut = block.find(b"\r\n\r\n") + 4
+                http = block.startswith((b"HTTP/", b"GET ", b"POST ")) or "application/http" in head.get("content-type", "")
+                cut = block.find(b"\r\n\r\n") + 4 if http and b"\r\n\r\n" in block else 0
                 if row["record_type"] == "revisit":  # its block is the HTTP head of the payload it stands for
-                    sizes = [x for x in block[:cut].split(b"\r\n") if x.lower().startswith(b"content-length:")]
-                    yield (*row.values(), head.get("warc-payload-digest", "").removeprefix("sha256:"), int(sizes[0].split(b":")[1]), None)
+                    sizes = [x.partition(b":")[2] for x in block[:cut].split(b"\r\n") if x.lower().startswith(b"content-length:")]
+                    yield (*row.values(), head.get("warc-payload-digest", "").removeprefix("sha256:") or None, _length(sizes[0]) if sizes else None, None)
                 else:
                     payload = memoryview(block)[cut:]
                     yield (*row.values(), hashlib.sha256(payload).hexdigest(), len(payload), bytes(payload) if self.content == "bytes" else None)

@@ -272,3 +272,20 @@ def test_lines_of_repeated_ids_and_long_texts(spark):
     got = sorted((r["doc_id"] or 0, r["text"] or "", r["n_lines"], r["n_dropped"], r["own"], r["id"]) for r in lines.drop_repeated_lines(docs).collect())
     want = [(0, "line of number 7", 1, 0), (1, rows[1][1], 5000, 0), (2, "\n".join(f"own {i}" for i in range(20_000)), 40_000, 20_000), (3, "\nx", 3, 1), (3, "y", 2, 1), (3, "y", 2, 1), (4, "", 1, 0)]
     assert got == [(*w, 1, 3) for w in want]
+
+
+FOREIGN = [
+    "WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:page:1>\r\nContent-Type: application/warc-fields\r\nContent-Length: 9\r\n\r\nsoft: x\r\n\r\n\r\n",
+    "WARC/1.0\r\nWARC-Type: revisit\r\nWARC-Record-ID: <urn:page:2>\r\nContent-Length: 0\r\n\r\n\r\n\r\n",
+    "WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:3>\r\nContent-Length: many\r\n\r\nHTTP/1.1 200 OK\r\n\r\nlost\r\n\r\n",
+    "WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:4>\r\nContent-Type: application/http\r\nContent-Length: 24\r\n\r\nHTTP/1.1 200 OK\r\n\r\nhello\r\n\r\n",
+    "WARC/1.0\r\nWARC-Type: resource\r\nContent-Length: 4\r\n\r\nbody\r\n\r\n",
+]
+
+
+def test_warc_foreign_records(spark):
+    """Records without an HTTP head keep their whole payload, broken lengths cost their own payload only."""
+    path = scratch.new_path(spark, "warc-foreign")
+    spark.createDataFrame([("".join(FOREIGN),)], "value string").coalesce(1).write.text(path)
+    got = sorted((r["record_id"] or "", r["record_type"], r["payload_bytes"], bytes(r["payload"]) if r["payload"] is not None else None) for r in warc.read_archive(spark, path, "bytes").collect())
+    assert got == [("", "resource", 4, b"body"), ("1", "warcinfo", 9, b"soft: x\r\n"), ("2", "revisit", None, None), ("3", "response", 0, b""), ("4", "response", 5, b"hello")]
