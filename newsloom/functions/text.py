@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +38,10 @@ NOT_PEOPLE = (
 )
 
 
+#: A cheap test of the first letter before the patterns' word boundary; it changes no match.
+_CAPITAL, _CUE = "(?=[A-Z])", "(?=[oOdDaAtTrR])"
+
+
 def blank(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
@@ -46,36 +52,47 @@ def event_text(title: Column, summary: Column) -> Column:
 
 def candidate_name(text: Column) -> Column:
     """The first full name, else the first initial with a surname, else null."""
-    found = lambda p: F.nullif(F.regexp_extract(text, p, 0), F.lit(""))
+    found = lambda p: F.nullif(F.regexp_extract(text, _CAPITAL + p, 0), F.lit(""))
     return F.coalesce(found(FULL_NAME), found(INITIAL_SURNAME))
 
 
 def name_signals(text: Column) -> Column:
     return F.struct(
-        F.rlike(text, F.lit(FULL_NAME)).alias("full_name_match"), F.rlike(text, F.lit(INITIAL_SURNAME)).alias("initial_surname_match"),
-        F.rlike(text, F.lit(OBITUARY_CUE)).alias("obit_cue_match"), F.rlike(text, F.lit(CAPITALISED)).alias("obit_guardrail_token_match"),
+        F.rlike(text, F.lit(_CAPITAL + FULL_NAME)).alias("full_name_match"), F.rlike(text, F.lit(_CAPITAL + INITIAL_SURNAME)).alias("initial_surname_match"),
+        F.rlike(text, F.lit(_CUE + OBITUARY_CUE)).alias("obit_cue_match"), F.rlike(text, F.lit(_CAPITAL + CAPITALISED)).alias("obit_guardrail_token_match"),
         F.lit(False).alias("known_wiki_page_match"),
     )
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _reason(heading: Column, s: Column) -> Column:
+    return (
+        F.when(heading.isNotNull(), heading).when(s["full_name_match"], "NAME_FULL_MATCH").when(s["initial_surname_match"], "NAME_INITIAL_SURNAME_MATCH")
+        .when(s["obit_cue_match"] & s["obit_guardrail_token_match"], "OBIT_CUE_WITH_CAPITALIZED_TOKEN").when(s["obit_cue_match"], "NO_NAME_SIGNAL_OBIT_CUE_WITHOUT_GUARDRAIL")
+        .otherwise("NO_NAME_SIGNAL_DEFAULT_SKIP")
+    )
+
+
 def classify_event(events: DataFrame) -> DataFrame:
     """Ordered rules over entry_title and summary: decision, reason codes, signals."""
     title, summary = blank(F.col("entry_title")), blank(F.col("summary"))
     none = F.struct(*(F.lit(False).alias(c) for c in ("full_name_match", "initial_surname_match", "obit_cue_match", "obit_guardrail_token_match", "known_wiki_page_match")))
-    s = F.col("__s")
     heading = F.when(F.rlike(title, F.lit(LETTERS_HEAD)) | F.rlike(title, F.lit(LETTERS_TAIL)), F.lit("LETTERS_HEADER_SKIP")).when(F.rlike(title, F.lit(STRUCTURAL)), F.lit("STRUCTURAL_TOPIC_SKIP")).when(F.rlike(summary, F.lit(TRIBUTE)), F.lit("PERSONAL_TRIBUTE_OBIT_SKIP"))
-    reason = (
-        F.when(F.col("__h").isNotNull(), F.col("__h")).when(s["full_name_match"], "NAME_FULL_MATCH").when(s["initial_surname_match"], "NAME_INITIAL_SURNAME_MATCH")
-        .when(s["obit_cue_match"] & s["obit_guardrail_token_match"], "OBIT_CUE_WITH_CAPITALIZED_TOKEN").when(s["obit_cue_match"], "NO_NAME_SIGNAL_OBIT_CUE_WITHOUT_GUARDRAIL")
-        .otherwise("NO_NAME_SIGNAL_DEFAULT_SKIP")
-    )
+    signals = lambda x: F.struct(x["h"].alias("h"), F.when(x["h"].isNull(), name_signals(x["t"])).otherwise(none).alias("s"))
+    found = bind(bind(F.struct(heading.alias("h"), event_text(title, summary).alias("t")), signals), lambda x: F.struct(x["s"].alias("s"), _reason(x["h"], x["s"]).alias("r")))
+    # a generator of one row: neither projections nor filters above repeat the patterns
+    out = events.select("*", F.explode_outer(F.array(found)).alias("__p"))
+    reason = F.col("__p")["r"]
     decision = (
-        F.when(F.col("__r") == "LETTERS_HEADER_SKIP", "LETTERS_HEADER_SKIP").when(F.col("__r") == "STRUCTURAL_TOPIC_SKIP", "PREFILTER_SKIP_STRUCTURAL_PATTERN")
-        .when(F.col("__r") == "PERSONAL_TRIBUTE_OBIT_SKIP", "PERSONAL_TRIBUTE_OBIT_SKIP").when(F.startswith("__r", F.lit("NO_NAME")), "PREFILTER_SKIP_NO_NAME").otherwise("PREFILTER_PASS_TO_LLM")
+        F.when(reason == "LETTERS_HEADER_SKIP", "LETTERS_HEADER_SKIP").when(reason == "STRUCTURAL_TOPIC_SKIP", "PREFILTER_SKIP_STRUCTURAL_PATTERN")
+        .when(reason == "PERSONAL_TRIBUTE_OBIT_SKIP", "PERSONAL_TRIBUTE_OBIT_SKIP").when(F.startswith(reason, F.lit("NO_NAME")), "PREFILTER_SKIP_NO_NAME").otherwise("PREFILTER_PASS_TO_LLM")
     )
-    out = events.withColumn("__h", heading).withColumn("__s", F.when(F.col("__h").isNull(), name_signals(event_text(title, summary))).otherwise(none)).withColumn("__r", reason)
-    out = out.withColumn("prefilter_decision", decision).withColumn("prefilter_reason_codes", F.array("__r")).withColumn("prefilter_signals", F.col("__s"))
-    return out.drop("__h", "__s", "__r")
+    out = out.withColumn("prefilter_decision", decision).withColumn("prefilter_reason_codes", F.array(reason)).withColumn("prefilter_signals", F.col("__p")["s"])
+    return out.drop("__p")
 
 
 def keyword_filter(events: DataFrame, pattern: str) -> DataFrame:

@@ -13,15 +13,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.names import last_name, normalize_name
-from newsloom.functions.text import candidate_name, event_text
+from newsloom.functions.text import bind, candidate_name, event_text
 from newsloom.operators.ordered import last_wins
 
 
 def flag_known(events: DataFrame, known: DataFrame) -> DataFrame:
     """A known name overrides any decision and adds its reason; known: (normalized_name)."""
-    name = normalize_name(candidate_name(event_text(F.col("entry_title"), F.col("summary"))))
+    name = bind(candidate_name(event_text(F.col("entry_title"), F.col("summary"))), normalize_name)
     hits = known.select(F.col("normalized_name").alias("__k")).where("__k <> ''").distinct().withColumn("__hit", F.lit(True))
-    out = events.withColumn("__name", name).join(hits, F.col("__name") == F.col("__k"), "left")
+    out = events.select("*", F.explode_outer(F.array(name)).alias("__name")).join(hits, F.col("__name") == F.col("__k"), "left")
     hit = F.coalesce("__hit", F.lit(False))
     out = out.withColumn("prefilter_decision", F.when(hit, "PREFILTER_SKIP_HAS_WIKI_PAGE").otherwise(F.col("prefilter_decision")))
     out = out.withColumn("prefilter_reason_codes", F.when(hit, F.concat("prefilter_reason_codes", F.array(F.lit("KNOWN_WIKI_PAGE")))).otherwise(F.col("prefilter_reason_codes")))
