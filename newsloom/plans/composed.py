@@ -6,9 +6,6 @@ reads what was written; nothing passes through the driver.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +13,7 @@ from newsloom.functions import text, urls
 from newsloom.operators import joins, ordered
 from newsloom.plans import pipelines
 from newsloom.plans import registry as base
-from newsloom.sources import writers
+from newsloom.sources import shared, writers
 from newsloom.streaming import streams
 
 QUERIES: dict = {}
@@ -28,15 +25,7 @@ def _add(name, fn, sql):
     SQL[name] = sql
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder; a temporary one only in a single process where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
-        shared = "file://" + tempfile.mkdtemp(prefix="newsloom-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/newsloom/{name}-{uuid.uuid4().hex}"
+_folder = shared.folder
 
 
 def _stream(spark: SparkSession, sf: str, table: str) -> DataFrame:

@@ -270,9 +270,9 @@ def known_upsert(spark, sf):
 _add("known_upsert", known_upsert, f"WITH {TRIAL} SELECT CAST(event_id AS VARCHAR) AS normalized_name, arg_max(status, seq) AS status, CAST(min(seq) AS VARCHAR) AS added_at_utc, max(seq) AS seq FROM trial GROUP BY event_id")
 _add("person_rollup", lambda s, d: rollups.person_rollup(trial(s, d).select(F.col("status").alias("subject_name"), F.date_format("ts", "yyyyMMdd").alias("run_id"), "event_id", F.col("ts").alias("trial_at"), "seq", F.array(F.col("event_id").cast("string")).alias("urls"), F.array().cast("array<string>").alias("domains"))).select("person", F.size("run_ids").cast("long").alias("runs"), "event_count", F.size("all_urls").cast("long").alias("urls"), F.size("events").cast("long").alias("events")), f"WITH {TRIAL} SELECT lower(status) AS person, count(DISTINCT strftime(ts, '%Y%m%d')) AS runs, count(DISTINCT event_id) AS event_count, count(DISTINCT event_id) AS urls, count(DISTINCT event_id) AS events FROM trial GROUP BY status")
 _add("priority_recency_topk", lambda s, d: ordered.top_k(_t(s, d, "orders").select(F.col("o_orderkey").alias("seq"), F.nullif(F.substring("o_orderpriority", 1, 1).cast("int"), F.lit(5)).alias("feed_priority"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("published_at_utc")), 50, ordered.priority_order()), "SELECT o_orderkey AS seq, nullif(CAST(substr(o_orderpriority, 1, 1) AS INTEGER), 5) AS feed_priority, strftime(o_orderdate, '%Y-%m-%d') AS published_at_utc FROM orders ORDER BY feed_priority ASC NULLS LAST, published_at_utc DESC, seq LIMIT 50")
-_add("sample_k", lambda s, d: ordered.sample_k(_t(s, d, "orders"), 50, "o_orderkey").select("o_orderkey"))
+_add("sample_k", lambda s, d: ordered.sample_k(_t(s, d, "orders"), 50, "o_orderkey").select("o_orderkey"), "SELECT o_orderkey FROM orders ORDER BY md5('42:' || CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 50")
 _add("error_samples", lambda s, d: rollups.error_samples(_t(s, d, "events").withColumn("err", F.when(F.col("event_type") == "error", F.concat(F.lit("bad "), F.col("user_id").cast("string")))), "err"), "SELECT 'bad ' || CAST(user_id AS VARCHAR) AS error, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY user_id")
-_add("batches", lambda s, d: ordered.batches(_t(s, d, "orders"), ["o_orderkey"], 10).groupBy("bucket", "batch").agg(F.count("*").alias("n")))
+_add("batches", lambda s, d: ordered.batches(_t(s, d, "orders"), [F.col("o_orderdate").desc(), F.col("o_orderkey")], 10).select("o_orderkey", "batch"), "SELECT o_orderkey, CAST((row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) - 1) // 10 + 1 AS BIGINT) AS batch FROM orders")
 _add("backfill_priority", lambda s, d: joins.backfill_priority(doc(s, d).withColumn("lacks_priority", F.col("doc_id") % 2 == 0).withColumn("feed_priority", F.lit(9)), _feeds(s, d)).select("doc_id", "feed_priority"), f"WITH {DOC} SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN priority ELSE 9 END AS feed_priority FROM doc")
 _add("latest_and_duration", lambda s, d: _runs(s, d).agg(F.max_by("run_id", "finished_at").alias("latest_run"), F.sum(F.unix_timestamp("finished_at") - F.unix_timestamp("started_at")).alias("seconds")), f"WITH {_RUNS} SELECT arg_max(run_id, finished_at) AS latest_run, CAST(sum(floor(epoch(finished_at)) - floor(epoch(started_at))) AS BIGINT) AS seconds FROM run")
 _add("stage_counts", lambda s, d: trial(s, d).groupBy("status").agg(F.count("*").alias("n"), F.count_if(F.col("seq") >= 500).alias("n_new")), f"WITH {TRIAL} SELECT status, count(*) AS n, count(*) FILTER (WHERE seq >= 500) AS n_new FROM trial GROUP BY status")

@@ -9,12 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from newsloom.functions.text import classify_event
 from newsloom.functions.urls import canonical_url, url_key
 from newsloom.operators import joins, ordered, rollups
-from newsloom.sources import readers, writers
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+from newsloom.sources import readers, shared, writers
 
 
 def stream_entries(spark: SparkSession, landing: str, out: str, checkpoint: str) -> StreamingQuery:
@@ -27,7 +22,7 @@ def stream_entries(spark: SparkSession, landing: str, out: str, checkpoint: str)
     def merge(batch: DataFrame, _: int) -> None:
         entries = readers.parse_feeds(batch).withColumn("url_key", url_key(canonical_url(F.col("entry_url_raw")))).where("url_key IS NOT NULL")
         entries = ordered.first_wins(entries, "url_key", ["feed_url", "entry_url_raw", "entry_title"])
-        if _exists(batch.sparkSession, out):
+        if shared.exists(batch.sparkSession, out):
             entries = joins.new_only(entries, batch.sparkSession.read.schema(entries.schema).parquet(out))
         writers.append(entries, out)
 
@@ -52,7 +47,7 @@ def stream_upsert_known(trials: DataFrame, path: str, checkpoint: str) -> Stream
 
     def merge(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        state = writers.read_snapshot(spark, path) if _exists(spark, f"{path}/pointer") else batch.limit(0)
+        state = writers.read_snapshot(spark, path) if shared.exists(spark, f"{path}/pointer") else batch.limit(0)
         writers.write_snapshot(rollups.upsert_known(state, batch), path)
 
     return trials.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
