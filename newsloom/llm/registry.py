@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from newsloom.llm import decontam, licences, lines, packing, pii, quality, setjoin, toxicity, urlrules, warc
+from newsloom.llm import decontam, licences, lines, mixture, packing, pii, prefixtrie, quality, setjoin, toxicity, urlrules, vectorcodes, warc
 
 QUERIES = {
     "op1_url_filter": urlrules.op1_url_filter,
@@ -15,10 +15,15 @@ QUERIES = {
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_ngram_jaccard_join": setjoin.op9_ngram_jaccard_join,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_vector_codes": vectorcodes.op11_vector_codes,
+    "op12_prefix_trie": prefixtrie.op12_prefix_trie,
+    "op13_source_mixing": mixture.op13_source_mixing,
 }
 
 SQL = {
     "op1_url_filter": urlrules.OP1_SQL,
     "op5_warc": warc.OP5_SQL,
     "op7_line_dedup": lines.OP7_SQL,
+    "op11_vector_codes": vectorcodes.OP11_SQL,
+    "op12_prefix_trie": prefixtrie.OP12_SQL,
 }

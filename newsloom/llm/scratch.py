@@ -7,29 +7,24 @@ below ``spark.sql.autoBroadcastJoinThreshold`` and shuffled beyond.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from newsloom.sources import shared
+
 
 def base(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="newsloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    return shared.base(spark)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{base(spark)}/newsloom/{name}-{uuid.uuid4().hex}"
+    return shared.folder(spark, name)
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
+def table(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once and return a reader of it."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
