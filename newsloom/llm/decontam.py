@@ -18,8 +18,8 @@ hashes of all their whole windows, which is what all alignments together would f
 Defined results: null and empty texts have no words and are clean; an empty benchmark hits
 nothing; null items are ignored; rows that repeat an item's id count as one item, of which any
 may hit; equal items of different ids are each reported; on ties every least gram of a window
-is kept; long texts are judged whole; rows that repeat a document are judged alike.  Input
-columns named like the results are replaced, others pass through.
+is kept; long texts are judged whole; rows that repeat a document are judged alike, and those with a null id or with one id and two
+texts each by its own text.  Input columns named like the results are replaced, others pass through.
 """
 
 from __future__ import annotations
@@ -251,7 +251,8 @@ def _by_join(docs: DataFrame, items: DataFrame, keep: list[str], id_col: str, te
     met = met.select("id", "key", "item", "many", F.when(~F.col("many"), shifts).alias("shifts"))
     met = met.groupBy("id", "key", "item").agg(F.max("many").alias("many"), F.flatten(F.collect_set("shifts")).alias("shifts"))
     met = met.select("id", "key", "item", F.when(~F.col("many"), F.array_distinct("shifts")).alias("shifts"))
-    pairs = met.join(keyed.dropDuplicates(["id", "key"]), ["id", "key"]).join(items.select(F.col("item_id").alias("item"), F.col("text").alias("item_text")), "item")
+    texts = keyed.dropDuplicates(["id", "key"]).select(F.col("id").alias("__id"), F.col("key").alias("__key"), "text")
+    pairs = met.join(texts, F.col("id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key"))).drop("__id", "__key").join(items.select(F.col("item_id").alias("item"), F.col("text").alias("item_text")), "item")
 
     def extend(batches):
         for batch in batches:

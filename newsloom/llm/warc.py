@@ -130,9 +130,9 @@ class WarcReader(DataSourceReader):
         scheme = self.path.split("://")[0] + "://" if "://" in self.path else "file://"
         host = self.path.split("://")[1].split("/")[0] if "://" in self.path else ""
         found = system.get_file_info(pafs.FileSelector(at, recursive=True))
-        out, size = [], PARTITION_BYTES
+        out, size = [], 0
         for f in sorted((f for f in found if f.is_file and not f.base_name.startswith(("_", "."))), key=lambda f: f.path):
-            if size + f.size > PARTITION_BYTES:
+            if not out or size + f.size > PARTITION_BYTES:
                 out.append([])
                 size = 0
             out[-1].append(f"{scheme}{host}/{f.path.lstrip('/')}" if not host else f"{scheme}{f.path}")
