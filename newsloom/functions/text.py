@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +31,12 @@ OCCUPATIONS = (
     "engineers", "artists", "painters", "designers", "directors", "producers", "athletes", "sportspeople", "footballers", "players",
     "coaches", "lawyers", "judges", "professors", "historians", "photographers", "dancers",
 )
+#: Occupations that mark a person's page, alone in parentheses in its title and as words of its description.
+TITLE_OCCUPATIONS = (
+    "artist", "painter", "sculptor", "visual artist", "photographer", "writer", "poet", "politician", "journalist", "actor", "actress", "musician",
+    "composer", "conductor", "footballer", "cricketer", "scientist", "historian", "architect", "designer", "chef",
+)
+DESCRIPTION_OCCUPATIONS = tuple(o for o in TITLE_OCCUPATIONS if o not in ("visual artist", "footballer", "cricketer"))
 #: Parts of categories that no biography has.
 NOT_PEOPLE = (
     "lists", "events", "awards", "templates", "disambiguation", "articles", "redirects", "organizations", "companies", "municipalities",
@@ -158,9 +164,10 @@ def is_original_source(title: Column, domain: Column, entry_title: Column, sourc
     return ((head(title) != "") & (head(title) == head(entry_title))) | F.coalesce(F.contains(F.lower(blank(domain)), token), F.lit(False))
 
 
-def looks_like_person(title: Column, description: Column, occupations: tuple[str, ...] = OCCUPATIONS) -> Column:
-    words = "|".join(o.removesuffix("s") for o in occupations)
-    return F.rlike(blank(title), F.lit(rf"(?i)\([^)]*(?:{words})[^)]*\)")) | F.rlike(blank(description), F.lit(rf"(?i)\b(?:{words})\b"))
+def looks_like_person(title: Column, description: Column, in_titles: Sequence[str] = TITLE_OCCUPATIONS, in_descriptions: Sequence[str] = DESCRIPTION_OCCUPATIONS) -> Column:
+    """An occupation alone in parentheses in the title, or as a word of the description."""
+    named = F.rlike(blank(title), F.lit(rf"(?i)\((?:{'|'.join(in_titles)})\)"))
+    return named | F.rlike(blank(description), F.lit(rf"(?i)\b(?:{'|'.join(in_descriptions)})\b"))
 
 
 def parse_published(text: Column) -> Column:

@@ -7,8 +7,6 @@ measured size.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -156,18 +154,3 @@ def attribute_run(trials: DataFrame, runs: DataFrame, tolerance_s: int = 900, ke
 def enrich_verdicts(verdicts: DataFrame, events: DataFrame, coverage: DataFrame) -> DataFrame:
     """Verdicts with the last row of their event and of their coverage."""
     return verdicts.join(last_wins(events, "event_id", ["seq"]).drop("seq"), "event_id", "left").join(last_wins(coverage, "event_id", ["seq"]).drop("seq"), "event_id", "left")
-
-
-def page_probe(names: DataFrame, pages: DataFrame, suffixes: Sequence[str], search: DataFrame) -> DataFrame:
-    """HAS_PAGE, UNCERTAIN or MISSING with the tier that decided: title, suffix variant, search.
-
-    names: (name); pages: (title, is_disambig); suffixes: words for titles like "Name (artist)"; search: (name, title)."""
-    exact = names.join(pages, names["name"] == pages["title"]).select("name", F.when(F.col("is_disambig"), 3).otherwise(1).alias("tier"))
-    made = names.withColumn("__t", F.explode(F.array(*map(F.lit, suffixes))))
-    variants = made.withColumn("title", F.concat("name", F.lit(" ("), "__t", F.lit(")"))).join(pages, "title").select("name", F.lit(2).alias("tier"))
-    hits = names.join(search.select("name").distinct(), "name", "left_semi").select("name", F.lit(4).alias("tier"))
-    best = exact.unionByName(variants).unionByName(hits).groupBy("name").agg(F.min("tier").alias("tier"))
-    out = names.join(best, "name", "left")
-    status = F.when(F.col("tier") <= 2, "HAS_PAGE").when(F.col("tier").isNotNull(), "UNCERTAIN").otherwise("MISSING")
-    via = F.when(F.col("tier") == 1, "title").when(F.col("tier") == 2, "variant").when(F.col("tier") == 3, "disambiguation").when(F.col("tier") == 4, "search")
-    return out.select("name", status.alias("status"), via.alias("via"))

@@ -71,6 +71,37 @@ def trial_rows(*parts: DataFrame) -> DataFrame:
     return out
 
 
+def nested(rows: DataFrame, within: Sequence[str], order: Sequence[str], fields: Sequence[str], name: str) -> DataFrame:
+    """(within, name): the rows of each group as an array of structs, in order.  Groups are as large as one record may be."""
+    listed = F.array_sort(F.collect_list(F.struct(*(F.col(c).alias(f"o{i}") for i, c in enumerate(order)), F.struct(*fields).alias("item"))))
+    return rows.groupBy(*within).agg(F.transform(listed, lambda x: x["item"]).alias(name))
+
+
+def with_nested(records: DataFrame, sets: DataFrame, key: str, name: str) -> DataFrame:
+    """``records`` with their set; an empty one where there are no rows."""
+    kind = sets.schema[name].dataType
+    return records.join(sets, key, "left").withColumn(name, F.coalesce(F.col(name), F.array().cast(kind)))
+
+
+#: Fields of a candidate and of a coverage result inside their records.
+CANDIDATE_FIELDS = ("rank", "title", "pageid", "fullurl", "snippet", "is_disambig", "redirected_from", "description", "extract", "categories", "biography_score", "biography_prioritized")
+RESULT_FIELDS = ("rank", "title", "url", "source_domain")
+
+
+def candidate_fields(found: DataFrame) -> DataFrame:
+    """Ranked search items with their page, if there is one, as the fields of a candidate.
+
+    found: (event_id, rank, item_title, snippet, redirected_from) and page columns (title, pageid, fullurl,
+    is_disambig, description, extract, categories), null without a page.  Items without a title go; their rank stays taken."""
+    none = F.array().cast("array<string>")
+    score = text.biography_score(F.coalesce("categories", none))
+    rows = found.where(F.coalesce("item_title", F.lit("")) != "")
+    return rows.select(
+        "event_id", "rank", F.coalesce("title", "item_title").alias("title"), "pageid", "fullurl", "snippet", F.coalesce("is_disambig", F.lit(False)).alias("is_disambig"), "redirected_from",
+        "description", "extract", F.coalesce("categories", none).alias("categories"), score.alias("biography_score"), (score >= 3).alias("biography_prioritized"),
+    )
+
+
 def select_uncovered(rows: DataFrame, statuses: Sequence[str] = ("MISSING", "UNCERTAIN"), status: str = "gate3_status") -> DataFrame:
     """Rows of the wanted match statuses that have a subject."""
     return rows.where(F.col(status).isin(*statuses) & (F.coalesce(F.col("subject_name"), F.lit("")) != ""))

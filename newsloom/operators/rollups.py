@@ -88,6 +88,49 @@ def person_rollup(rows: DataFrame) -> DataFrame:
     return people.join(events, "person")
 
 
+def digest_people(rows: DataFrame) -> DataFrame:
+    """A person of a verdict in a row: runs, nested events, and all URLs and domains in the order they were first seen.
+
+    rows: (gate4b_status, subject_name, run_id, event_id, trial_at, seq, rss_entry_url, rss_published_at_utc,
+    source_article_title, urls, domains).  Names are folded; of an event's trials the latest counts, URLs and
+    domains of superseded ones stay.  What a list gathers is made distinct before, so it holds what differs."""
+    keys = ["gate4b_status", "person"]
+    person = F.replace(F.lower(F.trim("subject_name")), F.lit("ß"), F.lit("ss"))
+    rows = rows.withColumn("person", person).where("person <> ''")
+    order = F.struct("seq", F.col("place"))
+
+    def seen(column: str, name: str) -> DataFrame:
+        each = rows.select(*keys, "seq", F.posexplode(column).alias("place", "value")).groupBy(*keys, "value").agg(F.min(order).alias("first"))
+        listed = F.transform(F.array_sort(F.collect_list(F.struct("first", "value"))), lambda x: x["value"])
+        return each.groupBy(*keys).agg(listed.alias(name))
+
+    event = F.struct("trial_at", "event_id", "run_id", "rss_entry_url", "rss_published_at_utc", "source_article_title", "urls", "domains", F.size("domains").cast("long").alias("domain_count"))
+    latest = rows.groupBy(*keys, "event_id").agg(F.max_by(event, F.struct("trial_at", "seq")).alias("e"), F.min("seq").alias("first"), F.min_by("subject_name", "seq").alias("name"), F.collect_set("run_id").alias("runs"))
+    people = latest.groupBy(*keys).agg(
+        F.trim(F.min_by("name", "first")).alias("subject_name"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("runs")))).alias("run_ids"),
+        F.array_sort(F.collect_list("e")).alias("events"), F.count("*").alias("event_count"),
+    )
+    none = F.array().cast("array<string>")
+    for column, name in (("urls", "all_urls"), ("domains", "all_domains")):
+        people = people.join(seen(column, name), keys, "left").withColumn(name, F.coalesce(name, none))
+    return people.withColumn("url_count", F.size("all_urls").cast("long")).withColumn("domain_count", F.size("all_domains").cast("long"))
+
+
+def fetch_state(fetches: DataFrame, state: DataFrame | None = None, horizon: str | None = None, late: str = "0 seconds") -> DataFrame:
+    """The last fetch of each feed, replacing its state; with a horizon, feeds not fetched for so long are forgotten.
+
+    (feed_url, last_fetch_at, ...).  Time is that of the fetches, less what may come late, so reruns agree."""
+    rows = fetches.withColumn("__new", F.lit(1))
+    if state is not None:
+        rows = rows.unionByName(state.select(fetches.columns).withColumn("__new", F.lit(0)))
+    value = F.struct(*(c for c in fetches.columns if c != "feed_url"))
+    out = rows.where("feed_url IS NOT NULL").groupBy("feed_url").agg(F.max_by(value, F.struct("last_fetch_at", "__new", F.xxhash64(*fetches.columns))).alias("r")).select("feed_url", "r.*").select(fetches.columns)
+    if horizon is None:
+        return out
+    newest = out.agg(F.max("last_fetch_at").alias("__now"))
+    return out.crossJoin(newest).where(F.col("last_fetch_at") + F.expr(f"INTERVAL {horizon}") > F.col("__now") - F.expr(f"INTERVAL {late}")).drop("__now")  # one row
+
+
 def in_window(rows: DataFrame, now: Column, at: str, hours: int = 24) -> DataFrame:
     return rows.where(F.col(at).between(now - F.make_dt_interval(F.lit(0), F.lit(hours)), now))
 
@@ -97,6 +140,34 @@ def error_samples(rows: DataFrame, error: str, n: int = 300) -> DataFrame:
     return rows.where(F.coalesce(F.col(error), F.lit("")) != "").groupBy(short.alias("error")).agg(F.count("*").alias("n"))
 
 
+def filter_totals(sets: DataFrame, kept: str = "result_count", before: str = "unfiltered_count") -> DataFrame:
+    """Results that a filter kept and dropped, over all sets."""
+    n, m = F.coalesce(F.sum(kept), F.lit(0)), F.coalesce(F.sum(before), F.lit(0))
+    return sets.agg(n.alias("kept"), (m - n).alias("dropped"))
+
+
+def stage_counts(**stages: tuple[DataFrame, Column | None]) -> DataFrame:
+    """(stage, rows, new_rows) of tables, each with a condition of its new rows, in one job."""
+    out = None
+    for name, (rows, new) in stages.items():
+        one = rows.agg(F.lit(name).alias("stage"), F.count("*").alias("rows"), (F.count_if(new) if new is not None else F.count("*")).alias("new_rows"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def latest_run(runs: DataFrame) -> DataFrame:
+    """(run_id, at) of the run generated, or else finished, last; the larger id wins ties."""
+    at = [F.col(c) for c in ("generated_at", "finished_at") if c in runs.columns]
+    last = F.max(F.struct(F.coalesce(*at).alias("at"), "run_id"))
+    return runs.where(F.coalesce(*at).isNotNull()).agg(last.alias("r")).where("r IS NOT NULL").select("r.run_id", "r.at")
+
+
+def run_durations(runs: DataFrame) -> DataFrame:
+    """(run_id, seconds): the sum over a run's stages, 0 without any."""
+    seconds = F.aggregate(F.coalesce("stages", F.array().cast(runs.schema["stages"].dataType)), F.lit(0.0), lambda t, x: t + F.coalesce(x["duration_s"], F.lit(0.0)))
+    return runs.select("run_id", seconds.alias("seconds"))
+
+
 def retry_resolution(before: DataFrame, after: DataFrame) -> DataFrame:
     """Of the events whose latest trial had failed, how many succeed in their latest trial now."""
     failed = before.groupBy("event_id").agg(F.max_by("ok", "seq").alias("ok")).where("NOT ok").select("event_id")

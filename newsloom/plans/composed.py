@@ -158,17 +158,6 @@ def snapshot_replace(spark, sf):
 _add("snapshot_replace", snapshot_replace, f"WITH {base.TRIAL} SELECT event_id, max(seq) AS seq, arg_max(status, seq) AS status FROM trial GROUP BY event_id")
 
 
-def split_stages(spark, sf):
-    path = _folder(spark, "stages")
-    rows = text.classify_event(base.doc(spark, sf)).select("doc_id", "prefilter_decision")
-    for side, part in zip(("pass", "skip"), writers.split(rows, F.col("prefilter_decision") == "PREFILTER_PASS_TO_LLM"), strict=True):
-        writers.write_stage(part, f"{path}/side={side}")
-    return spark.read.parquet(path).select("doc_id", "prefilter_decision", "side")
-
-
-_add("split_stages", split_stages, f"WITH {base.CLASSIFIED}, p AS (SELECT doc_id, {base._DECISION} AS prefilter_decision FROM r) SELECT doc_id, prefilter_decision, CASE WHEN prefilter_decision = 'PREFILTER_PASS_TO_LLM' THEN 'pass' ELSE 'skip' END AS side FROM p")
-
-
 # --- streams
 
 

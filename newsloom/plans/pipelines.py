@@ -2,22 +2,65 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsloom import schemas
 from newsloom.functions import names, responses, text, urls
 from newsloom.operators import joins, ordered, records, rollups
-from newsloom.sources import readers
+from newsloom.sources import readers, shared
 
 
 def ingest(docs: DataFrame, seen: DataFrame) -> DataFrame:
     """Feed documents to new events: parsed, canonical, deduplicated across feeds, dated, identified."""
-    rows = readers.parse_feeds(docs).withColumn("entry_url_canonical", urls.canonical_url(F.col("entry_url_raw"))).withColumn("url_key", urls.url_key(F.col("entry_url_canonical"))).where("url_key IS NOT NULL")
-    rows = joins.new_only(ordered.first_wins(rows, "url_key", ["feed_url", "entry_url_raw", "entry_title"]), seen)
+    rows = _entries(docs)
+    rows = joins.new_only(ordered.first_wins(rows.where("url_key IS NOT NULL"), "url_key", ["feed_url", "entry_url_raw", "entry_title"]), seen)
+    return _identified(rows)
+
+
+def _entries(docs: DataFrame) -> DataFrame:
+    rows = readers.parse_feeds(docs).withColumn("entry_url_canonical", urls.canonical_url(F.col("entry_url_raw")))
+    return rows.withColumn("url_key", urls.url_key(F.col("entry_url_canonical")))
+
+
+def _identified(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("__p", text.parse_published(F.col("published"))).withColumn("published_at_utc", text.iso_utc(F.col("__p.ts"))).withColumn("date_parse_error", F.col("__p.err")).drop("__p")
     return rows.withColumn("event_id", urls.event_id(F.col("entry_url_canonical"), F.col("entry_guid"), F.col("feed_url"), F.col("published_at_utc")))
 
 
+class Ingest(NamedTuple):
+    """What a run of ingest gives: new events, their keys for the seen table, the feeds' state, nine counters."""
+
+    events: DataFrame
+    seen: DataFrame
+    fetch_state: DataFrame
+    stats: DataFrame
+
+
+def ingest_run(fetches: DataFrame, seen: DataFrame, state: DataFrame | None = None) -> Ingest:
+    """One run over fetched feeds.
+
+    fetches: (feed_url, body, not_modified, error) and the columns of ``schemas.FETCH_STATE``; seen: (url_key, ...);
+    state: the feeds' state before.  Entries are parsed once and kept, since events and counters both read them.
+    A feed that was not modified has no entries and counts as fetched; one that does not parse counts as failed."""
+    fresh = fetches.where("error IS NULL AND NOT coalesce(not_modified, false)").select("feed_url", "body")
+    rows = _identified(_entries(fresh))
+    by = Window.partitionBy("url_key", F.when(F.col("url_key").isNull(), F.xxhash64("feed_url", "at"))).orderBy("feed_url", "entry_url_raw", "entry_title", "at")
+    known = seen.select("url_key").distinct().withColumn("__seen", F.lit(True))
+    rows = rows.withColumn("__n", F.row_number().over(by)).join(known, "url_key", "left")
+    rows = rows.withColumn("valid", F.col("url_key").isNotNull()).withColumn("is_new", F.col("valid") & (F.col("__n") == 1) & F.col("__seen").isNull()).drop("__n", "__seen")
+    rows = shared.kept(rows, "ingest")
+    outcomes = readers.feed_outcomes(fresh).select("feed_url", F.col("ok").alias("__ok"))
+    feeds = fetches.select("feed_url", "error", F.coalesce("not_modified", F.lit(False)).alias("not_modified")).join(outcomes, "feed_url", "left")
+    feeds = feeds.select(F.col("feed_url").alias("feed"), (F.col("error").isNull() & (F.col("not_modified") | F.coalesce("__ok", F.lit(False)))).alias("ok"), "not_modified")
+    events = rows.where("is_new").drop("valid", "is_new")
+    keys = events.select("url_key", "event_id", F.col("feed_url").alias("first_feed_url"))
+    latest = rollups.fetch_state(fetches.select([f.split()[0] for f in schemas.FETCH_STATE.split(", ")]), state)
+    return Ingest(events, keys, latest, records.ingest_stats(rows, feeds))
+
+
 def prefilter(events: DataFrame, known: DataFrame, feeds: DataFrame) -> DataFrame:
     return joins.with_priority(joins.flag_known(text.classify_event(events), known), feeds)
 
@@ -51,6 +94,67 @@ def candidates(subjects: DataFrame, results: DataFrame, pages: DataFrame, cap: i
     return joins.attach_pages(found.drop("__r"), pages).withColumn("score", text.biography_score(F.coalesce("categories", F.array().cast("array<string>"))))
 
 
+def candidate_sets(subjects: DataFrame, results: DataFrame, pages: DataFrame, redirects: DataFrame | None = None, nicknames: DataFrame | None = None, search_errors: DataFrame | None = None, page_errors: DataFrame | None = None, cap: int = 10) -> DataFrame:
+    """One record for each subject: its queries, its ranked candidates with their pages, and what failed.
+
+    subjects: (event_id, subject_name, source_context, feed_priority, published_at_utc), one row an event;
+    results: (query, rank, title, pageid, snippet); pages: (title, pageid, fullurl, is_disambig, description, extract,
+    categories); redirects: (from, to); search_errors: (query, error); page_errors: (title, error).
+    An event of which one search failed has no candidates; a page that failed leaves its candidate without page.
+    Ranks are given before items without a title go, so they may have gaps."""
+    named = names.expand_nicknames(subjects, nicknames, "subject_name") if nicknames is not None else subjects.withColumn("nicknames", F.array().cast("array<string>"))
+    named = named.withColumn("variants", names.name_variants(F.col("subject_name"), F.col("nicknames"))).drop("nicknames")
+    asked = named.select("event_id", F.posexplode("variants").alias("variant_no", "variant"))
+    errors = asked.select("event_id", F.col("variant_no").alias("at"), F.col("variant").alias("error")).where("false")
+    if search_errors is not None:
+        failed = asked.join(search_errors.select(F.col("query").alias("variant"), "error"), "variant")
+        failed = failed.groupBy("event_id").agg(F.min_by("error", "variant_no").alias("error"))  # the first that fails ends the search
+        errors = errors.unionByName(failed.select("event_id", F.lit(0).alias("at"), F.concat(F.lit("search_error:"), "error").alias("error")))
+        asked = asked.join(failed.select("event_id"), "event_id", "left_anti")
+    items = results.select("query", "rank", F.col("title").alias("item_title"), F.col("pageid").alias("item_page"), "snippet")
+    found = ordered.dedupe_known(joins.search_lookup(asked, items, cap), ["event_id"], "item_page", ["variant_no", "rank"])
+    found = ordered.rerank(found.withColumnRenamed("rank", "__r"), ["event_id"], ["variant_no", "__r"]).select("event_id", "rank", "item_title", "snippet", F.col("item_title").alias("title"))
+    if page_errors is not None:
+        found = found.join(page_errors.select(F.col("title").alias("__bad"), F.col("error").alias("__error")), F.col("title") == F.col("__bad"), "left")
+        lost = found.where("__bad IS NOT NULL").select("event_id", F.col("rank").alias("at"), F.concat(F.lit("page_error:"), "item_title", F.lit(":"), "__error").alias("error"))
+        errors = errors.unionByName(lost)
+        found = found.withColumn("title", F.when(F.col("__bad").isNull(), F.col("title"))).drop("__bad", "__error")  # looked up in vain
+    met = joins.attach_pages(found, pages.withColumn("__page", F.lit(True)), redirects)
+    met = met if redirects is not None else met.withColumn("redirected_from", F.lit(None).cast("string"))
+    met = met.withColumn("title", F.when(F.col("__page"), F.col("title"))).withColumn("redirected_from", F.when(F.col("__page"), F.col("redirected_from")))
+    sets = records.nested(records.candidate_fields(met), ["event_id"], ["rank"], records.CANDIDATE_FIELDS, "candidates")
+    out = records.with_nested(named, sets, "event_id", "candidates")
+    out = records.with_nested(out, records.nested(errors, ["event_id"], ["at", "error"], ["error"], "errors"), "event_id", "errors")
+    query = F.struct(F.col("subject_name").alias("original"), names.normalize_query(F.col("subject_name")).alias("normalized"), "variants")
+    return out.withColumn("query", query).withColumn("errors", F.col("errors.error")).drop("variants")
+
+
+def coverage_sets(subjects: DataFrame, responses_: DataFrame, search_errors: DataFrame | None = None, per_page: int = 20, pages: int = 2) -> DataFrame:
+    """One record for each subject: its queries, its merged and ranked results, their number, and what failed.
+
+    subjects: (event_id, subject_name, title, summary, ...); responses_: (query, count, offset, results);
+    search_errors: (query, error).  A query that failed costs its own results only."""
+    asked = subjects.withColumn("queries", text.coverage_queries(F.col("subject_name"), F.col("title"), F.col("summary")))
+    good = responses_
+    errors = None
+    if search_errors is not None:
+        good = responses_.join(search_errors.select("query"), "query", "left_anti")
+        each = asked.select("event_id", F.posexplode("queries").alias("at", "query")).join(search_errors, "query")
+        errors = records.nested(each.withColumn("error", F.concat(F.lit("search_error:"), "query", F.lit(":"), "error")), ["event_id"], ["at"], ["error"], "errors")
+    found = coverage(subjects, good, per_page, pages)
+    out = records.with_nested(asked, records.nested(found, ["event_id"], ["rank"], records.RESULT_FIELDS, "results"), "event_id", "results")
+    out = records.with_nested(out, errors, "event_id", "errors").withColumn("errors", F.col("errors.error")) if errors is not None else out.withColumn("errors", F.array().cast("array<string>"))
+    return out.withColumn("result_count", F.size("results").cast("long"))
+
+
+def reliable_sets(sets: DataFrame, entries: DataFrame) -> DataFrame:
+    """Coverage records with their reliable results alone, ranked anew, and the number before: ``unfiltered_count``."""
+    flat = sets.select("event_id", F.inline("results"))
+    kept = records.nested(reliable(flat, entries), ["event_id"], ["rank"], records.RESULT_FIELDS, "results")
+    out = records.with_nested(sets.withColumn("unfiltered_count", F.size("results").cast("long")).drop("results", "result_count"), kept, "event_id", "results")
+    return out.withColumn("result_count", F.size("results").cast("long"))
+
+
 def annotate_match(rows: DataFrame) -> DataFrame:
     """(event_id, subject_name, rank, title, redirected_from, pageid, score): one signal for each event."""
     bio = rows.where("score >= 3")
@@ -102,6 +206,48 @@ def daily_digest(trials: DataFrame, runs: DataFrame, now: Column, hours: int = 2
     return rollups.person_rollup(placed)
 
 
+def digest(trials: DataFrame, summaries: DataFrame, manifests: DataFrame, events: DataFrame, coverage_: DataFrame, now: Column, hours: int = 24) -> tuple[DataFrame, DataFrame]:
+    """(head, people): the document of the runs whose summary falls in the window.
+
+    trials: (event_id, gate4b_status, subject_name, trial_at, seq, source_article_title, domains, results_sent);
+    summaries: (run_id, generated_at, ...); manifests: (run_id, started_at, finished_at); events: (event_id, seq,
+    rss_entry_url, rss_published_at_utc); coverage_: (event_id, seq, urls).  A trial belongs to the run that holds
+    it, looked for among all manifests, and counts if that run is in the window.  ``people`` has a row for each
+    person of either positive verdict, with nested events; ``head`` has window, runs and counts in one row."""
+    recent = rollups.in_window(summaries, now, "generated_at", hours)
+    wanted = trials.where(F.col("gate4b_status").isin("LIKELY_NOTABLE", "POSSIBLY_NOTABLE") & (F.coalesce(F.col("event_id").cast("string"), F.lit("")) != ""))
+    placed = joins.attribute_run(wanted, manifests.where("finished_at IS NOT NULL"), key="seq", at="trial_at").join(recent.select("run_id").distinct(), "run_id", "left_semi")
+    rows = joins.enrich_verdicts(placed, events, coverage_)
+    none = F.array().cast("array<string>")
+    full = lambda a: F.filter(F.coalesce(a, none), lambda u: F.coalesce(u, F.lit("")) != "")
+    found = F.when(F.size(full(F.col("urls"))) > 0, full(F.col("urls"))).otherwise(full(F.col("results_sent")))
+    rows = rows.withColumn("urls", F.array_distinct(records.without(found, F.col("rss_entry_url"))))
+    hosts = F.array_compact(F.transform("urls", lambda u: urls.resolve_domain(F.lit(None).cast("string"), u)))
+    rows = rows.withColumn("domains", F.array_distinct(F.when(F.size(full(F.col("domains"))) > 0, full(F.col("domains"))).otherwise(hosts)))
+    people = shared.kept(rollups.digest_people(rows), "people")
+    runs = records.runs_in_window(recent.select("run_id", "generated_at"), manifests.select("run_id", "started_at", "finished_at"))
+    listed = runs.agg(F.array_sort(F.collect_list(F.struct("run_id", "generated_at", "started_at", "finished_at"))).alias("runs"))  # the runs of a day or so
+    window = F.struct(F.lit(hours).alias("hours"), (now - F.make_dt_interval(F.lit(0), F.lit(hours))).alias("start"), now.alias("end"))
+    head = listed.crossJoin(records.digest_counts(people, recent)).select(window.alias("window"), "runs", F.struct("runs_in_window", "likely_people", "possibly_people", "likely_events", "possibly_events").alias("counts"))  # one row each
+    return head, people
+
+
+def match_worklist(candidate_records: DataFrame, trials: DataFrame, retry: bool = False, pattern: str | None = None) -> DataFrame:
+    """Open candidate records by priority and date, with the candidates a model is shown; the reason where none is asked.
+
+    candidate_records: ``candidate_sets`` with ``seq``; trials: (event_id, seq, ok).  Of a record's candidates all of
+    positive score are shown, and the first of the others where these are fewer than two; disambiguation pages stay
+    in.  Records without candidates are settled as missing and are not asked."""
+    rows = joins.retry_candidates(candidate_records, trials) if retry else joins.unprocessed(candidate_records, trials)
+    if pattern:
+        rows = rows.where(F.rlike(F.coalesce("subject_name", F.lit("")), F.lit(f"(?i){pattern}")))
+    positive = F.filter("candidates", lambda c: F.coalesce(c["biography_score"], F.lit(0)) > 0)
+    first_other = F.slice(F.filter("candidates", lambda c: F.coalesce(c["biography_score"], F.lit(0)) <= 0), 1, 1)
+    shown = F.when(F.size(positive) < 2, F.array_sort(F.concat(positive, first_other))).otherwise(positive)
+    rows = rows.withColumn("shown", shown).withColumn("settled", F.when(F.size("candidates") == 0, "MISSING"))
+    return ordered.numbered(rows, ordered.priority_order(), "position")
+
+
 def payloads(rows: DataFrame, header: str, line: Column, order: str, within: str) -> DataFrame:
     """One prompt body for each subject: a header and its numbered lines."""
     listed = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("t")))), lambda x: F.concat(x["o"].cast("string"), F.lit(". "), x["t"]))

@@ -187,7 +187,6 @@ def nickname_expand(spark, sf):
 _add("nickname_expand", nickname_expand, "SELECT c_custkey, upper(substr(n_name, 1, 1)) || lower(substr(n_name, 2)) || 'us Smith' AS nicknames FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE NOT contains(n_name, ' ') UNION ALL SELECT c_custkey, '' FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE contains(n_name, ' ')")
 _add("coverage_queries", lambda s, d: doc(s, d).select("doc_id", F.posexplode(text.coverage_queries(F.col("source_feed_url_original"), F.col("entry_title"), F.col("summary"))).alias("no", "query")),
      f"WITH {DOC}, b AS (SELECT doc_id, source, lower(' ' || entry_title || ' ' || summary || ' ') AS t FROM doc) SELECT doc_id, 0 AS no, '\"' || source || '\"' AS query FROM b UNION ALL SELECT doc_id, 1, '\"' || source || '\" obituary' FROM b WHERE " + " OR ".join(f"contains(t, '{p}')" for p in text.OBITUARY_SIGNALS))
-_add("prose_snippet", lambda s, d: _t(s, d, "documents").select("doc_id", F.length(text.prose_snippet(F.regexp_replace("text", r"[^A-Za-z]+", "x"), 700)).cast("long").alias("n")), "SELECT doc_id, CASE WHEN length(regexp_replace(text, '[^A-Za-z]+', 'x', 'g')) >= 700 THEN length(regexp_replace(text, '[^A-Za-z]+', 'x', 'g')) ELSE length(regexp_replace(text, '[^A-Za-z]+', 'x', 'g')) END AS n FROM documents")
 _add("biography_score", lambda s, d: _t(s, d, "events").select("event_id", text.biography_score(F.array(F.concat(F.lit("Category:"), F.col("event_type"), F.when(F.col("event_id") % 2 == 0, F.lit(" births")).otherwise(F.lit(" actors"))), F.when(F.col("event_id") % 5 == 0, F.lit("Living people")).otherwise(F.lit("Lists")))).alias("score")),
      "SELECT event_id, CAST(CASE WHEN event_id % 2 = 0 THEN 3 ELSE 1 END + CASE WHEN event_id % 5 = 0 THEN 5 ELSE -3 END AS INTEGER) AS score FROM events")
 
@@ -221,7 +220,6 @@ def _reliable(spark, sf):
 
 _REL = f"{ART}, s AS (SELECT *, regexp_replace(lower(feed), '^www[.]', '') AS dom, regexp_replace(lower(url), '^https?://', '') AS bare FROM art), rel AS (SELECT *, dom = 'example.org' OR dom LIKE '%.example.org' OR dom = 'example.net' OR dom LIKE '%.example.net' OR starts_with(regexp_replace(bare, '^www[.]', ''), 'example.com/fr') OR starts_with(bare, 'blog.example.com/en') AS ok FROM s)"
 _add("reliable_match", lambda s, d: _reliable(s, d).select("page_id", "source_domain"), f"WITH {_REL} SELECT page_id, dom AS source_domain FROM rel WHERE ok")
-_add("filter_totals", lambda s, d: _reliable(s, d).agg(F.count("*").alias("kept")).crossJoin(art(s, d).agg(F.count("*").alias("total"))).select("kept", (F.col("total") - F.col("kept")).alias("dropped")), f"WITH {_REL} SELECT count(*) FILTER (WHERE ok) AS kept, count(*) FILTER (WHERE NOT ok) AS dropped FROM rel")
 _add("coverage_dedupe", lambda s, d: ordered.rerank(ordered.dedupe_known(_entries(s, d).withColumn("url", F.when(F.col("page_id") % 5 == 0, F.lit("")).otherwise(F.col("url_key"))), ["feed"], "url", ["page_id"]), ["feed"], ["page_id"]).select("feed", "page_id", F.col("rank").cast("long").alias("rank")),
      f"WITH {_ENTRIES}, q AS (SELECT feed, page_id, CASE WHEN page_id % 5 = 0 THEN '' ELSE url_key END AS u FROM e), z AS (SELECT *, row_number() OVER (PARTITION BY feed, u ORDER BY page_id) AS k FROM q) SELECT feed, page_id, row_number() OVER (PARTITION BY feed ORDER BY page_id) AS rank FROM z WHERE k = 1 OR u = ''")
 _DOMAINS = f"""{VERDICT}, g AS (SELECT event_id, pass, domain, min(rank) AS r FROM verdict WHERE about_subject AND (pass = 1 OR reliable) AND domain <> '' GROUP BY ALL),
@@ -275,17 +273,5 @@ _add("error_samples", lambda s, d: rollups.error_samples(_t(s, d, "events").with
 _add("batches", lambda s, d: ordered.batches(_t(s, d, "orders"), [F.col("o_orderdate").desc(), F.col("o_orderkey")], 10).select("o_orderkey", "batch"), "SELECT o_orderkey, CAST((row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) - 1) // 10 + 1 AS BIGINT) AS batch FROM orders")
 _add("backfill_priority", lambda s, d: joins.backfill_priority(doc(s, d).withColumn("lacks_priority", F.col("doc_id") % 2 == 0).withColumn("feed_priority", F.lit(9)), _feeds(s, d)).select("doc_id", "feed_priority"), f"WITH {DOC} SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN priority ELSE 9 END AS feed_priority FROM doc")
 _add("latest_and_duration", lambda s, d: _runs(s, d).agg(F.max_by("run_id", "finished_at").alias("latest_run"), F.sum(F.unix_timestamp("finished_at") - F.unix_timestamp("started_at")).alias("seconds")), f"WITH {_RUNS} SELECT arg_max(run_id, finished_at) AS latest_run, CAST(sum(floor(epoch(finished_at)) - floor(epoch(started_at))) AS BIGINT) AS seconds FROM run")
-_add("stage_counts", lambda s, d: trial(s, d).groupBy("status").agg(F.count("*").alias("n"), F.count_if(F.col("seq") >= 500).alias("n_new")), f"WITH {TRIAL} SELECT status, count(*) AS n, count(*) FILTER (WHERE seq >= 500) AS n_new FROM trial GROUP BY status")
 _add("report_lines", lambda s, d: writers.report_lines(art(s, d).select(F.col("feed").alias("section"), F.col("page_id").cast("string").alias("subject_name"), "title", F.array("url").alias("urls"))).select("section", F.col("line_no").cast("long").alias("line_no"), "line"),
      f"WITH {ART}, l AS (SELECT feed AS section, CAST(page_id AS VARCHAR) AS k, 0 AS o, '- ' || page_id AS line FROM art UNION ALL SELECT feed, CAST(page_id AS VARCHAR), 1, '  ' || title FROM art UNION ALL SELECT feed, CAST(page_id AS VARCHAR), 2, '    ' || url FROM art) SELECT section, row_number() OVER (PARTITION BY section ORDER BY k, o) AS line_no, line FROM l")
-_add("page_probe", lambda s, d: joins.page_probe(_t(s, d, "supplier").select(F.col("s_name").alias("name")), _t(s, d, "supplier").where("s_suppkey % 3 = 0").select(F.when(F.col("s_suppkey") % 2 == 0, F.concat("s_name", F.lit(" (artist)"))).otherwise(F.col("s_name")).alias("title"), F.lit(False).alias("is_disambig")), ("artist", "poet"), _t(s, d, "supplier").where("s_suppkey % 5 = 0").select(F.col("s_name").alias("name"), F.col("s_name").alias("title"))),
-     "SELECT s_name AS name, CASE WHEN s_suppkey % 3 = 0 THEN 'HAS_PAGE' WHEN s_suppkey % 5 = 0 THEN 'UNCERTAIN' ELSE 'MISSING' END AS status, CASE WHEN s_suppkey % 6 = 0 THEN 'variant' WHEN s_suppkey % 3 = 0 THEN 'title' WHEN s_suppkey % 5 = 0 THEN 'search' END AS via FROM supplier")
-
-
-def _match_rows(spark, sf):
-    c = _t(spark, sf, "customer")
-    made = F.transform(F.sequence(F.lit(1), F.lit(3)), lambda i: F.struct(i.alias("rank"), F.when((i == 1) & (F.col("c_custkey") % 2 == 0), F.col("c_name")).when((i == 2) & (F.col("c_custkey") % 4 == 0), F.concat("c_name", F.lit("x"))).otherwise(F.concat(F.lit("Other "), i.cast("string"))).alias("title"), F.when(i == 3, F.lit(0)).otherwise(F.lit(4)).alias("score")))
-    return c.select(F.col("c_custkey").alias("event_id"), F.col("c_name").alias("subject_name"), F.explode(made).alias("m")).select("event_id", "subject_name", "m.*", F.lit(None).cast("string").alias("redirected_from"), F.lit(7).cast("long").alias("pageid"))
-
-
-_add("annotate_match", lambda s, d: pipelines.annotate_match(_match_rows(s, d)).select("event_id", "signal", "best_title"), "SELECT c_custkey AS event_id, CASE WHEN c_custkey % 2 = 0 THEN 'EXACT_MATCH' ELSE 'NO_EXACT_MATCH' END AS signal, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS best_title FROM customer")

@@ -8,7 +8,13 @@ FEED_ENTRIES = (
 KNOWN_PAGES = "entries MAP<STRING, STRUCT<pageid: BIGINT, title: STRING, fullurl: STRING, added_at_utc: STRING, source_event_id: STRING, source_run_id: STRING, source_stage: STRING>>"
 RUNS = "run_id STRING, started_at STRING, finished_at STRING, stages ARRAY<STRUCT<name: STRING, duration_s: DOUBLE, exit_code: INT, notes: STRING, skipped: BOOLEAN>>, new_gate1_events INT"
 SUMMARIES = "run_id STRING, generated_at STRING, likely_notable_count INT, possibly_notable_count INT, likely_notable ARRAY<STRUCT<subject_name: STRING, gate4b_status: STRING, confirmed_count: INT, source_article: STRING, source_urls: ARRAY<STRING>>>"
-_TEXT = "STRUCT<_VALUE: STRING, _href: STRING, _rel: STRING>"
-RSS_ITEM = "title STRING, link STRING, guid STRING, id STRING, description STRING, summary STRING, author STRING, pubDate STRING, published STRING, updated STRING"
-RSS = f"channel STRUCT<title: STRING, item: ARRAY<STRUCT<{RSS_ITEM.replace(' STRING', ': STRING')}>>>"
-ATOM = "title STRING, entry ARRAY<STRUCT<title: STRING, link: ARRAY<STRUCT<_VALUE: STRING, _href: STRING, _rel: STRING>>, id: STRING, summary: STRING, content: STRING, author: STRUCT<name: STRING>, published: STRING, updated: STRING>>"
+#: One entry of a feed of either dialect, by local names; what may repeat is an array, of which the first text counts.
+_LINK = "ARRAY<STRUCT<_VALUE: STRING, _href: STRING, _rel: STRING>>"
+_AUTHOR = "ARRAY<STRUCT<_VALUE: STRING, name: STRING>>"
+_ONCE = ("guid", "id", "creator", "pubDate", "published", "updated", "date")
+_OFTEN = ("title", "description", "summary", "content")
+FEED_ENTRY = f"STRUCT<link: {_LINK}, author: {_AUTHOR}, {', '.join(f'{n}: STRING' for n in _ONCE)}, {', '.join(f'{n}: ARRAY<STRING>' for n in _OFTEN)}>"
+RSS = f"channel STRUCT<title: ARRAY<STRING>, item: ARRAY<{FEED_ENTRY}>>"
+ATOM = f"title ARRAY<STRING>, entry ARRAY<{FEED_ENTRY}>"
+#: A feed's last fetch; the streaming form relies on the time and the error being last.
+FETCH_STATE = "feed_url STRING, etag STRING, last_modified STRING, resolved_url STRING, last_status INT, last_fetch_at TIMESTAMP, last_error STRING"

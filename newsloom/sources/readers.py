@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom import schemas
+from newsloom.operators import ordered
+from newsloom.sources import shared
 
 CORRUPT = "_corrupt_record"
 
 
 def read_feeds(spark: SparkSession, path: str) -> DataFrame:
-    """``- URL [number]`` lines; only a number of digits is a priority, the last duplicate wins."""
+    """``- URL [number]`` lines; only a number of digits is a priority, the last duplicate wins; a missing file is empty."""
+    if not shared.exists(spark, path):
+        return spark.createDataFrame([], schemas.FEEDS)
     lines = spark.read.text(path).select(F.trim("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("seq"))
     return parse_feed_lines(lines)
 
@@ -37,47 +41,101 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = False
     return parsed.where(good).select("r.*").drop(CORRUPT), parsed.where(~F.coalesce(good, F.lit(False))).select("value")
 
 
-def read_documents(spark: SparkSession, path: str, schema: str, max_age_days: float | None = None) -> DataFrame:
-    """One row for each JSON document that parses and is young enough."""
-    fields = T.StructType.fromDDL(schema).add(CORRUPT, T.StringType())
-    rows = spark.read.schema(fields).option("multiLine", True).option("columnNameOfCorruptRecord", CORRUPT).json(path)
-    rows = rows.select("*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_modification_time").alias("modified")).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+def _documents(spark: SparkSession, path: str) -> DataFrame:
+    """(value, file_path, modified, good) of whole files; none if the path is missing."""
+    if not shared.exists(spark, path):
+        return spark.createDataFrame([], "value STRING, file_path STRING, modified TIMESTAMP, good BOOLEAN")
+    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_modification_time").alias("modified"))
+    return files.withColumn("good", F.startswith(F.ltrim("value"), F.lit("{")) & F.try_parse_json("value").isNotNull())
+
+
+def read_documents(spark: SparkSession, path: str, schema: str, max_age_days: float | None = None, now: Column | None = None) -> DataFrame:
+    """One row for each JSON object of a file or folder that parses and is young enough, with ``file_path`` and ``modified``.
+
+    A missing path, a file that is no JSON object and one older than the limit are absent; a field of another
+    type than the schema's is null.  Order by ``file_path`` where the order of files matters."""
+    rows = _documents(spark, path).where("good")
     if max_age_days is not None:
-        rows = rows.where(F.col("modified") >= F.current_timestamp() - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(max_age_days * 86400.0)))
-    return rows
+        oldest = (now if now is not None else F.current_timestamp()) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(max_age_days * 86400.0))
+        rows = rows.where(F.col("modified") >= oldest)
+    return rows.select(F.from_json("value", schema).alias("d"), "file_path", "modified").select("d.*", "file_path", "modified")
+
+
+def bad_documents(spark: SparkSession, path: str) -> DataFrame:
+    """(file_path, value) of files that are no JSON object."""
+    return _documents(spark, path).where("NOT coalesce(good, false)").select("file_path", "value")
 
 
 def read_runs(spark: SparkSession, glob: str) -> DataFrame:
-    return read_documents(spark, glob, schemas.RUNS)
+    """Run manifests; of a run that several files describe the last by path counts."""
+    return ordered.last_wins(read_documents(spark, glob, schemas.RUNS).where("run_id IS NOT NULL"), "run_id", ["file_path"])
 
 
 def read_summaries(spark: SparkSession, glob: str) -> DataFrame:
-    return read_documents(spark, glob, schemas.SUMMARIES)
+    """Run summaries; of a run that several files describe the last by path counts."""
+    return ordered.last_wins(read_documents(spark, glob, schemas.SUMMARIES).where("run_id IS NOT NULL"), "run_id", ["file_path"])
 
 
 def read_known_pages(spark: SparkSession, path: str) -> DataFrame:
-    """(normalized_name, ...) of a versioned document; nothing if it is missing."""
+    """(normalized_name, ...) of a versioned document; nothing if it is missing or no JSON object."""
     doc = read_documents(spark, path, schemas.KNOWN_PAGES)
     return doc.select(F.explode("entries").alias("normalized_name", "page")).select("normalized_name", "page.*")
 
 
+#: What may stand before a document's first element.
+_PROLOGUE = r"(?s)^(?:\s|\x{FEFF}|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>\[]*(?:\[.*?\])?[^>]*>)*<(?:[\w.-]+:)?([\w.-]+)"
+
+
+def _dialects(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``rss`` or ``atom``, by the name of their root; both are null where neither parses."""
+    root = F.lower(F.regexp_extract(F.coalesce("body", F.lit("")), _PROLOGUE, 1))
+    options = {"mode": "PERMISSIVE", "ignoreNamespace": "true"}
+    rss, atom = F.from_xml(F.when(root == "rss", F.col("body")), schemas.RSS, options), F.from_xml(F.when(root == "feed", F.col("body")), schemas.ATOM, options)
+    return docs.select("feed_url", root.alias("root"), rss.alias("rss"), atom.alias("atom"))
+
+
+def _first_text(values: Column) -> Column:
+    return F.get(F.filter(F.transform(values, lambda x: F.trim(x)), lambda x: x != ""), 0)
+
+
+def _entries(items: DataFrame) -> DataFrame:
+    text = lambda *cs: F.coalesce(*(F.nullif(F.trim(c), F.lit("")) for c in cs))
+    often = lambda *cs: F.coalesce(*(_first_text(F.col(c)) for c in cs))
+    alternate = F.filter("e.link", lambda x: (F.coalesce(x["_href"], F.lit("")) != "") & F.lower(F.trim(F.coalesce(x["_rel"], F.lit("alternate")))).isin("", "alternate"))
+    link = F.coalesce(F.nullif(F.trim(F.get(alternate, 0)["_href"]), F.lit("")), _first_text(F.transform("e.link", lambda x: x["_VALUE"])))
+    author = F.coalesce(_first_text(F.transform("e.author", lambda x: x["_VALUE"])), text("e.creator"), _first_text(F.transform("e.author", lambda x: x["name"])))
+    out = items.select(
+        "feed_url", "feed_title", "at", F.coalesce(often("e.title"), F.lit("(untitled)")).alias("entry_title"), link.alias("entry_url_raw"), text("e.guid", "e.id").alias("entry_guid"),
+        often("e.description", "e.summary", "e.content").alias("summary"), author.alias("author"), text("e.pubDate", "e.published", "e.updated", "e.date").alias("published"),
+    )
+    return out.where(F.coalesce("entry_url_raw", F.lit("")) != "")
+
+
 def parse_feeds(docs: DataFrame) -> DataFrame:
-    """(feed_url, body) of RSS and Atom documents to entries; what does not parse gives no rows."""
-    parsed = docs.select("feed_url", F.from_xml("body", schemas.RSS, {"mode": "PERMISSIVE"}).alias("rss"), F.from_xml("body", schemas.ATOM, {"mode": "PERMISSIVE"}).alias("atom"))
-    title = F.coalesce(F.nullif(F.trim("e.title"), F.lit("")), F.lit("(untitled)")).alias("entry_title")
-    item = parsed.select("feed_url", F.col("rss.channel.title").alias("feed_title"), F.posexplode("rss.channel.item").alias("at", "e"))
-    item = item.select("feed_url", "feed_title", "at", title, F.trim("e.link").alias("entry_url_raw"), F.coalesce("e.guid", "e.id").alias("entry_guid"), F.coalesce("e.description", "e.summary").alias("summary"), F.col("e.author").alias("author"), F.coalesce("e.pubDate", "e.published", "e.updated").alias("published"))
-    entry = parsed.select("feed_url", F.col("atom.title").alias("feed_title"), F.posexplode("atom.entry").alias("at", "e"))
-    links = F.filter("e.link", lambda x: F.coalesce(x["_rel"], F.lit("")).isin("", "alternate"))
-    link = F.coalesce(F.get(links, 0)["_href"], F.get(F.col("e.link"), 0)["_VALUE"])
-    entry = entry.select("feed_url", "feed_title", "at", title, F.trim(link).alias("entry_url_raw"), F.col("e.id").alias("entry_guid"), F.coalesce("e.summary", "e.content").alias("summary"), F.col("e.author.name").alias("author"), F.coalesce("e.published", "e.updated").alias("published"))
-    return item.unionByName(entry).where(F.coalesce("entry_url_raw", F.lit("")) != "")
+    """(feed_url, body) of RSS and Atom documents to entries, ``at`` being their place in the document.
+
+    Elements count by local name, so Dublin Core dates and creators are read in either dialect.  An entry
+    without a link goes; a document that does not parse, or has another root, gives no rows."""
+    parsed = _dialects(docs)
+    item = parsed.select("feed_url", _first_text(F.col("rss.channel.title")).alias("feed_title"), F.posexplode("rss.channel.item").alias("at", "e"))
+    entry = parsed.select("feed_url", _first_text(F.col("atom.title")).alias("feed_title"), F.posexplode("atom.entry").alias("at", "e"))
+    return _entries(item.unionByName(entry))
+
+
+def feed_outcomes(docs: DataFrame) -> DataFrame:
+    """(feed_url, ok, n_items): whether a document parsed, and its entries, those without a link included.
+
+    A well-formed document with another root is fine and has no entries."""
+    parsed = _dialects(docs.withColumn("feed_url", F.struct("feed_url", "body")))
+    n = F.greatest(F.size("rss.channel.item"), F.lit(0)) + F.greatest(F.size("atom.entry"), F.lit(0))
+    other = F.from_xml(F.when(~F.col("root").isin("", "rss", "feed"), F.col("feed_url.body")), "none STRING, _corrupt_record STRING", {"mode": "PERMISSIVE"})
+    ok = (other.isNotNull() & other["_corrupt_record"].isNull()) | F.col("rss.channel").isNotNull() | F.col("atom.entry").isNotNull() | F.col("atom.title").isNotNull()
+    return parsed.select("feed_url.feed_url", ok.alias("ok"), F.coalesce(n, F.lit(0)).cast("long").alias("n_items"))
 
 
 def resolve_events(spark: SparkSession, explicit: str | None, prefiltered: str | None, raw: str) -> DataFrame:
     """The explicit table, else the prefiltered one if it is there, else the raw events."""
     path = explicit or raw
-    if not explicit and prefiltered:
-        at = spark._jvm.org.apache.hadoop.fs.Path(prefiltered)
-        path = prefiltered if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at) else raw
+    if not explicit and prefiltered and shared.exists(spark, prefiltered):
+        path = prefiltered
     return spark.read.parquet(path)

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from newsloom import schemas
 from newsloom.functions.text import classify_event
 from newsloom.functions.urls import canonical_url, url_key
 from newsloom.operators import joins, ordered, rollups
@@ -57,3 +62,48 @@ def stream_digest(trials: DataFrame, at: str, window: str = "24 hours", slide: s
     """Verdict counts of event-time windows; rows later than the watermark are dropped."""
     bounds = F.window(at, window, slide or window)
     return trials.withWatermark(at, late).groupBy(bounds.alias("w"), "status").agg(F.count("*").alias("n")).select(F.col("w.start").alias("starts"), "status", "n")
+
+
+_FETCH = [f.split()[0] for f in schemas.FETCH_STATE.split(", ")]
+
+
+def stream_fetch_state(fetches: DataFrame, horizon_s: int, late: str = "0 seconds") -> DataFrame:
+    """A log of the feeds' state: a row where a feed was fetched anew, and one with ``expired`` once it is forgotten.
+
+    fetches: the columns of ``schemas.FETCH_STATE``.  Spark keeps a feed's last fetch as keyed state, which is
+    dropped when the watermark passes that fetch by the horizon; ``fetch_state_of`` reads the log."""
+
+    def update(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last = tuple(state.get) if state.exists else None
+        if state.hasTimedOut:
+            state.remove()
+            yield frame(key, last, True)
+            return
+        for rows in frames:
+            for row in rows[_FETCH[1:]].itertuples(index=False, name=None):
+                row = (*(None if pd.isna(v) else v for v in row[:-2]), int(row[-2].timestamp() * 1_000_000), None if pd.isna(row[-1]) else row[-1])
+                if last is None or row[-2] >= last[-2]:
+                    last = row
+        ends = last[-2] // 1000 + horizon_s * 1000
+        gone = ends <= state.getCurrentWatermarkMs()
+        if gone:
+            if state.exists:
+                state.remove()
+        else:
+            state.update(last)
+            state.setTimeoutTimestamp(ends)
+        yield frame(key, last, gone)
+
+    def frame(key, last, expired: bool) -> pd.DataFrame:
+        out = pd.DataFrame([(*key, *last[:-2], pd.Timestamp(last[-2], unit="us"), last[-1], expired)], columns=[*_FETCH, "expired"])
+        return out.astype({"last_status": "Int32"})
+
+    kept = schemas.FETCH_STATE.split(", ", 1)[1].replace("last_fetch_at TIMESTAMP", "last_fetch_at BIGINT")
+    rows = fetches.select(_FETCH).where("feed_url IS NOT NULL AND last_fetch_at IS NOT NULL").withWatermark("last_fetch_at", late)
+    return rows.groupBy("feed_url").applyInPandasWithState(update, schemas.FETCH_STATE + ", expired BOOLEAN", kept, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def fetch_state_of(log: DataFrame) -> DataFrame:
+    """The state that a log ends with: each feed's last fetch, unless it was forgotten since."""
+    last = log.groupBy("feed_url").agg(F.max_by(F.struct(*_FETCH[1:], "expired"), F.struct("last_fetch_at", "expired")).alias("r"))
+    return last.where("NOT r.expired").select("feed_url", "r.*").select(_FETCH)

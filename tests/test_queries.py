@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from newsloom.plans import composed, registry, runs
+from newsloom.plans import composed, registry, runs, stages
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,15 +19,15 @@ def duck():
     return con
 
 
-QUERIES = composed.QUERIES | runs.QUERIES | {k: registry.QUERIES[k] for k in ("confirmed_domains", "verdict_fold", "person_rollup", "similar_names")}
-SQL = registry.SQL | composed.SQL | runs.SQL
+QUERIES = composed.QUERIES | runs.QUERIES | stages.QUERIES | {k: registry.QUERIES[k] for k in ("confirmed_domains", "verdict_fold", "person_rollup", "similar_names")}
+SQL = registry.SQL | composed.SQL | runs.SQL | stages.SQL
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows_as_sql(spark, duck, name):
     out = QUERIES[name](spark, SF)
     columns = sorted(out.columns)
-    want = duck.execute(f"SELECT {', '.join(columns)} FROM ({SQL[name]})").fetchall()
+    want = duck.execute(f"SELECT {', '.join(f'"{c}"' for c in columns)} FROM ({SQL[name]})").fetchall()
     assert sorted(map(repr, map(tuple, out.select(columns).collect()))) == sorted(map(repr, want))
 
 
