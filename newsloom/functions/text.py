@@ -56,15 +56,22 @@ def event_text(title: Column, summary: Column) -> Column:
     return F.trim(F.concat_ws(" ", blank(title), blank(summary)))
 
 
+def _found(text: Column, pattern: str) -> Column:
+    """The first match, else null."""
+    return F.nullif(F.regexp_extract(text, _CAPITAL + pattern, 0), F.lit(""))
+
+
 def candidate_name(text: Column) -> Column:
     """The first full name, else the first initial with a surname, else null."""
-    found = lambda p: F.nullif(F.regexp_extract(text, _CAPITAL + p, 0), F.lit(""))
-    return F.coalesce(found(FULL_NAME), found(INITIAL_SURNAME))
+    return F.coalesce(_found(text, FULL_NAME), _found(text, INITIAL_SURNAME))
 
 
-def name_signals(text: Column) -> Column:
+def name_signals(text: Column, full: Column | None = None, initial: Column | None = None) -> Column:
+    """Which patterns a text holds; ``full`` and ``initial`` are first matches that are known already."""
+    full = _found(text, FULL_NAME) if full is None else full
+    initial = _found(text, INITIAL_SURNAME) if initial is None else initial
     return F.struct(
-        F.rlike(text, F.lit(_CAPITAL + FULL_NAME)).alias("full_name_match"), F.rlike(text, F.lit(_CAPITAL + INITIAL_SURNAME)).alias("initial_surname_match"),
+        full.isNotNull().alias("full_name_match"), initial.isNotNull().alias("initial_surname_match"),
         F.rlike(text, F.lit(_CUE + OBITUARY_CUE)).alias("obit_cue_match"), F.rlike(text, F.lit(_CAPITAL + CAPITALISED)).alias("obit_guardrail_token_match"),
         F.lit(False).alias("known_wiki_page_match"),
     )
@@ -84,21 +91,24 @@ def _reason(heading: Column, s: Column) -> Column:
 
 
 def classify_event(events: DataFrame) -> DataFrame:
-    """Ordered rules over entry_title and summary: decision, reason codes, signals."""
+    """Ordered rules over entry_title and summary: decision, reason codes, signals, and the first name as ``candidate_name``.
+
+    Each pattern is tried once a row: the flags of names are whether their first match is there."""
     title, summary = blank(F.col("entry_title")), blank(F.col("summary"))
     none = F.struct(*(F.lit(False).alias(c) for c in ("full_name_match", "initial_surname_match", "obit_cue_match", "obit_guardrail_token_match", "known_wiki_page_match")))
     heading = F.when(F.rlike(title, F.lit(LETTERS_HEAD)) | F.rlike(title, F.lit(LETTERS_TAIL)), F.lit("LETTERS_HEADER_SKIP")).when(F.rlike(title, F.lit(STRUCTURAL)), F.lit("STRUCTURAL_TOPIC_SKIP")).when(F.rlike(summary, F.lit(TRIBUTE)), F.lit("PERSONAL_TRIBUTE_OBIT_SKIP"))
-    signals = lambda x: F.struct(x["h"].alias("h"), F.when(x["h"].isNull(), name_signals(x["t"])).otherwise(none).alias("s"))
-    found = bind(bind(F.struct(heading.alias("h"), event_text(title, summary).alias("t")), signals), lambda x: F.struct(x["s"].alias("s"), _reason(x["h"], x["s"]).alias("r")))
+    named = lambda x: F.struct(x["h"].alias("h"), x["t"].alias("t"), _found(x["t"], FULL_NAME).alias("f"), _found(x["t"], INITIAL_SURNAME).alias("i"))
+    signals = lambda x: F.struct(x["h"].alias("h"), F.coalesce(x["f"], x["i"]).alias("n"), F.when(x["h"].isNull(), name_signals(x["t"], x["f"], x["i"])).otherwise(none).alias("s"))
+    found = bind(bind(bind(F.struct(heading.alias("h"), event_text(title, summary).alias("t")), named), signals), lambda x: F.struct(x["s"].alias("s"), x["n"].alias("n"), _reason(x["h"], x["s"]).alias("r")))
     # a generator of one row: neither projections nor filters above repeat the patterns
-    out = events.select("*", F.explode_outer(F.array(found)).alias("__p"))
+    out = events.drop("candidate_name").select("*", F.explode_outer(F.array(found)).alias("__p"))
     reason = F.col("__p")["r"]
     decision = (
         F.when(reason == "LETTERS_HEADER_SKIP", "LETTERS_HEADER_SKIP").when(reason == "STRUCTURAL_TOPIC_SKIP", "PREFILTER_SKIP_STRUCTURAL_PATTERN")
         .when(reason == "PERSONAL_TRIBUTE_OBIT_SKIP", "PERSONAL_TRIBUTE_OBIT_SKIP").when(F.startswith(reason, F.lit("NO_NAME")), "PREFILTER_SKIP_NO_NAME").otherwise("PREFILTER_PASS_TO_LLM")
     )
     out = out.withColumn("prefilter_decision", decision).withColumn("prefilter_reason_codes", F.array(reason)).withColumn("prefilter_signals", F.col("__p")["s"])
-    return out.drop("__p")
+    return out.withColumn("candidate_name", F.col("__p")["n"]).drop("__p")
 
 
 def keyword_filter(events: DataFrame, pattern: str) -> DataFrame:

@@ -11,15 +11,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.names import last_name, normalize_name
-from newsloom.functions.text import bind, candidate_name, event_text
+from newsloom.functions.text import bind
 from newsloom.operators.ordered import last_wins
 
 
 def flag_known(events: DataFrame, known: DataFrame) -> DataFrame:
-    """A known name overrides any decision and adds its reason; known: (normalized_name)."""
-    name = bind(candidate_name(event_text(F.col("entry_title"), F.col("summary"))), normalize_name)
+    """A known name overrides any decision and adds its reason; known: (normalized_name); events: ``classify_event``.
+
+    Rows without a name, mostly the larger part, get keys that no name can have, many of them, so that a
+    join by shuffle does not gather them in one task."""
+    nobody = F.concat(F.lit("\n"), F.pmod(F.xxhash64("entry_title", "summary"), F.lit(1 << 16)).cast("string"))
+    name = F.when(F.col("candidate_name").isNotNull(), bind(F.col("candidate_name"), normalize_name)).otherwise(nobody)
     hits = known.select(F.col("normalized_name").alias("__k")).where("__k <> ''").distinct().withColumn("__hit", F.lit(True))
-    out = events.select("*", F.explode_outer(F.array(name)).alias("__name")).join(hits, F.col("__name") == F.col("__k"), "left")
+    out = events.withColumn("__name", name).join(hits, F.col("__name") == F.col("__k"), "left")
     hit = F.coalesce("__hit", F.lit(False))
     out = out.withColumn("prefilter_decision", F.when(hit, "PREFILTER_SKIP_HAS_WIKI_PAGE").otherwise(F.col("prefilter_decision")))
     out = out.withColumn("prefilter_reason_codes", F.when(hit, F.concat("prefilter_reason_codes", F.array(F.lit("KNOWN_WIKI_PAGE")))).otherwise(F.col("prefilter_reason_codes")))
@@ -67,27 +71,26 @@ def attach_pages(found: DataFrame, pages: DataFrame, redirects: DataFrame | None
     return out.join(pages, "title", "left")
 
 
-def domain_suffixes(host):
-    """The host and every domain above it."""
-    parts = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
-
-
 def filter_reliable(results: DataFrame, entries: DataFrame, url: str = "url", domain: str = "source_domain") -> DataFrame:
     """Results whose host or a domain above it is listed, or whose URL starts with a listed prefix.
 
-    Hosts are an equi semi join on exploded suffixes.  Prefix entries are joined on their host,
-    which the prefix starts with, so neither kind compares every result with every entry."""
-    rows = results.withColumn("__row", F.xxhash64(*results.columns))
+    One pass over the results: a look-up of the last n labels of the host for each number of labels that
+    listed hosts have (a few), and one of the host for the prefixes, which are gathered by host.  Every
+    listed host is one row of one look-up, so no row is multiplied and none has to be found again."""
+    host = F.regexp_replace(F.lower(F.trim("entry")), r"^\.+|\.+$", "")
+    plain = entries.where("kind = 'host'").select(host.alias("__e")).where("__e <> ''").distinct().withColumn("__labels", F.size(F.split("__e", r"\.")))
+    listed = F.lit(False)
+    out = results
+    for n in sorted(r[0] for r in plain.select("__labels").distinct().collect()):  # at most the labels of a host name
+        side = plain.where(F.col("__labels") == n).select(F.col("__e").alias(f"__e{n}"))
+        out = out.join(side, F.substring_index(F.col(domain), ".", -n) == F.col(f"__e{n}"), "left")
+        listed = listed | F.col(f"__e{n}").isNotNull()
     bare = F.regexp_replace(F.lower(F.col(url)), "^https?://", "")
-    plain = entries.where("kind = 'host'").select(F.lower("entry").alias("__e")).distinct()
-    by_host = rows.select("__row", F.explode(domain_suffixes(F.col(domain))).alias("__e")).join(plain, "__e", "left_semi").select("__row")
-    prefixes = entries.where("kind <> 'host'").select(F.lower(F.regexp_replace("entry", "^https?://", "")).alias("__p"), (F.col("kind") == "url_prefix").alias("__full")).distinct()
-    prefixes = prefixes.withColumn("__h", F.regexp_replace(F.substring_index("__p", "/", 1), r"^www\.", ""))
-    sides = rows.select("__row", bare.alias("__b"), F.regexp_replace(F.substring_index(bare, "/", 1), r"^www\.", "").alias("__h"))
-    starts = F.startswith("__b", F.col("__p")) | (~F.col("__full") & F.startswith(F.regexp_replace("__b", r"^www\.", ""), F.col("__p")))
-    by_prefix = sides.join(prefixes, "__h").where(starts).select("__row")
-    return rows.join(by_host.unionByName(by_prefix).distinct(), "__row", "left_semi").drop("__row")
+    prefixes = entries.where("kind <> 'host'").select(F.lower(F.regexp_replace("entry", "^https?://", "")).alias("p"), (F.col("kind") == "url_prefix").alias("full")).distinct()
+    prefixes = prefixes.groupBy(F.regexp_replace(F.substring_index("p", "/", 1), r"^www\.", "").alias("__h")).agg(F.collect_set(F.struct("p", "full")).alias("__ps"))
+    out = out.withColumn("__b", bare).join(prefixes, F.regexp_replace(F.substring_index("__b", "/", 1), r"^www\.", "") == F.col("__h"), "left")
+    starts = F.exists("__ps", lambda x: F.startswith("__b", x["p"]) | (~x["full"] & F.startswith(F.regexp_replace("__b", r"^www\.", ""), x["p"])))
+    return out.where(listed | F.coalesce(starts, F.lit(False))).select(results.columns)
 
 
 def second_pass_input(events: DataFrame, coverage: DataFrame) -> DataFrame:

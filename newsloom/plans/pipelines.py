@@ -62,7 +62,7 @@ def ingest_run(fetches: DataFrame, seen: DataFrame, state: DataFrame | None = No
 
 
 def prefilter(events: DataFrame, known: DataFrame, feeds: DataFrame) -> DataFrame:
-    return joins.with_priority(joins.flag_known(text.classify_event(events), known), feeds)
+    return joins.with_priority(joins.flag_known(text.classify_event(readers.spread(events)), known), feeds)
 
 
 def select_triaged(trials: DataFrame, decisions=("STRONG_PASS", "WEAK_PASS"), keep: str = "first") -> DataFrame:

@@ -116,7 +116,7 @@ def _add(name, fn, sql=None):
 
 
 def _classified(spark, sf):
-    return text.classify_event(doc(spark, sf))
+    return text.classify_event(readers.spread(doc(spark, sf)))
 
 
 _add("prefilter_reason_counts", lambda s, d: rollups.code_counts(_classified(s, d), F.col("prefilter_reason_codes")), f"WITH {CLASSIFIED} SELECT reason AS code, count(*) AS n FROM r GROUP BY reason")

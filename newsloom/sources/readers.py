@@ -133,6 +133,15 @@ def feed_outcomes(docs: DataFrame) -> DataFrame:
     return parsed.select("feed_url.feed_url", ok.alias("ok"), F.coalesce(n, F.lit(0)).cast("long").alias("n_items"))
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores where their files are fewer than these, before expressions that cost more than a shuffle.
+
+    A file may be one row group, which one task reads however many tasks there are.  Tables of more
+    files, as large ones are, stay as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+
+
 def resolve_events(spark: SparkSession, explicit: str | None, prefiltered: str | None, raw: str) -> DataFrame:
     """The explicit table, else the prefiltered one if it is there, else the raw events."""
     path = explicit or raw
