@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.llm import scratch
+from newsloom.llm import textbatch as tb
 
 WIDTH = 2048
 VOCABULARY = "word_bpe_49k.json"
@@ -120,15 +121,9 @@ class WordTokenizer:
             return b"".join(map(self.words.__getitem__, words))
 
 
-_loaded: dict[tuple[str, int], WordTokenizer] = {}
-
-
 def tokenizer(path: str, memo: int = MEMO) -> WordTokenizer:
-    """One for each worker process, kept between tasks."""
-    if (path, memo) not in _loaded:
-        _loaded.clear()
-        _loaded[path, memo] = WordTokenizer(path, memo)
-    return _loaded[path, memo]
+    """One for each worker process, kept between tasks until another operator's tasks drop it."""
+    return tb.resident(("tokenizer", path, memo), lambda: WordTokenizer(path, memo))
 
 
 def cut(docs: DataFrame, vocabulary: str, width: int, id_col: str = "doc_id", text_col: str = "text", memo: int = MEMO) -> DataFrame:

@@ -8,7 +8,8 @@ how many rows Spark puts into a batch.  Only one text has to fit at a time.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,34 @@ _Q = np.uint64(0xC2B2AE3D27D4EB4F)
 _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
 
+#: What this worker process keeps between tasks, one object at a time.
+_resident: dict = {}
+
+
+def resident(key: tuple, make: Callable):
+    """One object for each worker process, kept for later tasks that ask for the same one."""
+    if key not in _resident:
+        _resident.clear()
+        _resident[key] = make()
+    return _resident[key]
+
+
+def settled(task: Callable) -> Callable:
+    """A batch function that starts without what other operators left in its worker, and gives freed memory back.
+
+    Workers stay alive beside the stages that follow, in the same memory limit as their executor."""
+
+    def run(batches):
+        _resident.clear()
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps freed blocks of many sizes otherwise
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 def byte_table(members: bytes) -> np.ndarray:
     table = np.zeros(256, bool)
     table[list(members)] = True

@@ -303,7 +303,7 @@ def _in_tasks(docs: DataFrame, model: KneserNey, keep: list[str], text_col: str,
         for batch in batches:
             yield _rows(batch, keep, _text_features(batch.column(text_col), look)[0])
 
-    return docs.select(list(dict.fromkeys([*keep, text_col]))).mapInArrow(score, _schema(docs, keep))
+    return docs.select(list(dict.fromkeys([*keep, text_col]))).mapInArrow(tb.settled(score), _schema(docs, keep))
 
 
 def _by_join(docs: DataFrame, model: KneserNey, keep: list[str], text_col: str, half: bool) -> DataFrame:
@@ -354,14 +354,14 @@ def _by_join(docs: DataFrame, model: KneserNey, keep: list[str], text_col: str,
             order = np.argsort(hashes)
             yield _rows(batch, keep, _text_features(batch.column(text_col), _held(hashes[order], values[order]))[0])
 
-    out = docs.select(columns).mapInArrow(direct, schema)
+    out = docs.select(columns).mapInArrow(tb.settled(direct), schema)
     if least == 0:
         return out
     wide = T.StructType([*(docs.schema[c] for c in columns), T.StructField("__tail", T.ArrayType(T.LongType()))])
-    others = scratch.table(docs.select(columns).mapInArrow(rest, wide).withColumn("__row", F.monotonically_increasing_id()), "rare-words")
+    others = scratch.table(docs.select(columns).mapInArrow(tb.settled(rest), wide).withColumn("__row", F.monotonically_increasing_id()), "rare-words")
     tails = others.select("__row", F.explode("__tail").alias("hash")).join(ratios.where(level < least).select("hash", "ratio"), "hash")
     pairs = tails.groupBy("__row").agg(F.collect_list(F.struct("hash", "ratio")).alias("__pairs"))
-    return out.unionByName(others.drop("__tail").join(pairs, "__row").select(*columns, "__pairs").mapInArrow(joined, schema))
+    return out.unionByName(others.drop("__tail").join(pairs, "__row").select(*columns, "__pairs").mapInArrow(tb.settled(joined), schema))
 
 
 class Calibration:
