@@ -12,11 +12,12 @@ the number of entities that a term is tried with, has to be ``CHANCE`` at most.
 telling, and each of its occurrences in any text is a span of its own.  ``redact`` generalises entities to
 their kind and removes such terms.
 
-Only distinct texts are counted, so copies of one text are one piece of evidence.  Entities and
-terms that cannot pass the bound whatever t is are left out before they are paired, which
-changes no result.  At most ``IN_TASKS`` telling terms (they are counted first) go to every task;
-of more a bitmap does, and an exact join follows, with the same spans.  Counts of terms cover all texts: tasks add up texts that have no copy, and
-those that may have one (by a bitmap of bounded size) are deduplicated first.
+Copies and near copies are one piece of evidence, or what only a family of them holds would tell
+a lot.  Texts that agree in one of ``BANDS`` bands of min-hashes of their five-word shingles are
+linked, and of each component of links only the text with the least hash is counted.  Entities and
+terms that cannot pass the bound whatever t is are left out before they are paired.  At most ``IN_TASKS`` telling terms (they are counted first) go to every task;
+of more a bitmap does, and an exact join follows, with the same spans.  Counts of terms cover all texts: tasks add up texts that are alone, and
+those that may be copies (by a bitmap of bounded size) are looked up exactly first.
 
 Defined results: null and empty texts have no spans; texts of any length are searched whole; a
 term is a word of digits, letters and characters beyond ASCII, A-Z lower-cased, with
@@ -38,12 +39,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsloom.llm import scratch
+from newsloom.llm import graph, scratch
 from newsloom.llm import textbatch as tb
 
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Least characters of a term, the threshold of disclosure, and how likely a term may be told by chance.
 MIN_LETTERS, DISCLOSURE, CHANCE = 4, 0.5, 0.001
+#: Where x log(1 / x) - x + x x is largest: log(1 / x) = 2 - 2 x.
+PEAK = 0.20318787
+#: Words of a shingle, and bands of min-hashes: near copies of a similarity of 0.97 are linked all but once in 3000 times, texts of 0.3 once in 30.
+SHINGLE, BANDS, ROWS = 5, 4, 4
 #: Places of a bitmap at most (32 MB), and telling terms that go to every task (8 MB); of more only a bitmap does.
 BITMAP, IN_TASKS = 1 << 28, 1 << 20
 
@@ -121,6 +126,26 @@ def _entities(text: str, spans: list[tuple[int, int, int]]) -> list[int]:
     return sorted(found)
 
 
+_SEEDS = tb.mix(np.arange(7, 7 + BANDS * ROWS, dtype=np.uint64))
+
+
+def _bands(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hashes of bands of min-hashes, a row a text; of a text shorter than a shingle those of its words; 0 without words."""
+    out = np.zeros((len(at) - 1, BANDS), np.uint64)
+    counts = tb.gram_offsets(at, SHINGLE)
+    long = np.flatnonzero(counts)
+    if len(long):
+        grams = tb.gram_hashes(words, SHINGLE)[tb.ranges(at[:-1], counts)]
+        heads = (np.cumsum(counts) - counts)[long]
+        for i, seed in enumerate(_SEEDS):
+            out[long, i // ROWS] = tb.mix(out[long, i // ROWS] ^ np.minimum.reduceat(tb.mix(grams ^ seed), heads))
+    for n in range(1, SHINGLE):
+        rows = np.flatnonzero(np.diff(at) == n)
+        if len(rows):
+            out[rows] = tb.mix(tb.gram_hashes(words, n)[at[rows]])[:, None]
+    return out
+
+
 class _Terms:
     """The terms of a slice of texts: hash, row, and start and end in code points of the row's text."""
 
@@ -159,6 +184,29 @@ def _text_key(text_col: str) -> list[Column]:
     return [F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b")]
 
 
+def _distinct(docs: DataFrame, text_col: str) -> DataFrame:
+    """(a, b, n, bands) of the distinct texts, with their number of rows."""
+
+    def find(batches):
+        for batch in batches:
+            for first, end, data, offsets in tb.steps(batch.column("text")):
+                starts, ends, at = tb.spans(low := tb.lower(data), offsets, tb.ALNUM_WORDS)
+                bands = _bands(tb.span_hashes(low, starts, ends), at).view(np.int64)
+                bands = pa.FixedSizeListArray.from_arrays(pa.array(bands.ravel()), BANDS).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(first, end - first) for c in ("a", "b")), bands], ["a", "b", "bands"])
+
+    found = docs.select(*_text_key(text_col), F.col(text_col).alias("text")).mapInArrow(find, "a bigint, b bigint, bands array<bigint>")
+    return scratch.table(found.groupBy("a", "b").agg(F.count("*").alias("n"), F.first("bands").alias("bands")), "distinct-texts")
+
+
+def _followers(texts: DataFrame) -> DataFrame:
+    """(a): texts that are near copies of one with a smaller hash, which stands for all of them."""
+    members = texts.select("a", F.posexplode("bands").alias("at", "band")).where("band <> 0")
+    hubs = members.groupBy("at", "band").agg(F.min("a").alias("hub"), F.max("a").alias("last")).where("hub < last")
+    edges = members.join(scratch.table(hubs.select("at", "band", "hub"), "shared-bands"), ["at", "band"]).select(F.col("a").alias("u"), F.col("hub").alias("v"))
+    return scratch.table(graph.components(edges).where("vertex <> component").select(F.col("vertex").alias("a")), "near-copies")
+
+
 def _bitmap(numbers: DataFrame) -> np.ndarray:
     """Words of 64 places, two of which each of the table's numbers marks.
 
@@ -184,8 +232,8 @@ def _marked(bitmap: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     return found
 
 
-def _holders(docs: DataFrame, text_col: str) -> DataFrame:
-    """(a, b, entities, terms) of the distinct texts with entities."""
+def _holders(docs: DataFrame, followers: DataFrame, text_col: str) -> DataFrame:
+    """(a, b, entities, terms) of the texts with entities that count."""
 
     def find(batches):
         for batch in batches:
@@ -204,15 +252,15 @@ def _holders(docs: DataFrame, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at), pa.array(entities, longs), pa.array(held, longs)], ["a", "b", "entities", "terms"])
 
     found = docs.select(*_text_key(text_col), F.col(text_col).alias("text")).mapInArrow(find, "a bigint, b bigint, entities array<bigint>, terms array<bigint>")
-    return scratch.table(found.dropDuplicates(["a", "b"]), "holders")
+    return scratch.table(found.dropDuplicates(["a", "b"]).join(followers, "a", "left_anti"), "holders")
 
 
-def _term_texts(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
-    """(term, n): distinct texts that hold each wanted term."""
+def _term_texts(docs: DataFrame, texts: DataFrame, followers: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
+    """(term, n): texts that count and hold each wanted term."""
     spark = docs.sparkSession
     terms = spark.sparkContext.broadcast(_bitmap(scratch.table(wanted, "wanted-terms")))
     keyed = docs.select(*_text_key(text_col), F.col(text_col).alias("text"))
-    copied = keyed.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a")
+    copied = texts.where("n > 1").select("a").unionByName(followers)
     copies = spark.sparkContext.broadcast(_bitmap(scratch.table(copied, "copied-texts")))
 
     def count(batches):
@@ -254,16 +302,19 @@ def _term_texts(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
 
     found = scratch.table(keyed.mapInArrow(added, "term bigint, n bigint, a bigint, b bigint, terms array<bigint>"), "term-texts")
     single = found.where("term IS NOT NULL").select("term", "n")
-    several = found.where("term IS NULL").dropDuplicates(["a", "b"]).select(F.explode("terms").alias("term"), F.lit(1).cast("long").alias("n"))
+    several = found.where("term IS NULL AND size(terms) > 0").dropDuplicates(["a", "b"]).join(followers, "a", "left_anti")
+    several = several.select(F.explode("terms").alias("term"), F.lit(1).cast("long").alias("n"))
     return single.unionByName(several).groupBy("term").agg(F.sum("n").alias("n"))
 
 
 def telling_terms(docs: DataFrame, text_col: str = "text", disclosure: float = DISCLOSURE) -> DataFrame:
     """(term): hashes of the terms that disclose an entity."""
-    held = _holders(docs, text_col)
+    distinct = _distinct(docs, text_col)
+    followers = _followers(distinct)
+    held = _holders(docs, followers, text_col)
     keyed = held.withColumn("entity", F.explode("entities")).select("a", "b", "entity")
     worded = held.withColumn("term", F.explode("terms")).select("a", "b", "term")
-    texts = float(max(docs.select(*_text_key(text_col)).distinct().count(), 1))
+    texts = float(max(distinct.count() - followers.count(), 1))
     entities = scratch.table(keyed.groupBy("entity").agg(F.count("*").alias("entity_texts")), "entities")
     common = scratch.table(worded.groupBy("term").agg(F.count("*").alias("k")), "holder-terms")
     tried = math.log2(max(entities.count(), 1) / CHANCE)
@@ -272,8 +323,10 @@ def telling_terms(docs: DataFrame, text_col: str = "text", disclosure: float = D
         """Whether so many meetings are beyond chance with any of the entities."""
         return met * F.log2(met / expected) - (met - expected) * math.log2(math.e) >= tried
 
-    # c <= e, c <= t and so at least c e / N or c c / N are expected: what fails with those cannot pass
-    possible = lambda n: certain(F.least(F.col(n), F.lit(texts / 8)), F.least(F.col(n), F.lit(texts / 8)) ** 2 / texts)
+    # c <= e, c <= t and so at least c c / N are expected; the bound with that grows with c up to PEAK N, so n or
+    # PEAK N meetings at most give the most there can be, and what fails with that cannot pass
+    most = lambda n: F.least(F.col(n), F.lit(PEAK * texts))
+    possible = lambda n: certain(most(n), most(n) ** 2 / texts)
     entities, common = entities.where(possible("entity_texts")), common.where(possible("k"))
     pairs = keyed.join(entities.select("entity"), "entity").join(worded.join(common, "term"), ["a", "b"]).groupBy("entity", "term", "k").agg(F.count("*").alias("both"))
     own = F.log2(texts / F.col("entity_texts"))
@@ -281,7 +334,7 @@ def telling_terms(docs: DataFrame, text_col: str = "text", disclosure: float = D
     # at least k texts hold the term, and both tests only get harder with more
     pairs = pairs.join(entities, "entity").where(tells(F.col("both"), F.col("entity_texts") * F.col("k") / texts))
     pairs = scratch.table(pairs, "term-pairs")
-    counted = pairs.join(_term_texts(docs, pairs.select("term").distinct(), text_col).withColumnRenamed("n", "term_texts"), "term")
+    counted = pairs.join(_term_texts(docs, distinct, followers, pairs.select("term").distinct(), text_col).withColumnRenamed("n", "term_texts"), "term")
     told = counted.where(tells(F.col("both"), F.col("entity_texts") * F.col("term_texts") / texts))
     return scratch.table(told.select("term").distinct(), "telling-terms")
 

@@ -134,9 +134,9 @@ def personal(text):
     return [(kind, a, b) for a, _, kind, b in sorted(spans)]
 
 
-def telling(docs, least, threshold, chance):
-    """{doc: term spans}, by counting over distinct texts."""
-    texts = {t or "" for _, t in docs}
+def telling(docs, least, threshold, chance, left_out=frozenset()):
+    """{doc: term spans}, by counting over distinct texts without near copies."""
+    texts = {t or "" for _, t in docs} - left_out
     holders, terms = defaultdict(set), defaultdict(set)
     for t in texts:
         base = personal(t)
