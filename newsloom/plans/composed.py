@@ -198,7 +198,7 @@ def stream_upsert_known(spark, sf):
     path = _folder(spark, "stream-known")
     rows = _stream(spark, sf, "events").select(F.col("user_id").cast("string").alias("normalized_name"), F.col("event_type").alias("status"), F.col("event_id").cast("string").alias("added_at_utc"), F.col("event_id").alias("seq"))
     streams.stream_upsert_known(rows, f"{path}/rows", f"{path}/state").awaitTermination()
-    return writers.read_snapshot(spark, f"{path}/rows").select("normalized_name", "status", "added_at_utc", "seq")
+    return streams.known_of(spark, f"{path}/rows").select("normalized_name", "status", "added_at_utc", "seq")
 
 
 _add("stream_upsert_known", stream_upsert_known, "SELECT CAST(user_id AS VARCHAR) AS normalized_name, arg_max(event_type, event_id) AS status, CAST(min(event_id) AS VARCHAR) AS added_at_utc, max(event_id) AS seq FROM events GROUP BY user_id")

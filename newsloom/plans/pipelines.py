@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from newsloom import schemas
 from newsloom.functions import names, responses, text, urls
 from newsloom.operators import joins, ordered, records, rollups
-from newsloom.sources import readers, shared
+from newsloom.sources import readers, shared, writers
 
 
 def ingest(docs: DataFrame, seen: DataFrame) -> DataFrame:
@@ -232,6 +232,20 @@ def digest(trials: DataFrame, summaries: DataFrame, manifests: DataFrame, events
     return head, people
 
 
+def run_report(rows: DataFrame, path: str) -> DataFrame:
+    """The summary of a history as a document, and its report lines.
+
+    rows: as for ``records.run_summary``.  The document has counts in its head and a section for each positive
+    verdict; lines have a section of each, which says None where it is empty."""
+    summary = shared.kept(records.run_summary(rows), "run-summary")
+    verdicts_ = ("LIKELY_NOTABLE", "POSSIBLY_NOTABLE")
+    head = summary.agg(*(F.count_if(F.col("gate4b_status") == v).alias(f"{v.lower()}_count") for v in verdicts_))
+    writers.write_digest(head, {v.lower(): summary.where(F.col("gate4b_status") == v) for v in verdicts_}, ["subject_name"], path)
+    empty = summary.sparkSession.createDataFrame([(v,) for v in verdicts_], "section string").join(summary.select(F.col("gate4b_status").alias("section")).distinct(), "section", "left_anti")
+    lines = summary.select(F.col("gate4b_status").alias("section"), "subject_name", F.col("source_article").alias("title"), F.col("source_urls").alias("urls"))
+    return writers.report_lines(lines.unionByName(empty, allowMissingColumns=True))
+
+
 def match_worklist(candidate_records: DataFrame, trials: DataFrame, retry: bool = False, pattern: str | None = None) -> DataFrame:
     """Open candidate records by priority and date, with the candidates a model is shown; the reason where none is asked.
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from newsloom.operators import ordered, records, rollups
 from newsloom.plans import pipelines
 from newsloom.plans import registry as base
+from newsloom.sources import shared
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -210,3 +211,13 @@ def ingest_stats(spark: SparkSession, sf: str) -> DataFrame:
 _add("ingest_stats", ingest_stats, f"""WITH {_ROWS}, e AS (SELECT subject_name <> '' AS valid, row_number() OVER (PARTITION BY url ORDER BY seq) = 1 AS new, seq % 6 = 0 AS bad FROM rows_), f AS (SELECT max(seq) % 4 AS m FROM rows_ GROUP BY event_id % 300)
 SELECT (SELECT count(*) FROM f) AS feeds_total, (SELECT count(*) FROM f WHERE m > 0) AS feeds_succeeded, (SELECT count(*) FROM f WHERE m = 0) AS feeds_failed, (SELECT count(*) FROM f WHERE m = 2) AS feeds_not_modified, count(*) AS entries_parsed,
   count(*) FILTER (WHERE NOT valid) AS entries_invalid, count(*) FILTER (WHERE valid AND new) AS new_events_appended, count(*) FILTER (WHERE valid AND NOT new) AS duplicates_skipped, count(*) FILTER (WHERE valid AND bad) AS date_parse_errors FROM e""")
+
+
+# --- E8, K5, K6: the whole summary as a document, and its lines
+
+_add(
+    "run_report", lambda s, d: pipelines.run_report(_rows(s, d), shared.folder(s, "report")).select("section", "line_no", "line"),
+    f"""WITH {_ROWS}, w AS (SELECT *, row_number() OVER (PARTITION BY gate4b_status, subject_name ORDER BY confirmed_count DESC, seq) AS n FROM rows_ WHERE gate4b_status <> 'NOT_NOTABLE'),
+l AS (SELECT gate4b_status AS section, subject_name, unnest(['- ' || subject_name, '  ' || source_article, '    ' || url]) AS line, unnest([0, 1, 2]) AS o FROM w WHERE n = 1)
+SELECT section, row_number() OVER (PARTITION BY section ORDER BY subject_name, o) AS line_no, line FROM l""",
+)

@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newsloom.operators import ordered
+from newsloom.sources import shared
+
 
 def write_stage(df: DataFrame, path: str, overwrite: bool = False) -> None:
     """A table that fails to replace another one unless told to."""
@@ -83,10 +86,11 @@ def read_digest(spark: SparkSession, path: str, head: T.StructType | str, sectio
 def report_lines(people: DataFrame) -> DataFrame:
     """(section, line_no, line) of (section, subject_name, title, urls); an empty section says None.
 
-    Numbers run inside a section, so sections are independent of each other."""
-    from pyspark.sql import Window
-
+    Lines are numbered across ranges of the whole report, and a section's numbers start where it does,
+    so a section of any size is no single task's."""
     urls = F.transform(F.coalesce("urls", F.array().cast("array<string>")), lambda u: F.concat(F.lit("    "), u))
     body = F.when(F.col("subject_name").isNull(), F.array(F.lit("- None"))).otherwise(F.concat(F.array(F.concat(F.lit("- "), "subject_name"), F.concat(F.lit("  "), F.coalesce("title", F.lit("(untitled)")))), urls))
-    rows = people.select("section", "subject_name", F.posexplode(body).alias("at", "line"))
-    return rows.select("section", F.row_number().over(Window.partitionBy("section").orderBy("subject_name", "at")).alias("line_no"), "line")
+    rows = people.select("section", "subject_name", "title", F.posexplode(body).alias("at", "line"))
+    rows = ordered.numbered(rows, [F.col(c) for c in ("section", "subject_name", "title", "at", "line")], "__no")
+    starts = shared.kept(rows.groupBy(F.col("section").alias("__s")).agg(F.min("__no").alias("__first")), "sections")  # a row a section
+    return rows.join(starts, F.col("section").eqNullSafe(F.col("__s"))).select("section", (F.col("__no") - F.col("__first") + 1).alias("line_no"), "line")

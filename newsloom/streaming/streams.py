@@ -48,14 +48,24 @@ def stream_latest(trials: DataFrame) -> DataFrame:
 
 
 def stream_upsert_known(trials: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Known names as versioned snapshots; a batch that is run again gives the same snapshot."""
+    """Known names as keyed state of the stream, and a log of the names that changed, a folder for each batch.
+
+    A batch costs what it changes, not what is known; one that is run again writes its folder anew.
+    The state grows with the names, as a table of known names does; ``known_of`` reads the log."""
+    value = F.struct(*(c for c in trials.columns if c not in ("normalized_name", "added_at_utc")))
+    found = trials.where("normalized_name <> ''").groupBy("normalized_name").agg(F.max_by(value, "seq").alias("r"), F.min_by("added_at_utc", "seq").alias("added_at_utc"))
+
+    def log(batch: DataFrame, number: int) -> None:
+        writers.write_stage(batch.select("normalized_name", "r.*", "added_at_utc"), f"{path}/batch={number}", overwrite=True)
+
+    return found.writeStream.outputMode("update").foreachBatch(log).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-    def merge(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        state = writers.read_snapshot(spark, path) if shared.exists(spark, f"{path}/pointer") else batch.limit(0)
-        writers.write_snapshot(rollups.upsert_known(state, batch), path)
 
-    return trials.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def known_of(spark: SparkSession, path: str) -> DataFrame:
+    """The known names that a log ends with: each name's last row."""
+    rows = spark.read.option("basePath", path).parquet(f"{path}/batch=*")
+    columns = [c for c in rows.columns if c not in ("normalized_name", "batch")]
+    return rows.groupBy("normalized_name").agg(F.max_by(F.struct(*columns), "batch").alias("r")).select("normalized_name", "r.*")
 
 
 def stream_digest(trials: DataFrame, at: str, window: str = "24 hours", slide: str | None = None, late: str = "1 hour") -> DataFrame:

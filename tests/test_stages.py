@@ -184,3 +184,34 @@ def test_records_of_nothing(spark):
     rows = spark.createDataFrame([], "event_id string, rank int, title string")
     sets = records.nested(rows, ["event_id"], ["rank"], ["rank", "title"], "found")
     assert records.with_nested(spark.createDataFrame([("e",)], "event_id string"), sets, "event_id", "found").first()["found"] == []
+
+
+def test_known_names_of_stream_and_batch(spark, tmp_path):
+    """Names come in three files, one of them late: the log ends with what an upsert of all rows gives."""
+    rows = [[("ann", "A", "t1", 1), ("bo", "B", "t2", 2)], [("ann", "A2", "t5", 5), ("", "x", "t6", 6)], [("bo", "old", "t0", 0), ("cy", "C", "t7", 7)]]
+    schema = "normalized_name string, title string, added_at_utc string, seq long"
+    for part in rows:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        source = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        streams.stream_upsert_known(source, str(tmp_path / "log"), str(tmp_path / "state")).awaitTermination()
+    want = rollups.upsert_known(spark.createDataFrame([], schema), spark.createDataFrame([r for p in rows for r in p], schema))
+    got = streams.known_of(spark, str(tmp_path / "log")).select(want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.where("normalized_name = 'bo'").first()["added_at_utc"] == "t0"
+
+
+def test_digest_windows_slide_and_drop_late_rows(spark, tmp_path):
+    schema = "status string, at timestamp"
+    for i, part in enumerate([[("L", at(hours=1)), ("L", at(hours=13))], [("P", at(hours=80))], [("L", at(hours=2)), ("P", at(hours=81))]]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        counts = streams.stream_digest(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "at", "24 hours", "12 hours", "1 hour")
+        counts.writeStream.outputMode("append").format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    got = {(r["starts"], r["status"]): r["n"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {(at(hours=-12), "L"): 1, (at(), "L"): 2, (at(hours=12), "L"): 1}  # the row of hour 2 came after its windows closed
+
+
+def test_report_of_an_empty_section(spark, tmp_path):
+    rows = [("Ann", "LIKELY_NOTABLE", 2, "t", ["u1", ""], 0, 1), ("Ann", "LIKELY_NOTABLE", 3, "t2", ["u2"], 0, 2), ("Bo", "LIKELY_NOTABLE", 1, None, None, 0, 3), ("Cy", "NOT_NOTABLE", 9, "t", [], 0, 4)]
+    frame = spark.createDataFrame(rows, "subject_name string, gate4b_status string, confirmed_count int, source_article string, source_urls array<string>, second_pass_confirmed_count int, seq int")
+    lines = pipelines.run_report(frame, str(tmp_path / "d")).orderBy("section", "line_no").collect()
+    assert [(r["section"], r["line_no"], r["line"]) for r in lines] == [("LIKELY_NOTABLE", i + 1, x) for i, x in enumerate(["- Ann", "  t2", "    u2", "- Bo", "  (untitled)"])] + [("POSSIBLY_NOTABLE", 1, "- None")]
+    assert spark.read.json(str(tmp_path / "d" / "head")).first().asDict() == {"likely_notable_count": 2, "possibly_notable_count": 0}
