@@ -31,17 +31,29 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Short forms of public licence notices by family.
+from newsloom.llm import scratch
+
+#: Sentences of public licence notices by family.
 TEMPLATES = (
     ("apache-2.0", "licensed under the apache license version 2.0"),
     ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
+    ("apache-2.0", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
     ("gpl-3.0", "this work is licensed under the gnu general public license version 3"),
     ("gpl-3.0", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("lgpl-3.0", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license"),
+    ("agpl-3.0", "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license version 2.0"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
     ("cc-by-nc", "licensed under cc by nc 4.0"),
     ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial license"),
+    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4.0 international license"),
     ("cc-by", "this work is licensed under a creative commons attribution 4.0 international license"),
     ("proprietary", "all rights reserved"),
     ("proprietary", "copyright all rights reserved no part of this publication may be reproduced"),
@@ -56,6 +68,12 @@ ORDINARY = (
     "the apache people of the south",
     "a copy of the book is at the library",
     "version 3 of the game is free of charge",
+    "the court held that the license was granted subject to conditions that were not met",
+    "the parties agree that any use of the name of the holder without permission is a breach of this contract",
+    "the author has waived the fee for the public reading of the work",
+    "redistribution of land in the following conditions was permitted by law",
+    "the holder of a fishing license may not sell the fish that are caught under it",
+    "permission to build was granted by the council free of charge to any person who asked",
 )
 FAMILIES = tuple(dict.fromkeys(f for f, _ in TEMPLATES))
 #: Rows of the corpus that the model's ordinary class is fitted on, about.
@@ -131,7 +149,7 @@ def _ordinary(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     texts = docs.where(F.col(text_col).isNotNull())
     share = MAX_ORDINARY / max(1, texts.count())
     chance = F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 30))
-    rows = texts.where(chance < int(min(1.0, share) * (1 << 30))).limit(2 * MAX_ORDINARY).select(text_col)
+    rows = texts.where(chance < int(min(1.0, share) * (1 << 30))).orderBy(chance, F.md5(text_col)).limit(2 * MAX_ORDINARY).select(text_col)
     found = units(rows, text_col, with_cue=False).groupBy("key").agg(F.min_by("words", F.xxhash64("words")).alias("a"), F.max_by("words", F.xxhash64("words")).alias("b"))
     found = found.select(F.explode(F.array_distinct(F.array("a", "b"))).alias("words"))
     near = F.lit(False)
@@ -147,28 +165,28 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     spark = docs.sparkSession
     known = _templates(spark).select("class", "words")
     variants = known.select("class", "words", F.explode(F.sequence(F.lit(0), F.size("words"))).alias("out")).select("class", F.filter("words", lambda w, i: i != F.col("out")).alias("words"))
+    variants = variants.join(known.select(F.col("class").alias("__other"), "words"), "words", "left").where("__other IS NULL OR __other = class").select("class", "words")  # what is another family's notice in full
     odd = spark.createDataFrame([(t,) for t in ORDINARY], "text string").select(_words(F.col("text")).alias("words"))
     held = F.pmod(F.xxhash64(F.array_join("words", " ")), F.lit(4)) == 0
-    plain = _ordinary(docs, id_col, text_col).unionByName(odd).withColumn("held", held).cache()
+    plain = scratch.table(_ordinary(docs, id_col, text_col).unionByName(odd).withColumn("held", held), "ordinary-units")
     # a few variants meet an ordinary unit of the same bucket and are set into its middle
     bucket = F.pmod(F.xxhash64("words"), F.lit(256))
     around = plain.where(~F.col("held")).select(bucket.alias("bucket"), F.col("words").alias("context"))
     half = F.floor(F.least(F.size("context"), F.lit(UNIT) - F.size("words")) / 2).cast("int")
     inside = variants.withColumn("bucket", bucket).join(around, "bucket").select("class", F.concat(F.slice("context", F.lit(1), half), F.col("words"), F.slice("context", half + 1, half)).alias("words"))
     rows = variants.unionByName(inside).withColumn("held", F.lit(False)).unionByName(plain.withColumn("class", F.lit(len(FAMILIES))))
-    rows = _vectors(rows.withColumn("class", F.col("class").cast("double"))).coalesce(2).cache()
+    rows = _vectors(scratch.table(rows.withColumn("class", F.col("class").cast("double")), "licence-rows").coalesce(2)).cache()  # recomputed from a table if lost
     model = LogisticRegression(featuresCol="features", labelCol="class", family="multinomial", regParam=1e-3, maxIter=30).fit(rows.where(~F.col("held")))
     top = F.array_max(F.slice(vector_to_array("probability"), 1, len(FAMILIES)))
     bar = model.transform(rows.where(F.col("held"))).agg(F.coalesce(F.max(top), F.lit(0.0)).alias("bar")).first()["bar"]
     rows.unpersist()
-    plain.unpersist()
     return model, max(0.5, bar)
 
 
-def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``licences`` (confirmed families, sorted), ``n_licence_paragraphs`` and ``licence_score``."""
+def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", trained: tuple[LogisticRegressionModel, float] | None = None) -> DataFrame:
+    """``docs`` with ``licences`` (confirmed families, sorted), ``n_licence_paragraphs`` and ``licence_score``; trained on ``docs`` unless given."""
     docs = docs.drop(*RESULTS)
-    model, bar = train(docs, id_col, text_col)
+    model, bar = trained or train(docs, id_col, text_col)
     scored = model.transform(_vectors(units(docs, text_col)))
     chances = F.slice(vector_to_array("probability"), 1, len(FAMILIES))
     scored = scored.select("key", "number", "words", F.array_max(chances).alias("score"), (F.array_position(chances, F.array_max(chances)) - 1).cast("int").alias("class"))
