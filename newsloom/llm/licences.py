@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm import scratch
+from newsloom.sources import readers
 
 #: Sentences of public licence notices by family.
 TEMPLATES = (
@@ -199,5 +200,5 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def op2_licence_scan(spark, sf_dir: str) -> DataFrame:
-    out = scan_licences(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    out = scan_licences(readers.spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))
     return out.select("doc_id", F.array_join("licences", ",").alias("licences"), "n_licence_paragraphs", F.round("licence_score", 4).alias("licence_score"))
