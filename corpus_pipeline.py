@@ -78,6 +78,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = scratch.table(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    for at, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, scratch.table(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if at:
+            scratch.discard(before)  # the kept rows are written, nothing reads it again
     return STAGES[-1][1](spark, docs, sf_dir)
