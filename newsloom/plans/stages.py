@@ -128,6 +128,15 @@ _add("stage_metrics", lambda s, d: writers.write_counted(base.trial(s, d), share
 _add("stage_counts", lambda s, d: rollups.stage_counts(trials=(base.trial(s, d), F.col("seq") >= 500), documents=(base.doc(s, d), F.col("priority").isNull()), pages=(base.art(s, d), None)), f"WITH {base.TRIAL}, {base.DOC}, {base.ART} SELECT 'trials' AS stage, count(*) AS rows, count(*) FILTER (WHERE seq >= 500) AS new_rows FROM trial UNION ALL SELECT 'documents', count(*), count(*) FILTER (WHERE priority IS NULL) FROM doc UNION ALL SELECT 'pages', count(*), count(*) FROM art")
 
 
+def title_rows(d: DataFrame) -> DataFrame:
+    """Every line of a document as an entry of its own, about as long as a feed's titles."""
+    return readers.spread(d.select("doc_id", "text")).select("doc_id", F.explode(F.split("text", "\n")).alias("entry_title"), F.lit("").alias("summary"))
+
+
+_TITLES = base.CLASSIFIED.replace(base.DOC, "doc AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS entry_title, '' AS summary FROM documents)")
+_add("prefilter_titles", lambda s, d: rollups.code_counts(text.classify_event(title_rows(base._t(s, d, "documents"))), F.col("prefilter_reason_codes")), f"WITH {_TITLES} SELECT reason AS code, count(*) AS n FROM r GROUP BY reason")
+
+
 # --- S7, E1, A3, U5: one feed of many items for each host
 
 _DATED = "DATE '2024-01-01' + CAST(page_id % 300 AS INT)"
