@@ -117,30 +117,34 @@ def keyword_filter(events: DataFrame, pattern: str) -> DataFrame:
 
 def has_obit_signal(title: Column, summary: Column) -> Column:
     text = F.lower(F.concat(F.lit(" "), blank(title), F.lit(" "), blank(summary), F.lit(" ")))
-    return F.exists(F.array(*map(F.lit, OBITUARY_SIGNALS)), lambda p: F.contains(text, p)) & (title.isNotNull() | summary.isNotNull())
+    found = bind(text, lambda t: F.exists(F.array(*map(F.lit, OBITUARY_SIGNALS)), lambda p: F.contains(t, p)))
+    return found & (title.isNotNull() | summary.isNotNull())
 
 
 def context_terms(title: Column, tokens: Column) -> Column:
-    """The first two distinct telling words of a title, joined; empty if there are none."""
-    own = F.transform(tokens, F.lower)
-    words = F.filter(F.regexp_extract_all(blank(title), F.lit(r"([A-Za-z0-9]+)"), F.lit(1)), lambda w: (F.length(w) >= 3) & ~F.lower(w).isin(*STOP_WORDS) & ~F.array_contains(own, F.lower(w)))
-    lowered = F.transform(words, F.lower)
-    first = F.filter(words, lambda w, i: F.array_position(lowered, F.lower(w)) == i + 1)
-    return F.array_join(F.slice(first, 1, 2), " ")
+    """The first two distinct telling words of a title, joined; empty if there are none.  Linear in the title's words."""
+    telling = lambda own: F.filter(F.regexp_extract_all(blank(title), F.lit(r"([A-Za-z0-9]+)"), F.lit(1)), lambda w: (F.length(w) >= 3) & ~F.lower(w).isin(*STOP_WORDS) & ~F.array_contains(own, F.lower(w)))
+    first = lambda words, low: F.transform(F.slice(F.array_distinct(low), 1, 2), lambda x: F.get(words, (F.array_position(low, x) - 1).cast("int")))
+    words = bind(F.transform(tokens, lambda t: F.lower(t)), telling)
+    return F.array_join(bind(words, lambda ws: bind(F.transform(ws, lambda w: F.lower(w)), lambda low: first(ws, low))), " ")
 
 
 def coverage_queries(name: Column, title: Column, summary: Column) -> Column:
     """Searches for one subject, in order and distinct."""
-    name = squeeze(name)
-    tokens, signal = name_tokens(name), has_obit_signal(title, summary)
     quoted = lambda x: F.concat(F.lit('"'), x, F.lit('"'))
-    short = F.concat(F.element_at(tokens, 1), F.lit(" "), F.element_at(tokens, -1))
-    long, context = F.size(tokens) >= 3, context_terms(title, tokens)
-    out = F.array(
-        quoted(name), F.when(signal, F.concat(quoted(name), F.lit(" obituary"))), F.when(long, quoted(short)), F.when(long, short),
-        F.when(long & signal, F.concat(quoted(short), F.lit(" obituary"))), F.when(long & (context != ""), F.concat(quoted(short), F.lit(" "), context)),
-    )
-    return F.when(name == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.array_compact(out)))
+
+    def queries(x: Column) -> Column:
+        name, signal, context, long = x["name"], x["signal"], x["context"], F.size(x["tokens"]) >= 3
+        short = F.concat(F.element_at(x["tokens"], 1), F.lit(" "), F.element_at(x["tokens"], -1))
+        out = F.array(
+            quoted(name), F.when(signal, F.concat(quoted(name), F.lit(" obituary"))), F.when(long, quoted(short)), F.when(long, short),
+            F.when(long & signal, F.concat(quoted(short), F.lit(" obituary"))), F.when(long & (context != ""), F.concat(quoted(short), F.lit(" "), context)),
+        )
+        return F.when(name == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.array_compact(out)))
+
+    parts = lambda x: F.struct(x["name"].alias("name"), x["tokens"].alias("tokens"), has_obit_signal(title, summary).alias("signal"), F.when(F.size(x["tokens"]) >= 3, context_terms(title, x["tokens"])).otherwise("").alias("context"))
+    named = bind(squeeze(name), lambda n: F.struct(n.alias("name"), name_tokens(n).alias("tokens")))
+    return bind(bind(named, parts), queries)
 
 
 def normalize_category(category: Column) -> Column:

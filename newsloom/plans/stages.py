@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom import schemas
-from newsloom.functions import specs, text, urls
+from newsloom.functions import names, specs, text, urls
 from newsloom.operators import existence, ordered, records, rollups
 from newsloom.plans import pipelines
 from newsloom.plans import registry as base
@@ -359,6 +359,44 @@ FROM g LEFT JOIN o ON o.event_id = g.event_id LEFT JOIN s ON s.event_id = g.even
 )
 
 
+# --- P16, P17, P18, P19: spellings of names, and searches of long and short names with and without a signal
+
+_SPELLED = "CASE c_custkey % 6 WHEN 0 THEN 'Dr. Ann  B' || c WHEN 1 THEN 'Lee' || c || ', Bob Ann' WHEN 2 THEN 'José B' || c || ' (poet)' WHEN 3 THEN 'Bob B' || c WHEN 4 THEN 'Sir' ELSE 'Ann' || c || ' Lee' END"
+_NICKS = (("bob", "robert"), ("rob", "robert"), ("ann", "anna"))
+
+
+def name_spellings(spark, sf):
+    rows = base._t(spark, sf, "customer").withColumn("c", F.col("c_custkey").cast("string")).select("c_custkey", F.expr(_SPELLED).alias("name"))
+    named = names.expand_nicknames(rows, spark.createDataFrame(list(_NICKS), "nick string, formal string"))
+    return named.select("c_custkey", F.array_join(names.name_variants(F.col("name"), F.col("nicknames")), "|").alias("variants"))
+
+
+_ORDERED = "list_filter({0}, lambda e, i: e IS NOT NULL AND e <> '' AND list_position({0}, e) = i)"
+_add("name_spellings", name_spellings, f"""WITH s AS (SELECT c_custkey, {_SPELLED} AS name FROM (SELECT c_custkey, CAST(c_custkey AS VARCHAR) AS c FROM customer)),
+d AS (SELECT unnest({[n for n, _ in _NICKS]}) AS nick, unnest({[f for _, f in _NICKS]}) AS formal),
+b AS (SELECT c_custkey, name, trim(regexp_replace(regexp_replace(name, '[(][^)]*[)]', ' ', 'g'), '\\s+', ' ', 'g')) AS b FROM s),
+k AS (SELECT c_custkey, list(upper(t[1]) || substr(t, 2) || regexp_replace(name, '^[^ ]+', '') ORDER BY side, t) AS ks FROM (
+  SELECT DISTINCT c_custkey, name, 0 AS side, formal AS t FROM b JOIN d ON lower(split_part(name, ' ', 1)) = nick UNION SELECT c_custkey, name, 1, nick FROM b JOIN d ON lower(split_part(name, ' ', 1)) = formal) GROUP BY c_custkey),
+v AS (SELECT b.c_custkey, list_concat([b, CASE WHEN regexp_replace(lower(split_part(b, ' ', 1)), '^[.]+|[.]+$', '', 'g') IN {names.HONORIFICS} AND contains(b, ' ') THEN substr(b, instr(b, ' ') + 1) END,
+  CASE WHEN contains(b, ',') THEN trim(trim(regexp_replace(b, '^[^,]*,', '')) || ' ' || trim(split_part(b, ',', 1))) END, regexp_replace(b, '[^\x00-\x7F]', '', 'g')], coalesce(ks, [])) AS v FROM b LEFT JOIN k ON k.c_custkey = b.c_custkey)
+SELECT c_custkey, array_to_string({_ORDERED.format('v')}, '|') AS variants FROM v""")
+
+_SUBJECT = "CASE doc_id % 3 WHEN 0 THEN 'Ann Lee' WHEN 1 THEN 'Ann Bea Lee' ELSE ' Juan  de la Cruz ' END"
+
+
+def coverage_spellings(spark, sf):
+    rows = base.doc(spark, sf).select("doc_id", F.expr(_SUBJECT).alias("name"), "entry_title", F.when(F.col("doc_id") % 4 == 0, F.concat("summary", F.lit(" who died"))).otherwise(F.col("summary")).alias("summary"))
+    return rows.select("doc_id", F.array_join(text.coverage_queries(F.col("name"), F.col("entry_title"), F.col("summary")), "|").alias("queries"))
+
+
+_add("coverage_spellings", coverage_spellings, f"""WITH {base.DOC}, a AS (SELECT doc_id, trim(regexp_replace({_SUBJECT}, '\\s+', ' ', 'g')) AS name, coalesce(entry_title, '') AS title, coalesce(summary, '') || CASE WHEN doc_id % 4 = 0 THEN ' who died' ELSE '' END AS summary FROM doc),
+t AS (SELECT *, string_split(name, ' ') AS own, list_filter(regexp_extract_all(title, '[A-Za-z0-9]+'), lambda w: length(w) >= 3 AND lower(w) NOT IN {text.STOP_WORDS} AND NOT list_contains(list_transform(string_split(name, ' '), lambda z: lower(z)), lower(w))) AS words FROM a),
+c AS (SELECT *, list_transform(words, lambda w: lower(w)) AS low, {" OR ".join(f"contains(lower(' ' || title || ' ' || summary || ' '), '{p}')" for p in text.OBITUARY_SIGNALS)} AS signal FROM t),
+x AS (SELECT *, array_to_string(list_slice(list_filter(words, lambda w, i: list_position(low, lower(w)) = i), 1, 2), ' ') AS context, own[1] || ' ' || own[-1] AS short, len(own) >= 3 AS long FROM c),
+q AS (SELECT doc_id, ['"' || name || '"', CASE WHEN signal THEN '"' || name || '" obituary' END, CASE WHEN long THEN '"' || short || '"' END, CASE WHEN long THEN short END, CASE WHEN long AND signal THEN '"' || short || '" obituary' END, CASE WHEN long AND context <> '' THEN '"' || short || '" ' || context END] AS v FROM x)
+SELECT doc_id, array_to_string({_ORDERED.format('v')}, '|') AS queries FROM q""")
+
+
 # --- P29, U4, K6: capped texts, inserts of new keys, report lines numbered across the section
 
 
