@@ -32,7 +32,7 @@ WIDTH = 2048
 VOCABULARY = "word_bpe_49k.json"
 #: Words, and pieces of words, that a Python worker notes before its older notes go, some 500 bytes for each word.
 #: Fewer take less memory and more time; the ids are the same.
-MEMO = 350_000
+MEMO = 500_000
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, rank bigint"
 
 
