@@ -142,8 +142,14 @@ _add("prefilter_titles", lambda s, d: rollups.code_counts(text.classify_event(ti
 _DATED = "DATE '2024-01-01' + CAST(page_id % 300 AS INT)"
 
 
+#: Page ids that one feed document covers.
+ITEMS = 1000
+
+
 def _feed_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """(feed_url, body): RSS with Dublin Core, or Atom, by the host's length; every eleventh item lacks its link, some hosts' documents are cut off."""
+    """(feed_url, body, first): RSS with Dublin Core, or Atom, by the host's length; every eleventh item lacks its link, some hosts' documents are cut off.
+
+    A host's pages are one feed, in documents of ``ITEMS`` page ids each, so that none grows with the host."""
     esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     a = base.art(spark, sf).withColumn("day", F.date_format(F.expr(_DATED), "yyyy-MM-dd")).withColumn("t", esc(F.col("title"))).withColumn("u", F.when(F.col("page_id") % 11 > 0, esc(F.col("url"))))
     id_ = F.col("page_id").cast("string")
@@ -151,13 +157,14 @@ def _feed_documents(spark: SparkSession, sf: str) -> DataFrame:
     author = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("<author><name>N "), id_, F.lit("</name></author>"))).otherwise(F.concat(F.lit("<dc:creator>C "), id_, F.lit("</dc:creator>")))
     rss = F.concat(F.lit("<item><title>"), "t", F.lit("</title>"), F.coalesce(F.concat(F.lit("<link>"), "u", F.lit("</link>")), F.lit("")), date, author, F.lit("</item>"))
     atom = F.concat(F.lit('<entry><title type="text">'), "t", F.lit("</title>"), F.coalesce(F.concat(F.lit('<link rel="self" href="https://self.example/"/><link href="'), "u", F.lit('"/>')), F.lit("")), date, author, F.lit("</entry>"))
-    items = a.select("feed", "page_id", F.when(F.length("feed") % 2 == 0, atom).otherwise(rss).alias("item"))
-    listed = items.groupBy("feed").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", "item"))), lambda x: x["item"]), "").alias("items"))  # a host's pages are one feed document
+    first = F.floor(F.col("page_id") / ITEMS) * ITEMS
+    items = a.select("feed", first.alias("first"), "page_id", F.when(F.length("feed") % 2 == 0, atom).otherwise(rss).alias("item"))
+    listed = items.groupBy("feed", "first").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", "item"))), lambda x: x["item"]), "").alias("items"))
     dc = ' xmlns:dc="http://purl.org/dc/elements/1.1/"'
     rss = F.concat(F.lit(f"<?xml version='1.0'?><rss{dc}><channel><title>c</title>"), "items", F.lit("</channel></rss>"))
     atom = F.concat(F.lit(f'<feed xmlns="http://www.w3.org/2005/Atom"{dc}><title>c</title>'), "items", F.lit("</feed>"))
     body = F.when(F.length("feed") % 2 == 0, atom).otherwise(rss)
-    return listed.select(F.col("feed").alias("feed_url"), F.when(F.length("feed") % 7 == 0, F.expr("substring(items, 1, 20)")).otherwise(body).alias("body"))
+    return listed.select(F.col("feed").alias("feed_url"), F.when(F.length("feed") % 7 == 0, F.expr("substring(items, 1, 20)")).otherwise(body).alias("body"), "first")
 
 
 _add(
@@ -168,12 +175,12 @@ CASE WHEN page_id % 3 > 0 THEN strftime({_DATED}, '%Y-%m-%d') || 'T00:00:00Z' EL
 
 
 def _fetches(spark: SparkSession, sf: str) -> DataFrame:
-    """A fetch of each feed; every fifth by length was not modified, every ninth failed."""
+    """A fetch of each feed's documents; every fifth feed by length was not modified, every ninth failed."""
     n = F.length("feed_url")
     error = F.when(n % 9 == 0, F.lit("timeout"))
     docs = _feed_documents(spark, sf).withColumn("error", error).withColumn("not_modified", n % 5 == 0)
     return docs.withColumn("body", F.when(F.col("error").isNull(), F.col("body"))).select(
-        "feed_url", "body", "not_modified", "error", F.md5("feed_url").alias("etag"), F.lit(None).cast("string").alias("last_modified"), F.col("feed_url").alias("resolved_url"), F.lit(200).alias("last_status"),
+        "feed_url", "body", "first", "not_modified", "error", F.md5("feed_url").alias("etag"), F.lit(None).cast("string").alias("last_modified"), F.col("feed_url").alias("resolved_url"), F.lit(200).alias("last_status"),
         F.lit("2024-06-01").cast("timestamp").alias("last_fetch_at"), F.col("error").alias("last_error"),
     )
 

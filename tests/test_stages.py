@@ -10,8 +10,8 @@ from newsloom import schemas
 from newsloom.functions import specs
 from newsloom.functions.text import looks_like_person
 from newsloom.operators import existence, records, rollups
-from newsloom.plans import pipelines
-from newsloom.sources import writers
+from newsloom.plans import pipelines, stages
+from newsloom.sources import readers, writers
 from newsloom.streaming import streams
 
 T0 = dt.datetime(2024, 1, 1)
@@ -124,6 +124,24 @@ def test_ingest_run_and_its_counters(spark):
     assert {r["feed_url"]: r["etag"] for r in run.fetch_state.collect()} == {**{f"f{i}": f"tagf{i}" for i in range(1, 6)}, "f9": "kept"}
 
 
+def test_a_feed_of_several_documents(spark, tmp_path, monkeypatch):
+    """A long feed comes in documents, which are one feed; a page that one of them repeats is an entry once, from its first place."""
+    item = lambda n, date: f"<item><title>T</title><link>https://a.org/{n}</link><pubDate>{date}</pubDate></item>"
+    rss = lambda *items: f"<rss><channel>{''.join(items)}</channel></rss>"
+    rows = [("f1", rss(item(9, "2024-01-09"), item(1, "2024-01-03")), 2, None), ("f1", rss(item(1, "2024-01-01"), item(2, "2024-01-02")), 0, None), ("f2", rss(item(3, "2024-01-01")), 0, None), ("f2", "<rss", 1, None), ("f3", None, 0, "timeout"), ("f3", rss(), 1, None)]
+    fetches = spark.createDataFrame([(u, b, n, None, e, None, None, u, 200, at(hours=1), e) for u, b, n, e in rows], "feed_url string, body string, first long, not_modified boolean, error string, etag string, last_modified string, resolved_url string, last_status int, last_fetch_at timestamp, last_error string")
+    run = pipelines.ingest_run(fetches, spark.createDataFrame([], "url_key string"))
+    assert sorted((r["entry_url_canonical"][-1], r["at"], r["published_at_utc"][:10]) for r in run.events.collect()) == [("1", 0, "2024-01-01"), ("2", 1, "2024-01-02"), ("3", 0, "2024-01-01"), ("9", 2, "2024-01-09")]
+    got = run.stats.first().asDict()
+    assert (got["feeds_total"], got["feeds_succeeded"], got["feeds_failed"], got["entries_parsed"], got["duplicates_skipped"]) == (3, 1, 2, 5, 1)
+    pages = [(n, f"https://h.example/{n}", "<title>t</title>") for n in range(0, 50, 2)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    monkeypatch.setattr(stages, "ITEMS", 10)
+    docs = stages._feed_documents(spark, str(tmp_path)).collect()
+    assert sorted((r["feed_url"], r["first"]) for r in docs) == [("h.example", n) for n in range(0, 50, 10)]
+    assert readers.parse_feeds(stages._feed_documents(spark, str(tmp_path))).count() == 22  # every eleventh page has no link
+
+
 def test_digest_document(spark, tmp_path):
     manifests = spark.createDataFrame([("r1", at(hours=1), at(hours=2)), ("r2", at(hours=30), at(hours=31))], "run_id string, started_at timestamp, finished_at timestamp")
     summaries = spark.createDataFrame([("r1", at(hours=2)), ("r2", at(hours=31)), ("r9", at(hours=32))], "run_id string, generated_at timestamp")
