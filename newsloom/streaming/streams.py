@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -75,42 +76,53 @@ def stream_digest(trials: DataFrame, at: str, window: str = "24 hours", slide: s
 
 
 _FETCH = [f.split()[0] for f in schemas.FETCH_STATE.split(", ")]
+#: Groups of feeds whose states are kept together: a call of Python costs as much as hundreds of rows.
+GROUPS = 4096
+_STATE = pa.schema([(f.split()[0], pa.int32() if f.endswith(" INT") else pa.string()) if not f.endswith(" TIMESTAMP") else ("at", pa.int64()) for f in schemas.FETCH_STATE.split(", ")])
 
 
 def stream_fetch_state(fetches: DataFrame, horizon_s: int, late: str = "0 seconds") -> DataFrame:
     """A log of the feeds' state: a row where a feed was fetched anew, and one with ``expired`` once it is forgotten.
 
-    fetches: the columns of ``schemas.FETCH_STATE``.  Spark keeps a feed's last fetch as keyed state, which is
-    dropped when the watermark passes that fetch by the horizon; ``fetch_state_of`` reads the log."""
-
-    def update(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = tuple(state.get) if state.exists else None
-        if state.hasTimedOut:
+    fetches: the columns of ``schemas.FETCH_STATE``.  Spark keeps the feeds' last fetches as keyed state, a table of
+    feeds for each of ``GROUPS`` hashes; a feed is dropped when the watermark passes its fetch by the horizon.  Of
+    fetches at one time the later batch's counts, then the larger hash, as in ``rollups.fetch_state``.  A batch
+    writes the groups that it touches anew.  ``fetch_state_of`` reads the log."""
+    kinds = {"last_status": "Int32", "at": "int64"}
+    fields = ["at" if c == "last_fetch_at" else c for c in _FETCH]
+
+    def update(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        known = pa.ipc.open_file(state.get[0]).read_all().to_pandas().astype(kinds) if state.exists else None
+        held, fresh = known, set()
+        if not state.hasTimedOut:
+            held = known.assign(new=0, tie=0) if known is not None else None
+            for rows in frames:
+                fresh.update(rows["feed_url"])
+                rows = rows[[*fields, "tie"]].astype(kinds).assign(new=1)
+                held = rows if held is None else pd.concat([held, rows])
+                held = held.sort_values(["at", "new", "tie"]).drop_duplicates("feed_url", keep="last")
+        held = held[fields]
+        gone = held["at"] // 1000 + horizon_s * 1000 <= state.getCurrentWatermarkMs()
+        kept = held[~gone]
+        if len(kept):
+            table = pa.Table.from_pandas(kept, schema=_STATE, preserve_index=False)
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_file(out, _STATE, options=pa.ipc.IpcWriteOptions(compression="zstd")) as file:
+                file.write_table(table)
+            state.update((out.getvalue().to_pybytes(),))
+            state.setTimeoutTimestamp(int(kept["at"].min() // 1000 + horizon_s * 1000))
+        elif state.exists:
             state.remove()
-            yield frame(key, last, True)
-            return
-        for rows in frames:
-            for row in rows[_FETCH[1:]].itertuples(index=False, name=None):
-                row = (*(None if pd.isna(v) else v for v in row[:-2]), int(row[-2].timestamp() * 1_000_000), None if pd.isna(row[-1]) else row[-1])
-                if last is None or row[-2] >= last[-2]:
-                    last = row
-        ends = last[-2] // 1000 + horizon_s * 1000
-        gone = ends <= state.getCurrentWatermarkMs()
-        if gone:
-            if state.exists:
-                state.remove()
-        else:
-            state.update(last)
-            state.setTimeoutTimestamp(ends)
-        yield frame(key, last, gone)
-
-    def frame(key, last, expired: bool) -> pd.DataFrame:
-        out = pd.DataFrame([(*key, *last[:-2], pd.Timestamp(last[-2], unit="us"), last[-1], expired)], columns=[*_FETCH, "expired"])
-        return out.astype({"last_status": "Int32"})
-
-    kept = schemas.FETCH_STATE.split(", ", 1)[1].replace("last_fetch_at TIMESTAMP", "last_fetch_at BIGINT")
+        told = held.assign(expired=gone)
+        yield told[gone | told["feed_url"].isin(fresh)]
+
+    at = F.unix_micros(F.col("last_fetch_at")).alias("at")
     rows = fetches.select(_FETCH).where("feed_url IS NOT NULL AND last_fetch_at IS NOT NULL").withWatermark("last_fetch_at", late)
-    return rows.groupBy("feed_url").applyInPandasWithState(update, schemas.FETCH_STATE + ", expired BOOLEAN", kept, "append", GroupStateTimeout.EventTimeTimeout)
+    group = F.pmod(F.xxhash64("feed_url"), F.lit(GROUPS)).alias("group")
+    rows = rows.select(group, "last_fetch_at", *(at if c == "last_fetch_at" else c for c in _FETCH), F.xxhash64(*_FETCH).alias("tie"))
+    told = schemas.FETCH_STATE.replace("last_fetch_at TIMESTAMP", "at BIGINT") + ", expired BOOLEAN"
+    log = rows.groupBy("group").applyInPandasWithState(update, told, "feeds BINARY", "append", GroupStateTimeout.EventTimeTimeout)
+    return log.select(*(F.timestamp_micros("at").alias(c) if c == "last_fetch_at" else c for c in _FETCH), "expired")
 
 
 def fetch_state_of(log: DataFrame) -> DataFrame:

@@ -198,6 +198,24 @@ def test_fetch_state_of_stream_and_batch(spark, tmp_path):
     assert {(r["feed_url"], r["etag"]) for r in rollups.fetch_state(everything).collect()} == {("a", "3"), ("b", "1"), ("c", "2")}
 
 
+def test_fetch_state_of_many_feeds_in_groups(spark, tmp_path, monkeypatch):
+    """Feeds share groups, so the state has fewer rows than feeds; of equal times one row counts, as in the batch form; times keep their microseconds."""
+    monkeypatch.setattr(streams, "GROUPS", 2, raising=False)
+    parts = [[(f"f{i}", str(i), at(seconds=i, microseconds=i)) for i in range(60)] + [("f3", x, at(seconds=3, microseconds=3)) for x in "pqr"], [(f"f{i}", "new", at(hours=9, seconds=i, microseconds=457)) for i in range(0, 60, 7)], [("f59", "newest", at(hours=10, seconds=30, milliseconds=500))]]
+    frame = lambda rows: spark.createDataFrame([(u, e, None, None, None if e == "q" else 200, t, None) for u, e, t in rows], schemas.FETCH_STATE).coalesce(1)
+    for rows in parts:
+        frame(rows).write.mode("append").parquet(str(tmp_path / "in"))
+        log = streams.stream_fetch_state(spark.readStream.schema(schemas.FETCH_STATE).parquet(str(tmp_path / "in")), 10 * 3600)
+        query = log.writeStream.format("parquet").option("path", str(tmp_path / "log")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        assert sum(o["numRowsTotal"] for o in query.lastProgress["stateOperators"]) <= 2
+    got = {tuple(r) for r in streams.fetch_state_of(spark.read.parquet(str(tmp_path / "log"))).collect()}
+    want = rollups.fetch_state(frame([r for p in parts for r in p]), horizon="10 hours")
+    assert got == {tuple(r) for r in want.collect()} and 9 < len(got) < 40
+    expired = [r["feed_url"] for r in spark.read.parquet(str(tmp_path / "log")).where("expired").collect()]
+    assert len(expired) == len(set(expired)) == 60 - len(got)
+
+
 def test_records_of_nothing(spark):
     rows = spark.createDataFrame([], "event_id string, rank int, title string")
     sets = records.nested(rows, ["event_id"], ["rank"], ["rank", "title"], "found")
