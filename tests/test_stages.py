@@ -142,6 +142,19 @@ def test_a_feed_of_several_documents(spark, tmp_path, monkeypatch):
     assert readers.parse_feeds(stages._feed_documents(spark, str(tmp_path))).count() == 22  # every eleventh page has no link
 
 
+def test_fetches_are_made_once(spark, tmp_path):
+    """Counters and states read what the run kept, not what fetches are made from."""
+    rows = [("f1", "<rss><channel><item><title>T</title><link>https://a.org/1</link></item></channel></rss>"), ("f2", "<rss")]
+    columns = [F.lit(None).cast("string").alias(c) for c in ("error", "etag", "last_modified", "last_error")]
+    spark.createDataFrame(rows, "feed_url string, body string").write.parquet(str(tmp_path / "made"))
+    made = spark.read.parquet(str(tmp_path / "made"))
+    fetches = made.select("*", *columns, F.lit(False).alias("not_modified"), F.col("feed_url").alias("resolved_url"), F.lit(200).alias("last_status"), F.lit("2024-06-01").cast("timestamp").alias("last_fetch_at"))
+    run = pipelines.ingest_run(fetches, spark.createDataFrame([], "url_key string"))
+    for table in (run.stats, run.fetch_state, run.events):
+        assert table.inputFiles() and not [f for f in table.inputFiles() if str(tmp_path) in f]
+    assert tuple(run.stats.first())[:3] == (2, 1, 1) and run.events.count() == 1 and run.fetch_state.count() == 2
+
+
 def test_digest_document(spark, tmp_path):
     manifests = spark.createDataFrame([("r1", at(hours=1), at(hours=2)), ("r2", at(hours=30), at(hours=31))], "run_id string, started_at timestamp, finished_at timestamp")
     summaries = spark.createDataFrame([("r1", at(hours=2)), ("r2", at(hours=31)), ("r9", at(hours=32))], "run_id string, generated_at timestamp")
