@@ -355,4 +355,4 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def op9_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
-    return similar_documents(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return similar_documents(scratch.given(spark, f"{sf_dir}/documents.parquet").select("doc_id", "text"))

@@ -92,3 +92,14 @@ def test_whole_pipeline_against_plain_stages(spark, tmp_path):
     want = {i for i, (_, c) in components.items() if c == i} - {1003}
     assert kept == want and 1001 not in kept and {1002, 1004, 1005} <= kept
     assert os.path.isdir(f"{at}/documents.parquet") and spark.read.parquet(f"{at}/documents.parquet").where(F.col("doc_id") == 1005).count() == 1
+
+
+def test_kept_tables_are_read_without_buffers_of_row_groups(spark):
+    """Buffers outside the heap that readers keep don't have a row group's size."""
+    wide = spark.range(0, 4_000_000, 1, 1).select(*(F.rand(i).alias(f"c{i}") for i in range(3)))  # 32 MB a column, one row group
+    table = scratch.table(wide, "wide")
+    beans = spark._jvm.java.lang.management.ManagementFactory.getPlatformMXBeans(spark._jvm.java.lang.Class.forName("java.lang.management.BufferPoolMXBean"))
+    direct = next(b for b in beans if b.getName() == "direct")
+    before = direct.getTotalCapacity()
+    table.agg(*(F.sum(c) for c in table.columns)).collect()
+    assert direct.getTotalCapacity() - before < 30_000_000
