@@ -217,7 +217,7 @@ def _in_scan(docs: DataFrame, items: DataFrame, keep: list[str], clean_only: boo
             yield out.filter(pc.invert(found[3])) if clean_only else out
 
     schema = T.StructType([*(docs.schema[c] for c in keep), *_RESULTS])
-    return docs.select(list(dict.fromkeys([*keep, text_col]))).mapInArrow(judge, schema)
+    return docs.select(list(dict.fromkeys([*keep, text_col]))).mapInArrow(tb.settled(judge), schema)
 
 
 def _prints(df: DataFrame, short: list[int], whole: bool) -> DataFrame:
@@ -232,7 +232,7 @@ def _prints(df: DataFrame, short: list[int], whole: bool) -> DataFrame:
                 take = pa.array(row + first)
                 yield pa.RecordBatch.from_arrays([ids.take(take), keys.take(take), pa.array(places - at[row]), pa.array(hashes.view(np.int64))], ["id", "key", "place", "hash"])
 
-    return df.mapInArrow(emit, T.StructType([df.schema["id"], df.schema["key"], T.StructField("place", T.LongType()), T.StructField("hash", T.LongType())]))
+    return df.mapInArrow(tb.settled(emit), T.StructType([df.schema["id"], df.schema["key"], T.StructField("place", T.LongType()), T.StructField("hash", T.LongType())]))
 
 
 def _by_join(docs: DataFrame, items: DataFrame, keep: list[str], id_col: str, text_col: str) -> DataFrame:
@@ -263,7 +263,7 @@ def _by_join(docs: DataFrame, items: DataFrame, keep: list[str], id_col: str, te
             spans = pa.array(out, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), batch.column("item"), spans], ["id", "key", "item", "spans"])
 
-    spans = pairs.select("id", "key", "text", "item", "item_text", "shifts").mapInArrow(extend, T.StructType([pairs.schema["id"], pairs.schema["key"], pairs.schema["item"], T.StructField("spans", T.ArrayType(T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])))]))
+    spans = pairs.select("id", "key", "text", "item", "item_text", "shifts").mapInArrow(tb.settled(extend), T.StructType([pairs.schema["id"], pairs.schema["key"], pairs.schema["item"], T.StructField("spans", T.ArrayType(T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])))]))
     spans = spans.where(F.size("spans") > 0).groupBy("id", "key").agg(F.array_sort(F.collect_set("item")).alias("items"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
     # the union's length: each span, sorted by start, adds what lies beyond the end so far
     union = F.aggregate("spans", F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("e")), lambda s, x: F.struct((s["n"] + F.greatest(F.lit(0), x["b"] - F.greatest(x["a"], s["e"]))).alias("n"), F.greatest(s["e"], x["b"]).alias("e")), lambda s: s["n"])

@@ -147,7 +147,7 @@ def cut(docs: DataFrame, vocabulary: str, width: int, id_col: str = "doc_id", te
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], [x.split()[0] for x in _PIECES.split(", ")])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(emit, _PIECES)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tb.trimmed(emit), _PIECES)
 
 
 def plan(counts: dict[int, int], width: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -202,7 +202,9 @@ def pack(docs: DataFrame, vocabulary: str, width: int = WIDTH, id_col: str = "do
     counts = {r["length"]: r["n"] for r in local.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most width rows
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     starts = local.select("part", "length", F.coalesce(before, F.lit(0)).alias("before"))
-    slots = spark.createDataFrame(plan(counts, width) or [], "length bigint, first bigint, end bigint, sequence bigint, per bigint, base bigint")
+    # as an Arrow table, since a list would start Python workers of another kind, which stay beside those of the operators
+    runs = np.array(plan(counts, width), np.int64).reshape(-1, 6)
+    slots = spark.createDataFrame(pa.table({c: runs[:, i] for i, c in enumerate(("length", "first", "end", "sequence", "per", "base"))}))
     ranked = pieces.join(starts, ["part", "length"]).withColumn("rank", F.col("rank") + F.col("before"))
     # the plan's size depends on the width alone
     placed = ranked.join(F.broadcast(slots), (ranked["length"] == slots["length"]) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end"))).drop(slots["length"])

@@ -101,7 +101,7 @@ def _frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["token"])
 
     sampled = docs.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0).select("text").dropDuplicates(["text"])
-    counts = sampled.mapInArrow(emit, "token bigint").groupBy("token").count().where("count >= 3")
+    counts = sampled.mapInArrow(tb.settled(emit), "token bigint").groupBy("token").count().where("count >= 3")
     top = counts.orderBy(F.desc("count"), "token").limit(MAX_FREQUENT).toPandas()  # at most MAX_FREQUENT rows
     tokens, n = top["token"].to_numpy(np.int64).view(np.uint64), top["count"].to_numpy(np.int64)
     order = np.argsort(tokens)
@@ -149,7 +149,7 @@ def _sketches(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], size: in
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(bands, longs), pa.array(own, pa.int64()), pa.array(rare, longs), pa.array(common, longs)], ["id", "n", "a", "b", "bands", "own", "rare", "common"])
 
-    return docs.mapInArrow(emit, "id bigint, n bigint, a bigint, b bigint, bands array<bigint>, own bigint, rare array<bigint>, common array<bigint>")
+    return docs.mapInArrow(tb.settled(emit), "id bigint, n bigint, a bigint, b bigint, bands array<bigint>, own bigint, rare array<bigint>, common array<bigint>")
 
 
 def _wanted_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -178,7 +178,7 @@ def _wanted_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sets, pa.binary())], ["id", "a", "b", "tokens"])
 
-    found = docs.where(F.col("id").isNotNull()).withColumn("p", place.cast("int")).mapInArrow(emit, "id bigint, a bigint, b bigint, tokens binary")
+    found = docs.where(F.col("id").isNotNull()).withColumn("p", place.cast("int")).mapInArrow(tb.settled(emit), "id bigint, a bigint, b bigint, tokens binary")
     found = found.join(wanted.select("id", "a", "b", "copies"), ["id", "a", "b"]).select("id", "copies", "tokens")
     return scratch.table(found.dropDuplicates(["id"]), "sets")
 
@@ -250,7 +250,7 @@ def _compare(blocks: DataFrame, sets: DataFrame) -> DataFrame:
                 yield batch_of(out)
         yield batch_of(totals())
 
-    return rows.select("group", "m", "q", "role", "id", "copies", "tokens").mapInArrow(emit, "u bigint, v bigint, links bigint")
+    return rows.select("group", "m", "q", "role", "id", "copies", "tokens").mapInArrow(tb.settled(emit), "u bigint, v bigint, links bigint")
 
 
 def _blocks(members: DataFrame, queries: DataFrame) -> DataFrame:
@@ -291,7 +291,7 @@ def _shared_tokens(rows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(t[out]), pa.array(v[out]), pa.array(w[out])], ["token", "id", "member"])
             held, gone = (t[-1:], v[-1:], w[-1:]), bool(many[-1])
 
-    return rows.repartition("token").sortWithinPartitions("token").mapInArrow(emit, "token bigint, id bigint, member boolean")
+    return rows.repartition("token").sortWithinPartitions("token").mapInArrow(tb.settled(emit), "token bigint, id bigint, member boolean")
 
 
 def _columns(held: DataFrame) -> DataFrame:

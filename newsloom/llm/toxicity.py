@@ -147,7 +147,7 @@ class KneserNey:
 
     def ratios(self, words: DataFrame, half: bool = False) -> DataFrame:
         """(hash, n, ratio) of (word, n) rows: log P(word | toxic) - log P(word | ordinary), times SCALE, by the model of fold 0 or of all."""
-        spelled = words.mapInArrow(_spell, "hash bigint, n bigint, gram bigint")
+        spelled = words.mapInArrow(tb.settled(_spell), "hash bigint, n bigint, gram bigint")
         classes = _CLASSES[:2] if half else _CLASSES[2:]
         tag = int(_TAG)
         one = lambda k: f"(gram & (shiftleft(1L, 8 * {k}) - 1))"
@@ -197,7 +197,7 @@ def _vocabulary(docs: DataFrame, text_col: str) -> DataFrame:
                 words = pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(at), pa.py_buffer(flat)])
                 yield pa.RecordBatch.from_arrays([words, pa.array(np.bincount(inverse, minlength=len(hashes)))], ["word", "n"])
 
-    return docs.select(text_col).mapInArrow(emit, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select(text_col).mapInArrow(tb.settled(emit), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 class _Scorer:
@@ -413,7 +413,7 @@ def _counts(rows: DataFrame) -> DataFrame:
                 keys, counts = count_grams(low, starts, ends, weights)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(counts[:, c]) for c in range(4))], ["gram", "t0", "o0", "t2", "o2"])
 
-    out = rows.mapInArrow(count, "gram bigint, t0 bigint, o0 bigint, t2 bigint, o2 bigint")
+    out = rows.mapInArrow(tb.settled(count), "gram bigint, t0 bigint, o0 bigint, t2 bigint, o2 bigint")
     return out.groupBy("gram").agg(*(F.sum(c).alias(c) for c in ("t0", "o0", "t2", "o2")))
 
 
