@@ -150,7 +150,7 @@ def _feed_documents(spark: SparkSession, sf: str) -> DataFrame:
     """(feed_url, body, first): RSS with Dublin Core, or Atom, by the host's length; every eleventh item lacks its link, some hosts' documents are cut off.
 
     A host's pages are one feed, in documents of ``ITEMS`` page ids each, so that none grows with the host."""
-    esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    esc = lambda c: F.replace(F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit("\r"), F.lit("&#13;"))
     a = base.art(spark, sf).withColumn("day", F.date_format(F.expr(_DATED), "yyyy-MM-dd")).withColumn("t", esc(F.col("title"))).withColumn("u", F.when(F.col("page_id") % 11 > 0, esc(F.col("url"))))
     id_ = F.col("page_id").cast("string")
     date = F.when(F.col("page_id") % 3 > 0, F.concat(F.lit("<dc:date>"), "day", F.lit("T00:00:00Z</dc:date>"))).otherwise(F.lit("<pubDate>soon</pubDate>"))
@@ -187,7 +187,7 @@ def _fetches(spark: SparkSession, sf: str) -> DataFrame:
 
 def _ingested(spark: SparkSession, sf: str) -> pipelines.Ingest:
     seen = base.art(spark, sf).where("page_id % 4 = 0").select(urls.url_key(urls.canonical_url(F.col("url"))).alias("url_key"))
-    return pipelines.ingest_run(_fetches(spark, sf), seen)
+    return pipelines.ingest_run(_fetches(spark, sf), seen, order=("feed_url", "entry_url_raw", "entry_title_raw"))
 
 
 _INGESTED = f"""{base.ART}, h AS (SELECT DISTINCT feed, length(feed) % 9 > 0 AND (length(feed) % 5 = 0 OR length(feed) % 7 > 0) AS ok, length(feed) % 5 = 0 AS same FROM art),

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,6 +143,22 @@ def test_a_feed_of_several_documents(spark, tmp_path, monkeypatch):
     assert readers.parse_feeds(stages._feed_documents(spark, str(tmp_path))).count() == 22  # every eleventh page has no link
 
 
+def test_entries_of_a_key_by_title_as_in_sql(spark, tmp_path):
+    """Entries of one address go by their titles as these stand in the page, white space and all, then by their place in the feed."""
+    pairs = [("a", " b"), ("b", "\tc"), ("", "a"), (" ", ""), ("(untitled)", " "), ("e\n", "e\r\n"), ("x&amp;y", " x&amp;y"), ("z", "ä")]
+    ids = iter([n for n in range(200) if n % 11 and n % 4])  # pages with a link that are not seen
+    pages = [(next(ids), f"https://{host}/{i}/{k}", f"<title>{t}</title>") for host in ("example.com", "abcd.example.com") for k, pair in enumerate(pairs) for i in (0, 1) for t in pair[:: 1 - 2 * i]]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = stages.QUERIES["ingest_run"](spark, str(tmp_path)).collect()
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = duck.execute(f"SELECT url_key, feed_url, published_at_utc, date_parse_error FROM ({stages.SQL['ingest_run']})").fetchall()
+    assert len(got) == 4 * len(pairs) and sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    twice = [(n, "https://example.com/1", "<title>same</title>") for n in (62, 5, 1, 17)]
+    spark.createDataFrame(twice, "page_id long, url string, html string").write.parquet(str(tmp_path / "open" / "pages.parquet"))
+    assert [r["published_at_utc"] for r in stages.QUERIES["ingest_run"](spark, str(tmp_path / "open")).collect()] == ["2024-01-02T00:00:00Z"]  # page 1
+
+
 def test_fetches_are_made_once(spark, tmp_path):
     """Counters and states read what the run kept, not what fetches are made from."""
     rows = [("f1", "<rss><channel><item><title>T</title><link>https://a.org/1</link></item></channel></rss>"), ("f2", "<rss")]
